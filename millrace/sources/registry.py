@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.casts import coerce_columns
 from millrace.operators import shaping
 from millrace.operators.project import enrich, rename, select_lenient, transform
-from millrace.sources import files, payload, windows
+from millrace.sources import files, payload, storage, windows
 
 Adapter = Callable[[SparkSession, Mapping, datetime], DataFrame]
 
@@ -120,6 +120,8 @@ def landed_json_simple(spark: SparkSession, params: Mapping, as_of: datetime) ->
 
 @register_adapter("parquet")
 def parquet_tree(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
+    if not storage.exists(spark, params["path"]):
+        raise FileNotFoundError(f"no files at {params['path']}")
     df = files.read_parquet_tree(spark, params["path"], params.get("partition_schema"))
     return transform(df, params)
 
