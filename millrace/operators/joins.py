@@ -44,8 +44,8 @@ def anti_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], counted: i
     exchanged; what is broadcast has at most ``counted`` rows.
     """
     if counted is not None and counted <= BROADCAST_KEY_ROWS:
-        wanted = F.broadcast(_present_keys(rows, keys).distinct())
-        seen = F.broadcast(key_set(table.select(*[col(k) for k in keys]).join(wanted, list(keys), "left_semi"), keys))
+        wanted = F.broadcast(_present_keys(rows, keys))
+        seen = F.broadcast(table.select(*[col(k) for k in keys]).join(wanted, list(keys), "left_semi").distinct())
     else:
         seen = key_set(table, keys)
     return rows.join(seen, list(keys), "left_anti").select(*[col(c) for c in rows.columns])

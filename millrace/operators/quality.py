@@ -11,11 +11,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.casts import coerce_columns, coerce_float, col
+from millrace.functions.casts import coerce, coerce_float, col
 
 
 @dataclass(frozen=True)
@@ -73,82 +73,93 @@ def rules_for(dq: Mapping | None, table: str) -> TableRules | None:
     return TableRules(block.get("schema") or {}, tuple(rules), block.get("on_fail", "warn"))
 
 
-def prepare(df: DataFrame, rules: TableRules) -> DataFrame:
-    """Q1: coerce the declared columns; absent ones are skipped."""
-    return coerce_columns(df, rules.schema)
+# The type a declared coercion gives.
+_KIND_TYPES = {"int": T.LongType(), "float": T.DoubleType(), "datetime": T.TimestampType(), "str": T.StringType()}
 
 
-def _missing(df: DataFrame, name: str) -> Column:
-    c = col(name)
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+def _typed(df: DataFrame, rules: TableRules, name: str) -> tuple[Column, T.DataType]:
+    """Q1: a column as the rules declare it."""
+    dtype, kind = df.schema[name].dataType, rules.schema.get(name)
+    if kind not in _KIND_TYPES:
+        return col(name), dtype
+    return coerce(col(name), dtype, kind), _KIND_TYPES[kind]
 
 
-def bad_row(df: DataFrame, rule: Rule) -> Column:
+def _need(df: DataFrame, rule: Rule) -> None:
+    absent = [c for c in rule.columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"{rule.kind} on missing column(s): {absent}")
+
+
+def bad_row(df: DataFrame, rules: TableRules, rule: Rule) -> Column:
     """Whether a row breaks a not-null or range rule; NULL and NaN pass a range."""
     if rule.kind == "not_null":
-        absent = [c for c in rule.columns if c not in df.columns]
-        if absent:
-            raise ValueError(f"not_null on missing column(s): {absent}")
-        return reduce(lambda a, b: a | b, [_missing(df, c) for c in rule.columns])
+        _need(df, rule)
+        missing = []
+        for c, dtype in (_typed(df, rules, name) for name in rule.columns):
+            missing.append(c.isNull() | F.isnan(c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c.isNull())
+        return reduce(lambda a, b: a | b, missing)
     name = rule.columns[0]
     if name not in df.columns:
         return F.lit(False)
-    x = coerce_float(col(name), df.schema[name].dataType)
+    x = coerce_float(*_typed(df, rules, name))
+    low, high = rule.minimum, rule.maximum
     bad = F.lit(False)
-    if rule.minimum is not None:
-        bad = bad | (x < F.lit(float(rule.minimum)) if rule.inclusive else x <= F.lit(float(rule.minimum)))
-    if rule.maximum is not None:
-        bad = bad | (x > F.lit(float(rule.maximum)) if rule.inclusive else x >= F.lit(float(rule.maximum)))
+    if low is not None:
+        bad = bad | (x < float(low) if rule.inclusive else x <= float(low))
+    if high is not None:
+        bad = bad | (x > float(high) if rule.inclusive else x >= float(high))
     return bad
 
 
-def row_counts(df: DataFrame, rules: Sequence[Rule]) -> list[Column]:
-    """Q2, Q4: aggregates ``_total`` and ``_bad<i>``, usable in ``agg`` or in an observation."""
+def row_counts(df: DataFrame, rules: TableRules) -> list[Column]:
+    """Q2, Q4: aggregates ``_total`` and ``_bad<i>`` for ``agg``, or for an observation of a write."""
     return [F.count(F.lit(1)).alias("_total")] + [
-        F.count_if(bad_row(df, rule)).alias(f"_bad{i}") for i, rule in enumerate(rules) if rule.kind != "unique"
+        F.count_if(bad_row(df, rules, rule)).alias(f"_bad{i}")
+        for i, rule in enumerate(rules.rules)
+        if rule.kind != "unique"
     ]
 
 
-def repeats(df: DataFrame, rule: Rule) -> DataFrame:
-    """Q3: rows beyond the first of each value, NULLs equal: one row ``_total, bad_rows``."""
-    absent = [c for c in rule.columns if c not in df.columns]
-    if absent:
-        raise ValueError(f"unique on missing column(s): {absent}")
-    copies = df.groupBy(*[col(c) for c in rule.columns]).agg(F.count(F.lit(1)).alias("n"))
+def repeats(df: DataFrame, rules: TableRules, rule: Rule) -> DataFrame:
+    """Q3: rows beyond the first of each value, NULLs equal: one row ``rule, bad_rows, total_rows``."""
+    _need(df, rule)
+    copies = df.groupBy(*[_typed(df, rules, name)[0].alias(name) for name in rule.columns]).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     return copies.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("_total"),
+        F.lit(rule.label).alias("rule"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("bad_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_rows"),
     )
 
 
-def report(df: DataFrame, table: str, rules: TableRules) -> DataFrame:
+def report(df: DataFrame, table: str, rules: TableRules, counted: Mapping | None = None) -> DataFrame:
     """Q6: ``table_name, rule, bad_rows, total_rows, passed``, one row per rule; lazy.
 
-    Rules without a uniqueness check come from one scan of the checked columns.
+    Not-null and range rules come from one scan of the checked columns, or from ``counted``, the
+    ``row_counts`` observed while the rows were written, and then need no scan at all.
     """
-    typed = prepare(df, rules)
-    counts = typed.agg(*row_counts(typed, rules.rules))
-    out = []
-    rows = [
-        F.struct(F.lit(r.label).alias("rule"), F.col(f"_bad{i}").alias("bad_rows"))
-        for i, r in enumerate(rules.rules)
-        if r.kind != "unique"
-    ]
-    if rows:
-        out.append(counts.select("_total", F.inline(F.array(*rows))))
-    for rule in rules.rules:
-        if rule.kind == "unique":
-            out.append(repeats(typed, rule).select("_total", F.lit(rule.label).alias("rule"), "bad_rows"))
-    if not out:
-        out = [counts.select("_total", F.lit("").alias("rule"), F.lit(0).cast("bigint").alias("bad_rows")).filter("false")]
-    return reduce(DataFrame.unionByName, out).select(
-        F.lit(table).alias("table_name"),
-        "rule",
-        "bad_rows",
-        F.col("_total").alias("total_rows"),
-        (F.col("bad_rows") == 0).alias("passed"),
+    parts = []
+    row_rules = [(i, r) for i, r in enumerate(rules.rules) if r.kind != "unique"]
+    if row_rules:
+        if counted is None:
+            counts = df.agg(*row_counts(df, rules))
+        else:
+            names = ["_total", *[f"_bad{i}" for i, _ in row_rules]]
+            one = df.sparkSession.range(1, numPartitions=1)
+            counts = one.select(*[F.lit(counted[n]).cast("bigint").alias(n) for n in names])
+        rows = [
+            F.struct(F.lit(r.label).alias("rule"), F.col(f"_bad{i}").alias("bad_rows"), F.col("_total").alias("total_rows"))
+            for i, r in row_rules
+        ]
+        parts.append(counts.select(F.inline(F.array(*rows))))
+    parts += [repeats(df, rules, r) for r in rules.rules if r.kind == "unique"]
+    if not parts:
+        none = df.sparkSession.createDataFrame([], "rule string, bad_rows bigint, total_rows bigint")
+        parts.append(none)
+    return reduce(DataFrame.unionByName, parts).select(
+        F.lit(table).alias("table_name"), "rule", "bad_rows", "total_rows", (F.col("bad_rows") == 0).alias("passed")
     )
 
 
@@ -162,18 +173,18 @@ def verdict_frame(report_df: DataFrame, table: str, on_fail: str = "warn") -> Da
     )
 
 
-def verdict(report_df: DataFrame | None, rules: TableRules | None) -> Verdict:
-    """Q5 on the driver: a table without rules passes."""
-    if report_df is None or rules is None:
-        return Verdict(True, 0, "warn")
-    failed = report_df.filter(~F.col("passed")).count()
+def verdict_of(report_rows: Sequence[Row], rules: TableRules) -> Verdict:
+    """Q5 from the collected report, one row per rule."""
+    failed = sum(not row["passed"] for row in report_rows)
     return Verdict(failed == 0, failed, rules.on_fail)
 
 
 def check(df: DataFrame, table: str, dq: Mapping | None) -> Verdict:
-    """Q1-Q5 for one frame."""
+    """Q1-Q5 for one frame; a table without rules passes."""
     rules = rules_for(dq, table)
-    return verdict(report(df, table, rules) if rules else None, rules)
+    if rules is None:
+        return Verdict(True, 0, "warn")
+    return verdict_of(report(df, table, rules).collect(), rules)
 
 
 def gate(v: Verdict, fail_fast: bool = False) -> str:
@@ -184,8 +195,3 @@ def gate(v: Verdict, fail_fast: bool = False) -> str:
         return "stop"
     return "block" if v.on_fail == "block" else "warn"
 
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [], "table_name string, rule string, bad_rows bigint, total_rows bigint, passed boolean"
-    )

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.aggregate import last_per_group
 from millrace.plans.warehouse import Warehouse
@@ -26,6 +27,9 @@ METRICS_SCHEMA = (
     "dq_pass boolean, dq_violations int, loaded_at timestamp, rows_table bigint, mode string, "
     "ok boolean, error string, since_field string, since_value string"
 )
+DQ_REPORT_SCHEMA = (
+    "run_id string, table_name string, rule string, bad_rows bigint, total_rows bigint, passed boolean"
+)
 STATE_SCHEMA = "source_name string, since_value string, updated_at timestamp"
 
 
@@ -37,7 +41,11 @@ def new_run_id(now: datetime) -> str:
 def append_rows(wh: Warehouse, table: str, rows: Sequence[tuple], schema: str) -> None:
     """A few driver-side records (one per source or run) to a ledger table."""
     if rows:
-        frame = wh.spark.createDataFrame(list(rows), schema).coalesce(1)
+        fields = T.StructType.fromDDL(schema).fields
+        records = [
+            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
+        ]
+        frame = wh.spark.range(1, numPartitions=1).select(F.inline(F.array(*records)))
         wh.publish(wh.write(table, frame))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from millrace.functions.casts import cast_columns, col
 from millrace.operators.joins import anti_join, merge_rows, range_of_keys, within_range
 from millrace.operators.project import dedupe
-from millrace.plans.warehouse import Batch, Warehouse
+from millrace.plans.warehouse import Batch, Metrics, Warehouse
 
 MODES = ("replace", "append", "upsert", "incremental")
 
@@ -42,21 +42,26 @@ def _any_null(keys: Sequence[str]):
     return condition
 
 
-def prepare_replace(wh: Warehouse, name: str, df: DataFrame, tag: str | None = None) -> Batch:
+def prepare_replace(
+    wh: Warehouse, name: str, df: DataFrame, tag: str | None = None, metrics: Metrics | None = None
+) -> Batch:
     """L1."""
-    return wh.write(name, df, replace=True, tag=tag)
+    return wh.write(name, df, replace=True, tag=tag, metrics=metrics)
 
 
-def prepare_append(wh: Warehouse, name: str, df: DataFrame, tag: str | None = None) -> Batch:
+def prepare_append(
+    wh: Warehouse, name: str, df: DataFrame, tag: str | None = None, metrics: Metrics | None = None
+) -> Batch:
     """L2: aligned to the table by name; the table is created if absent."""
     if wh.exists(name):
         df = align(df, wh.table(name).schema)
-    return wh.write(name, df, tag=tag)
+    return wh.write(name, df, tag=tag, metrics=metrics)
 
 
 def prepare_upsert(
     wh: Warehouse, name: str, df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
     tag: str | None = None,
+    metrics: Metrics | None = None,
 ) -> Batch:
     """L3: update on a key match, else insert; NULL keys never match.
 
@@ -64,10 +69,10 @@ def prepare_upsert(
     which one counts (the first in that order). The result is a new version of the table.
     """
     if not keys:
-        return prepare_replace(wh, name, df, tag)
+        return prepare_replace(wh, name, df, tag, metrics)
     keys = _need_keys(df, keys)
     if not wh.exists(name):
-        batch = wh.write(name, df, replace=True, tag=tag)
+        batch = wh.write(name, df, replace=True, tag=tag, metrics=metrics)
         batch.counters["rows_batch"] = batch.rows
         return batch
     if order_by:
@@ -86,7 +91,7 @@ def prepare_upsert(
         merged = table.unionByName(anti_join(df, table, keys, total), allowMissingColumns=True)
     else:
         merged = merge_rows(table, df, keys, total)
-    batch = wh.write(name, merged, replace=True, tag=tag)
+    batch = wh.write(name, merged, replace=True, tag=tag, metrics=metrics)
     batch.counters["rows_batch"] = total
     return batch
 
@@ -100,6 +105,7 @@ def prepare_incremental(
     dedupe_batch: bool = False,
     order_by: Sequence[str] | None = None,
     tag: str | None = None,
+    metrics: Metrics | None = None,
 ) -> Batch:
     """Insert rows with a key the table has not seen; never update.
 
@@ -127,7 +133,7 @@ def prepare_incremental(
         fresh = anti_join(fresh, seen, keys, stats["total"])
     if dedupe_batch:
         fresh = dedupe(fresh, keys, order_by)
-    batch = wh.write(name, fresh, tag=tag)
+    batch = wh.write(name, fresh, tag=tag, metrics=metrics)
     batch.counters.update(
         inserted=batch.rows,
         skipped_null_key=stats["null_key"],
@@ -147,16 +153,17 @@ def prepare(
     order_by: Sequence[str] | None = None,
     dedupe_batch: bool = False,
     tag: str | None = None,
+    metrics: Metrics | None = None,
 ) -> Batch:
     """L4: dispatch on the mode."""
     if mode == "replace":
-        return prepare_replace(wh, name, df, tag)
+        return prepare_replace(wh, name, df, tag, metrics)
     if mode == "append":
-        return prepare_append(wh, name, df, tag)
+        return prepare_append(wh, name, df, tag, metrics)
     if mode == "upsert":
-        return prepare_upsert(wh, name, df, keys, order_by, tag)
+        return prepare_upsert(wh, name, df, keys, order_by, tag, metrics)
     if mode == "incremental":
-        return prepare_incremental(wh, name, df, keys, cast_map, dedupe_batch, order_by, tag)
+        return prepare_incremental(wh, name, df, keys, cast_map, dedupe_batch, order_by, tag, metrics)
     raise ValueError(f"unknown load mode {mode!r}; use one of {MODES}")
 
 

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.functions.times import utc_now
 from millrace.operators import quality
@@ -60,23 +59,27 @@ def run_source(
         df = past(df, source.since_field, since)
 
     staged = None
-    marks = [mark_of(source.since_field).alias("since")] if source.since_field in df.columns else []
+    marked = source.since_field is not None and source.since_field in df.columns
     mark = None
-    if marks or (source.mode in ("incremental", "upsert") and source.type not in _COLUMNAR):
-        staged = wh.stage(source.name, df, marks)
+    if marked or (source.mode in ("incremental", "upsert") and source.type not in _COLUMNAR):
+        staged = wh.stage(
+            source.name, df, (lambda d: [mark_of(source.since_field).alias("since")]) if marked else None
+        )
         mark = staged.counters.get("since")
         df = wh.read_batch(staged)
+    rules = quality.rules_for(dq, source.table)
     batch = prepare(
         wh, source.table, df, source.mode, keys=source.keys, cast_map=source.cast_map,
         order_by=source.order_by or None, dedupe_batch=source.dedupe_batch,
+        metrics=(lambda d: quality.row_counts(d, rules)) if rules else None,
     )
-
-    rules = quality.rules_for(dq, source.table)
     if rules:
-        report = quality.report(_audited(wh, source, batch), source.table, rules).cache()
-        out.verdict = quality.verdict(report, rules)
-        wh.publish(wh.write(ledger.DQ_REPORT, _stamped(report, run_id)))
-        report.unpersist()
+        audited, whole = _audited(wh, source, batch)
+        # One row per configured rule comes back. If the batch is all there is to check, its
+        # row rules were counted while it was written.
+        report = quality.report(audited, source.table, rules, None if whole else batch.counters).collect()
+        out.verdict = quality.verdict_of(report, rules)
+        ledger.append_rows(wh, ledger.DQ_REPORT, [(run_id, *row) for row in report], ledger.DQ_REPORT_SCHEMA)
     out.decision = quality.gate(out.verdict, fail_fast)
     blocked = not out.verdict.passed and out.verdict.on_fail == "block"
     if blocked:
@@ -97,15 +100,11 @@ def run_source(
     return out
 
 
-def _audited(wh: Warehouse, source: SourceSpec, batch: Batch) -> DataFrame:
+def _audited(wh: Warehouse, source: SourceSpec, batch: Batch) -> tuple[DataFrame, bool]:
     """What the rules are checked on: the table as it would be after publishing, or the batch."""
     written = wh.read_batch(batch)
     whole = source.mode in ("append", "incremental") and source.dq_scope == "table" and wh.exists(source.table)
-    return wh.table(source.table).unionByName(written) if whole else written
-
-
-def _stamped(report: DataFrame, run_id: str) -> DataFrame:
-    return report.select(F.lit(run_id).alias("run_id"), *report.columns).coalesce(1)
+    return (wh.table(source.table).unionByName(written) if whole else written), whole
 
 
 def run_group(

@@ -9,7 +9,7 @@ its batch is recognised. One writer per table is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,6 +19,9 @@ from millrace.sources import storage
 
 MARKER = "_PUBLISHED"
 
+# Aggregates to observe on the frame that is written.
+Metrics = Callable[[DataFrame], Sequence[Column]]
+
 
 @dataclass
 class Batch:
@@ -73,7 +76,7 @@ class Warehouse:
         df: DataFrame,
         replace: bool = False,
         tag: str | None = None,
-        metrics: Sequence[Column] = (),
+        metrics: Metrics | None = None,
     ) -> Batch:
         """Write a batch without publishing it.
 
@@ -92,7 +95,7 @@ class Warehouse:
             number = int(used[-1][1:9]) + 1 if used else 1
         path = f"{base}/{version}/b{number:08d}" + (f"-{tag}" if tag else "")
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.parquet(path)
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics(df) if metrics else [])).write.parquet(path)
         got = dict(seen.get)
         return Batch(name, path, got.pop("rows"), got)
 
@@ -106,7 +109,7 @@ class Warehouse:
         if not batch.published:
             storage.delete_tree(self.spark, batch.path)
 
-    def stage(self, name: str, df: DataFrame, metrics: Sequence[Column] = ()) -> Batch:
+    def stage(self, name: str, df: DataFrame, metrics: Metrics | None = None) -> Batch:
         """Materialise a batch once, so that the passes of a load do not redo its source."""
         return self.write(f"_stage_{name}", df, replace=True, metrics=metrics)
 
