@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.sources import storage
 
@@ -38,28 +39,32 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def _batches(self, name: str) -> tuple[str | None, list[str]]:
         """The current version and its published batch paths."""
         base = f"{self.root}/{name}"
-        for version in reversed(storage.list_dirs(self.spark, base)):
-            paths = [f"{base}/{version}/{b}" for b in storage.list_dirs(self.spark, f"{base}/{version}")]
-            paths = [p for p in paths if storage.exists(self.spark, f"{p}/{MARKER}")]
-            if paths:
-                return version, paths
-        return None, []
+        found = [m.split("/")[:2] for m in storage.glob_names(self.spark, f"{base}/*/*/{MARKER}")]
+        if not found:
+            return None, []
+        current = max(version for version, _ in found)
+        return current, [f"{base}/{version}/{batch}" for version, batch in found if version == current]
 
     def exists(self, name: str) -> bool:
         return bool(self._batches(name)[1])
 
     def tables(self) -> list[str]:
-        return [n for n in storage.list_dirs(self.spark, self.root) if self.exists(n)]
+        """Names of all tables with a published batch."""
+        return sorted({m.split("/")[0] for m in storage.glob_names(self.spark, f"{self.root}/*/*/*/{MARKER}")})
 
     def table(self, name: str) -> DataFrame:
         paths = self._batches(name)[1]
         if not paths:
             raise ValueError(f"table {name} does not exist")
-        return self.spark.read.parquet(*paths)
+        # All batches of a version have the schema of its first one.
+        if paths[0] not in self._schemas:
+            self._schemas[paths[0]] = self.spark.read.parquet(paths[0]).schema
+        return self.spark.read.schema(self._schemas[paths[0]]).parquet(*paths)
 
     def view(self, name: str) -> None:
         self.table(name).createOrReplaceTempView(name)

@@ -25,6 +25,15 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths a glob matches, relative to its fixed part (the first ``/*``), sorted; one listing."""
+    fs, jpath = _open(spark, pattern)
+    depth = pattern[pattern.index("/*"):].count("/")
+    return sorted(
+        "/".join(s.getPath().toString().split("/")[-depth:]) for s in fs.globStatus(jpath) or []
+    )
+
+
 def glob_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files matching a glob, sorted by path; hidden and marker files are left out."""
     fs, jpath = _open(spark, pattern)

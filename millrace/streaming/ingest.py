@@ -67,7 +67,10 @@ def ingest_incremental(
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], time_column: str, delay: str) -> DataFrame:
-    """One row per key among rows at most ``delay`` apart; state is bounded by the watermark."""
+    """One row per key among rows at most ``delay`` apart; state is bounded by the watermark.
+
+    A watermark starts at the epoch, so Spark takes event times up to 1970-01-01 for late.
+    """
     return stream.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
