@@ -104,7 +104,7 @@ def _has_full_date(c: Column) -> Column:
 
 def _dashed(c: Column) -> Column:
     """Slash dates to dash dates; only the date part can hold a slash once it leads."""
-    return F.regexp_replace(c, r"^(\s*\d{4})/(\d{1,2})/", "$1-$2-")
+    return F.when(c.contains("/"), F.regexp_replace(c, r"^(\s*\d{4})/(\d{1,2})/", "$1-$2-")).otherwise(c)
 
 
 def sql_cast(c: Column, dtype: T.DataType, type_name: str) -> Column:

@@ -1,14 +1,15 @@
 """Key joins (K1-K5). All are equi joins.
 
 A key set is broadcast only when it is known to be small: by Spark's own size check
-(``spark.sql.autoBroadcastJoinThreshold``, also at run time), or by a row count the caller has
-just taken. Otherwise both sides are exchanged on the keys and AQE may split a hot partition of
+(``spark.sql.autoBroadcastJoinThreshold``, also at run time), or by the bytes the caller has just
+counted. Otherwise both sides are exchanged on the keys and AQE may split a hot partition of
 the row side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from pyspark.sql import types as T
 
 from millrace.functions.casts import cast_columns, col
 
-# A batch counted at no more rows than this may have its keys broadcast.
-BROADCAST_KEY_ROWS = 200_000
+# The keys of a batch are broadcast if they have been counted at no more bytes than this.
+BROADCAST_KEY_BYTES = 16 * 1024 * 1024
 
 
 def _present_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,14 +37,24 @@ def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return hashed.groupBy("_h", *[col(k) for k in keys]).agg(F.lit(1).alias("_one")).drop("_h", "_one")
 
 
-def anti_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], counted: int | None = None) -> DataFrame:
+def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Aggregate: the bytes all keys of a frame take, one row of them after another."""
+    text = (T.StringType, T.BinaryType)
+    sizes = [
+        F.coalesce(F.octet_length(col(k)), F.lit(0)) + 8 if isinstance(df.schema[k].dataType, text) else F.lit(16)
+        for k in keys
+    ]
+    return F.coalesce(F.sum(reduce(lambda a, b: a + b, sizes).cast("bigint")), F.lit(0))
+
+
+def anti_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], counted_bytes: int | None = None) -> DataFrame:
     """K1, K2: rows whose key is not in the table; a NULL key never matches, so it stays.
 
-    ``counted`` is the row count of ``rows`` where the caller knows it. For a small batch the
-    table's keys are first reduced to those of the batch, so the table is scanned but never
-    exchanged; what is broadcast has at most ``counted`` rows.
+    ``counted_bytes`` is the ``key_bytes`` of ``rows`` where the caller has taken them. For a
+    small batch the table's keys are first reduced to those of the batch, so the table is scanned
+    but never exchanged; nothing broadcast is larger than the keys of the batch.
     """
-    if counted is not None and counted <= BROADCAST_KEY_ROWS:
+    if counted_bytes is not None and counted_bytes <= BROADCAST_KEY_BYTES:
         wanted = F.broadcast(_present_keys(rows, keys))
         seen = F.broadcast(table.select(*[col(k) for k in keys]).join(wanted, list(keys), "left_semi").distinct())
     else:
@@ -56,7 +67,9 @@ def anti_join_cast(rows: DataFrame, table: DataFrame, keys: Sequence[str], cast_
     return anti_join(cast_columns(rows, cast_map), table, keys)
 
 
-def merge_rows(table: DataFrame, changes: DataFrame, keys: Sequence[str], counted: int | None = None) -> DataFrame:
+def merge_rows(
+    table: DataFrame, changes: DataFrame, keys: Sequence[str], counted_bytes: int | None = None
+) -> DataFrame:
     """K5: update the columns of ``changes`` on a key match, insert the rest of them.
 
     ``changes`` has to be unique on the keys. Every matching table row is updated; columns the
@@ -68,8 +81,6 @@ def merge_rows(table: DataFrame, changes: DataFrame, keys: Sequence[str], counte
         *[col(c).alias(f"_new_{i}") for i, c in enumerate(others)],
         F.lit(True).alias("_hit"),
     )
-    if counted is not None and counted <= BROADCAST_KEY_ROWS:
-        new = F.broadcast(new)
     position = {c: i for i, c in enumerate(others)}
     updated = table.join(new, list(keys), "left").select(
         *[
@@ -77,7 +88,7 @@ def merge_rows(table: DataFrame, changes: DataFrame, keys: Sequence[str], counte
             for c in table.columns
         ]
     )
-    inserted = anti_join(changes, table, keys, counted)
+    inserted = anti_join(changes, table, keys, counted_bytes)
     return updated.unionByName(inserted, allowMissingColumns=True).select(*[col(c) for c in table.columns])
 
 

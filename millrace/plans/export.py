@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame
 from millrace.plans.warehouse import Warehouse
 
 
-def export_frame(df: DataFrame, directory: str, partition_by: Sequence[str] = (), overwrite: bool = True) -> str:
+def export_frame(
+    df: DataFrame, directory: str, partition_by: Sequence[str] = (), overwrite: bool = True, clustered: bool = False
+) -> str:
     """A Hive-partitioned Parquet directory.
 
     The rebalance hint brings the rows of a partition together, so that it gets few files, and
-    lets AQE split a partition that is too large for one task.
+    lets AQE split a partition that is too large for one task. Rows that already lie together
+    (``clustered``, e.g. a table loaded in time order and exported by month) need no exchange.
     """
-    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = df.hint("rebalance", *partition_by) if partition_by and not clustered else df
     writer = out.write.mode("overwrite" if overwrite else "errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -29,12 +32,15 @@ def spark_text_types(sql: str) -> str:
     return re.sub(r"(?i)\bAS\s+(VARCHAR|TEXT)\b(?!\s*\()", "AS STRING", sql)
 
 
-def export_query(wh: Warehouse, sql: str, directory: str, partition_by: Sequence[str] = (), overwrite: bool = True) -> str:
+def export_query(
+    wh: Warehouse, sql: str, directory: str, partition_by: Sequence[str] = (), overwrite: bool = True,
+    clustered: bool = False,
+) -> str:
     """The result of a query over the warehouse tables it names."""
     for name in wh.tables():
         if re.search(rf"(?i)\b{re.escape(name)}\b", sql):
             wh.view(name)
-    return export_frame(wh.spark.sql(spark_text_types(sql)), directory, partition_by, overwrite)
+    return export_frame(wh.spark.sql(spark_text_types(sql)), directory, partition_by, overwrite, clustered)
 
 
 def export_table(wh: Warehouse, table: str, options: Mapping) -> str | None:
@@ -42,10 +48,10 @@ def export_table(wh: Warehouse, table: str, options: Mapping) -> str | None:
     directory = options.get("dir")
     if not directory:
         return None
-    parts, overwrite = options.get("partition_by") or [], bool(options.get("overwrite", True))
+    how = (options.get("partition_by") or [], bool(options.get("overwrite", True)), bool(options.get("clustered")))
     if options.get("export_sql"):
-        return export_query(wh, options["export_sql"], directory, parts, overwrite)
-    return export_frame(wh.table(table), directory, parts, overwrite)
+        return export_query(wh, options["export_sql"], directory, *how)
+    return export_frame(wh.table(table), directory, *how)
 
 
 def export_all(wh: Warehouse, config: Mapping) -> dict[str, str]:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.casts import cast_columns, col
-from millrace.operators.joins import anti_join, merge_rows, range_of_keys, within_range
+from millrace.operators.joins import anti_join, key_bytes, merge_rows, range_of_keys, within_range
 from millrace.operators.project import dedupe
 from millrace.plans.warehouse import Batch, Metrics, Warehouse
 
@@ -25,7 +25,17 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"batch lacks destination column(s): {missing}")
-    return df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[_converted(col(f.name), types[f.name], f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _converted(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    """An insert's implicit conversion: fractions round, what does not convert is an error."""
+    if source == target:
+        return c
+    if isinstance(target, T.IntegralType) and isinstance(source, (T.FloatType, T.DoubleType)):
+        c = F.rint(c)
+    return c.cast(target)
 
 
 def _need_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -79,18 +89,22 @@ def prepare_upsert(
         df = dedupe(df.filter(~_any_null(keys)), keys, order_by).unionByName(df.filter(_any_null(keys)))
     table = wh.table(name)
     types = {f.name: f.dataType for f in table.schema.fields}
-    df = df.select(*[col(c).cast(types[c]).alias(c) for c in df.columns if c in types])
+    df = align(df, T.StructType([T.StructField(c, types[c]) for c in df.columns if c in types]))
     sizes = (
         df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("rows"), F.count_if((F.col("n") > 1) & ~_any_null(keys)).alias("doubled")).first()
+        .agg(
+            F.sum("n").alias("rows"),
+            F.count_if((F.col("n") > 1) & ~_any_null(keys)).alias("doubled"),
+            key_bytes(df, keys).alias("key_bytes"),
+        ).first()
     )
     total = sizes["rows"] or 0
     if sizes["doubled"]:
         raise ValueError(f"{sizes['doubled']} key(s) occur more than once in the batch for {name}; give order_by")
     if set(df.columns) <= set(keys):
-        merged = table.unionByName(anti_join(df, table, keys, total), allowMissingColumns=True)
+        merged = table.unionByName(anti_join(df, table, keys, sizes["key_bytes"]), allowMissingColumns=True)
     else:
-        merged = merge_rows(table, df, keys, total)
+        merged = merge_rows(table, df, keys, sizes["key_bytes"])
     batch = wh.write(name, merged, replace=True, tag=tag, metrics=metrics)
     batch.counters["rows_batch"] = total
     return batch
@@ -114,7 +128,7 @@ def prepare_incremental(
     ``skipped_null_key`` and ``skipped_dup``; the three add up to the batch.
 
     One aggregation over the key columns counts the batch and finds its key range; the range
-    prunes the table scan and the count decides how the keys are compared.
+    prunes the table scan, the size of the keys decides how they are compared.
     """
     if not keys:
         raise ValueError(f"incremental load of {name} needs key columns")
@@ -122,7 +136,10 @@ def prepare_incremental(
     keys = _need_keys(casted, keys)
     null_key = _any_null(keys)
     stats = casted.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(null_key).alias("null_key"), *range_of_keys(casted, keys)
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(null_key).alias("null_key"),
+        key_bytes(casted, keys).alias("key_bytes"),
+        *range_of_keys(casted, keys),
     ).first().asDict()
     fresh = casted.filter(~null_key)
     if wh.exists(name):
@@ -130,7 +147,7 @@ def prepare_incremental(
         same_types = all(table.schema[k].dataType == casted.schema[k].dataType for k in keys)
         fresh = align(fresh, table.schema)
         seen = within_range(table, keys, stats) if same_types else table
-        fresh = anti_join(fresh, seen, keys, stats["total"])
+        fresh = anti_join(fresh, seen, keys, stats["key_bytes"])
     if dedupe_batch:
         fresh = dedupe(fresh, keys, order_by)
     batch = wh.write(name, fresh, tag=tag, metrics=metrics)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -31,11 +33,13 @@ class SourceResult:
     rows: int = 0
     rows_table: int | None = None
     counters: dict = field(default_factory=dict)
+    report: list = field(default_factory=list)  # one row per quality rule
     verdict: quality.Verdict = quality.Verdict(True, 0, "warn")
     decision: str = "pass"
     since: str | None = None
     error: str | None = None
     seconds: float = 0.0
+    loaded_at: datetime = field(default_factory=utc_now)
 
 
 @dataclass
@@ -46,27 +50,28 @@ class RunResult:
     results: list[SourceResult]
 
 
+# Appends to the table of marks come from several threads if sources run side by side.
+_STATE_LOCK = threading.Lock()
+
+
 def run_source(
-    wh: Warehouse, source: SourceSpec, dq: Mapping | None, as_of: datetime, run_id: str, fail_fast: bool = False
+    wh: Warehouse, source: SourceSpec, dq: Mapping | None, as_of: datetime, fail_fast: bool = False
 ) -> SourceResult:
     """One source. The batch is written, audited, and only then published."""
-    started = time.monotonic()
     out = SourceResult(source)
     df = postprocess(get_adapter(source.type)(wh.spark, source.params, as_of), source.post)
-    since = None
-    if source.since_field and source.since_field in df.columns:
+    since = mark = staged = None
+    marked = source.since_field is not None and source.since_field in df.columns
+    if marked:
         since = source.since_value or ledger.stored_since(wh, source.name)
         df = past(df, source.since_field, since)
-
-    staged = None
-    marked = source.since_field is not None and source.since_field in df.columns
-    mark = None
     if marked or (source.mode in ("incremental", "upsert") and source.type not in _COLUMNAR):
         staged = wh.stage(
             source.name, df, (lambda d: [mark_of(source.since_field).alias("since")]) if marked else None
         )
         mark = staged.counters.get("since")
         df = wh.read_batch(staged)
+
     rules = quality.rules_for(dq, source.table)
     batch = prepare(
         wh, source.table, df, source.mode, keys=source.keys, cast_map=source.cast_map,
@@ -77,9 +82,8 @@ def run_source(
         audited, whole = _audited(wh, source, batch)
         # One row per configured rule comes back. If the batch is all there is to check, its
         # row rules were counted while it was written.
-        report = quality.report(audited, source.table, rules, None if whole else batch.counters).collect()
-        out.verdict = quality.verdict_of(report, rules)
-        ledger.append_rows(wh, ledger.DQ_REPORT, [(run_id, *row) for row in report], ledger.DQ_REPORT_SCHEMA)
+        out.report = quality.report(audited, source.table, rules, None if whole else batch.counters).collect()
+        out.verdict = quality.verdict_of(out.report, rules)
     out.decision = quality.gate(out.verdict, fail_fast)
     blocked = not out.verdict.passed and out.verdict.on_fail == "block"
     if blocked:
@@ -87,16 +91,19 @@ def run_source(
     else:
         finish(wh, batch)
         if mark is not None:
-            ledger.append_rows(wh, ledger.STATE, [(source.name, mark, utc_now())], ledger.STATE_SCHEMA)
+            with _STATE_LOCK:
+                ledger.append_rows(wh, ledger.STATE, [(source.name, mark, utc_now())], ledger.STATE_SCHEMA)
         if source.export:
             export_table(wh, source.table, source.export)
+    if staged is not None:
+        wh.discard(staged)
     out.since = mark or since
     out.rows = 0 if blocked else batch.counters.get("inserted", batch.counters.get("rows_batch", batch.rows))
-    out.rows_table = wh.table(source.table).count() if wh.exists(source.table) else 0
+    if not blocked and source.mode == "replace":
+        out.rows_table = batch.rows or None
+    if out.rows_table is None:
+        out.rows_table = wh.table(source.table).count() if wh.exists(source.table) else 0
     out.counters = batch.counters
-    if staged is not None:
-        wh.discard(staged)
-    out.seconds = time.monotonic() - started
     return out
 
 
@@ -107,6 +114,17 @@ def _audited(wh: Warehouse, source: SourceSpec, batch: Batch) -> tuple[DataFrame
     return (wh.table(source.table).unionByName(written) if whole else written), whole
 
 
+def _attempt(wh: Warehouse, source: SourceSpec, dq, as_of: datetime, fail_fast: bool = False) -> SourceResult:
+    """A failed source is a result, not a crash of the run."""
+    started = time.monotonic()
+    try:
+        result = run_source(wh, source, dq, as_of, fail_fast)
+    except Exception as e:
+        result = SourceResult(source, ok=False, error=str(e))
+    result.seconds, result.loaded_at = time.monotonic() - started, utc_now()
+    return result
+
+
 def run_group(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -117,61 +135,64 @@ def run_group(
     as_of: datetime | None = None,
 ) -> RunResult:
     """The sources of a group in order; an error, or a failed audit under ``fail_fast``, ends it."""
-    return _run(warehouse, group_sources(config, group), dq, group, fail_fast, as_of, keep_going=False)
+    started, sources = utc_now(), group_sources(config, group)
+    results, status = [], "ok"
+    for source in sources:
+        result = _attempt(warehouse, source, dq, as_of or started, fail_fast)
+        results.append(result)
+        if not result.ok or result.decision == "stop":
+            status = "fail"
+            break
+    return _record(warehouse, group, started, status, len(sources), results)
 
 
 def run_sources(
-    warehouse: Warehouse, sources: Sequence[Mapping], dq: Mapping | None = None, as_of: datetime | None = None
+    warehouse: Warehouse,
+    sources: Sequence[Mapping],
+    dq: Mapping | None = None,
+    as_of: datetime | None = None,
+    parallel: int = 4,
 ) -> RunResult:
-    """Independent sources; an error is recorded and the next source goes on."""
-    return _run(warehouse, [SourceSpec.from_dict(s) for s in sources], dq, "all", False, as_of, keep_going=True)
-
+    """Independent sources; an error is recorded and the others go on.
 
-def _run(
-    wh: Warehouse, sources: Sequence[SourceSpec], dq, group: str, fail_fast: bool, as_of: datetime | None,
-    keep_going: bool,
-) -> RunResult:
+    Sources of different tables may run side by side, so that small ones do not wait for each
+    other on a large cluster; those of one table run in their order.
+    """
     started = utc_now()
-    moment = as_of or started
-    run_id = ledger.new_run_id(started)
-    status, error = "ok", None
-    results: list[SourceResult] = []
-    for source in sources:
-        clock = time.monotonic()
-        try:
-            result = run_source(wh, source, dq, moment, run_id, fail_fast)
-        except Exception as e:  # a failed source is a result, not a crash of the run
-            result = SourceResult(source, ok=False, error=str(e), seconds=time.monotonic() - clock)
-        results.append(result)
-        _record(wh, run_id, result)
-        if not result.ok:
-            status, error = "fail", error or result.error
-            if not keep_going:
-                break
-        elif result.decision == "stop":
-            status = "fail"
-            break
-    finished = utc_now()
-    ledger.append_rows(
-        wh,
-        ledger.RUNS,
-        [(
-            run_id, started, finished, group, status, error, len(sources), sum(r.rows for r in results),
-            (finished - started).total_seconds(),
-        )],
-        ledger.RUNS_SCHEMA,
-    )
-    return RunResult(run_id, status, error, results)
+    specs = [SourceSpec.from_dict(s) for s in sources]
+    by_table: dict[str, list[SourceSpec]] = {}
+    for spec in specs:
+        by_table.setdefault(spec.table, []).append(spec)
+
+    def in_order(members: list[SourceSpec]) -> list[SourceResult]:
+        return [_attempt(warehouse, spec, dq, as_of or started) for spec in members]
 
+    with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
+        done = {id(r.source): r for part in pool.map(in_order, by_table.values()) for r in part}
+    results = [done[id(spec)] for spec in specs]
+    status = "ok" if all(r.ok for r in results) else "fail"
+    return _record(warehouse, "all", started, status, len(specs), results)
 
-def _record(wh: Warehouse, run_id: str, r: SourceResult) -> None:
-    """The metrics row of a source, written also when the source ends the run."""
-    ledger.append_rows(
-        wh,
-        ledger.METRICS,
-        [(
+
+def _record(
+    wh: Warehouse, group: str, started: datetime, status: str, n_sources: int, results: list[SourceResult]
+) -> RunResult:
+    """A metrics row per source, also for one that ended the run, and one row for the run."""
+    run_id, finished = ledger.new_run_id(started), utc_now()
+    error = next((r.error for r in results if r.error), None)
+    metrics = [
+        (
             run_id, r.source.name, r.source.table, r.rows, r.seconds, r.verdict.passed if r.ok else None,
-            r.verdict.violations, utc_now(), r.rows_table, r.source.mode, r.ok, r.error, r.source.since_field, r.since,
-        )],
-        ledger.METRICS_SCHEMA,
+            r.verdict.violations, r.loaded_at, r.rows_table, r.source.mode, r.ok, r.error, r.source.since_field, r.since,
+        )
+        for r in results
+    ]
+    rules = [(run_id, *row) for r in results for row in r.report]
+    run = (
+        run_id, started, finished, group, status, error, n_sources, sum(r.rows for r in results),
+        (finished - started).total_seconds(),
     )
+    ledger.append_rows(wh, ledger.METRICS, metrics, ledger.METRICS_SCHEMA)
+    ledger.append_rows(wh, ledger.DQ_REPORT, rules, ledger.DQ_REPORT_SCHEMA)
+    ledger.append_rows(wh, ledger.RUNS, [run], ledger.RUNS_SCHEMA)
+    return RunResult(run_id, status, error, results)

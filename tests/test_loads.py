@@ -79,7 +79,7 @@ def test_increment_composite_key_with_bad_year(spark, wh):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_increment_same_result_small_and_large(spark, wh, monkeypatch, small):
-    monkeypatch.setattr(joins, "BROADCAST_KEY_ROWS", 10**6 if small else 0)
+    monkeypatch.setattr(joins, "BROADCAST_KEY_BYTES", 10**9 if small else -1)
     n = 5000
     load.load(wh, "t", spark.range(0, n, 2).withColumn("s", F.sha2(F.col("id").cast("string"), 256)))
     stage = spark.range(0, n).select(
@@ -159,7 +159,7 @@ def test_append_aligns_by_name_and_creates(spark, wh):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_upsert(spark, wh, monkeypatch, small):
-    monkeypatch.setattr(joins, "BROADCAST_KEY_ROWS", 10**6 if small else 0)
+    monkeypatch.setattr(joins, "BROADCAST_KEY_BYTES", 10**9 if small else -1)
     load.load(wh, "t", spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "n", 0.0), (2, "bb", 2.5)], "k int, s string, v double"))
     changes = spark.createDataFrame([(2, "B"), (3, "C"), (None, "N")], "k int, s string")
     for _ in range(2):

@@ -45,7 +45,8 @@ def csv_skip_lines(spark, sf):
     root = scratch_dir(spark, "csv")
     line = F.concat_ws(";", F.col("s_suppkey"), F.col("s_name"), F.col("s_acctbal"))
     # A bounded number of rows per file, the header lines first within each file.
-    body = table(spark, sf, "supplier").select((F.col("s_suppkey") / 50).cast("int").alias("part"), F.lit(2).alias("pos"), line.alias("value"))
+    part = F.floor(F.col("s_suppkey") / 100_000).alias("part")
+    body = table(spark, sf, "supplier").select(part, F.lit(2).alias("pos"), line.alias("value"))
     head = body.select("part").distinct().select(
         "part",
         F.posexplode(F.array(F.lit("# exported rows"), F.lit("s_suppkey;s_name;s_acctbal"))).alias("pos", "value"),

@@ -12,7 +12,16 @@ from workload import SQL_NOISY_EVENTS, noisy_events, query, table, ts_text
 from workload.loads import EVENT_CASTS, SQL_STAGED, loaded_events, new_warehouse, staged_events
 from workload.quality import EVENT_RULES
 
-FILES = 8  # landed files, two per micro-batch
+TRIGGERS = 4  # micro-batches the landed files are read in
+
+
+def landed_files(spark) -> int:
+    """As many files as the session has shuffle partitions, so that they grow with the cluster."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), TRIGGERS)
+
+
+def landed_stream(spark, path, schema):
+    return ingest.file_stream(spark, path, schema, max_files=landed_files(spark) // TRIGGERS)
 
 
 @query("stream_incremental", f"""
@@ -26,8 +35,8 @@ def stream_incremental(spark, sf):
     load.load(wh, "events", loaded_events(spark, sf))
     staged = staged_events(spark, sf)
     # The key decides the file, so no key is split over micro-batches with another order of arrival.
-    staged.repartition(FILES, "event_id").write.parquet(f"{root}/landed")
-    stream = ingest.file_stream(spark, f"{root}/landed", staged.schema, max_files=2)
+    staged.repartition(landed_files(spark), "event_id").write.parquet(f"{root}/landed")
+    stream = landed_stream(spark, f"{root}/landed", staged.schema)
     run = ingest.ingest_incremental(stream, wh, "events", ["event_id"], f"{root}/checkpoint", EVENT_CASTS)
     run.awaitTermination()
     return wh.table("events").groupBy("event_type").agg(
@@ -40,8 +49,8 @@ def stream_dedupe(spark, sf):
     """Every event twice, one of each kept; the watermark delay covers the whole month."""
     root, wh = scratch_dir(spark, "stream"), new_warehouse(spark)
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    e.unionByName(e).repartition(FILES).write.parquet(f"{root}/landed")
-    stream = ingest.file_stream(spark, f"{root}/landed", e.schema, max_files=2)
+    e.unionByName(e).repartition(landed_files(spark), "event_id").write.parquet(f"{root}/landed")
+    stream = landed_stream(spark, f"{root}/landed", e.schema)
     once = ingest.dedupe_stream(stream, ["event_id"], "ts", "60 days")
     ingest.append_stream(once, wh, "events", f"{root}/checkpoint").awaitTermination()
     return wh.table("events").select("event_id", ts_text("ts").alias("ts"), "event_type", "value")
@@ -58,10 +67,10 @@ def stream_dq(spark, sf):
     """Rule counts per micro-batch, added up over the metrics table."""
     root, wh = scratch_dir(spark, "stream"), new_warehouse(spark)
     e = noisy_events(spark, sf)
-    e.repartition(FILES).write.parquet(f"{root}/landed")
+    e.repartition(landed_files(spark), "event_id").write.parquet(f"{root}/landed")
     checks = [c for c in EVENT_RULES["checks"] if c.get("not_null") == ["id_raw", "ts_raw"] or c.get("range", {}).get("column") == "value_raw"]
     rules = quality.rules_for({"rules": {"events": {**EVENT_RULES, "checks": checks}}}, "events")
-    stream = ingest.file_stream(spark, f"{root}/landed", e.schema, max_files=2)
+    stream = landed_stream(spark, f"{root}/landed", e.schema)
     ingest.quality_stream(stream, wh, "events", rules, "dq_stream", f"{root}/checkpoint").awaitTermination()
     return wh.table("dq_stream").groupBy("rule").agg(
         F.sum("bad_rows").alias("bad_rows"), F.sum("total_rows").alias("total_rows")
