@@ -7,8 +7,9 @@ Each ``prepare_*`` writes a batch and leaves publishing to the caller (who may a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,15 +69,47 @@ def prepare_append(
     return wh.write(name, df, tag=tag, metrics=metrics)
 
 
+def _batch_stats(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(_any_null(keys)).alias("null_key"),
+        key_bytes(df, keys).alias("key_bytes"),
+        *range_of_keys(df, keys),
+    ]
+
+
+@contextmanager
+def _held(wh: Warehouse, name: str, df: DataFrame, keys: Sequence[str], stage: bool):
+    """A batch that is read several times, and its statistics.
+
+    Staged, the source is evaluated once and every pass sees the same rows, whatever happens to
+    the source meanwhile; the statistics are observed on the way. Unstaged, they are one more
+    scan of the key columns.
+    """
+    if not stage:
+        yield df, df.agg(*_batch_stats(df, keys)).first().asDict()
+        return
+    batch = wh.stage(name, df, lambda d: _batch_stats(d, keys))
+    try:
+        yield wh.read_batch(batch), batch.counters
+    finally:
+        wh.discard(batch)
+
+
 def prepare_upsert(
-    wh: Warehouse, name: str, df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
+    wh: Warehouse,
+    name: str,
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = None,
     tag: str | None = None,
     metrics: Metrics | None = None,
+    stage: bool = True,
 ) -> Batch:
     """L3: update on a key match, else insert; NULL keys never match.
 
     Without keys it is a replace. Several rows for one key are an error unless ``order_by`` says
-    which one counts (the first in that order). The result is a new version of the table.
+    which one counts (the first in that order). The result is a new version of the whole table.
     """
     if not keys:
         return prepare_replace(wh, name, df, tag, metrics)
@@ -90,26 +123,26 @@ def prepare_upsert(
     table = wh.table(name)
     types = {f.name: f.dataType for f in table.schema.fields}
     df = align(df, T.StructType([T.StructField(c, types[c]) for c in df.columns if c in types]))
-    sizes = (
-        df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.sum("n").alias("rows"),
-            F.count_if((F.col("n") > 1) & ~_any_null(keys)).alias("doubled"),
-            key_bytes(df, keys).alias("key_bytes"),
-        ).first()
-    )
-    total = sizes["rows"] or 0
-    if sizes["doubled"]:
-        raise ValueError(f"{sizes['doubled']} key(s) occur more than once in the batch for {name}; give order_by")
-    if set(df.columns) <= set(keys):
-        merged = table.unionByName(anti_join(df, table, keys, sizes["key_bytes"]), allowMissingColumns=True)
-    else:
-        merged = merge_rows(table, df, keys, sizes["key_bytes"])
-    batch = wh.write(name, merged, replace=True, tag=tag, metrics=metrics)
-    batch.counters["rows_batch"] = total
+    with _held(wh, name, df, keys, stage) as (changes, stats):
+        if not order_by:
+            _need_unique(changes, keys, name)
+        if set(changes.columns) <= set(keys):
+            new = anti_join(changes, table, keys, stats["key_bytes"])
+            merged = table.unionByName(new, allowMissingColumns=True)
+        else:
+            merged = merge_rows(table, changes, keys, stats["key_bytes"])
+        batch = wh.write(name, merged, replace=True, tag=tag, metrics=metrics)
+    batch.counters["rows_batch"] = stats["total"]
     return batch
 
 
+def _need_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
+    copies = df.filter(~_any_null(keys)).groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    doubled = copies.agg(F.count_if(F.col("n") > 1).alias("doubled")).first()["doubled"]
+    if doubled:
+        raise ValueError(f"{doubled} key(s) occur more than once in the batch for {name}; give order_by")
+
+
 def prepare_incremental(
     wh: Warehouse,
     name: str,
@@ -120,6 +153,7 @@ def prepare_incremental(
     order_by: Sequence[str] | None = None,
     tag: str | None = None,
     metrics: Metrics | None = None,
+    stage: bool = True,
 ) -> Batch:
     """Insert rows with a key the table has not seen; never update.
 
@@ -127,30 +161,32 @@ def prepare_incremental(
     key are all inserted unless ``dedupe_batch`` is set. ``counters`` has ``inserted``,
     ``skipped_null_key`` and ``skipped_dup``; the three add up to the batch.
 
-    One aggregation over the key columns counts the batch and finds its key range; the range
-    prunes the table scan, the size of the keys decides how they are compared.
+    The batch's statistics give the range of its keys, which prunes the table scan, and their
+    size, which decides how they are compared. A first load is a single pass.
     """
     if not keys:
         raise ValueError(f"incremental load of {name} needs key columns")
     casted = cast_columns(staged, cast_map)
     keys = _need_keys(casted, keys)
-    null_key = _any_null(keys)
-    stats = casted.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(null_key).alias("null_key"),
-        key_bytes(casted, keys).alias("key_bytes"),
-        *range_of_keys(casted, keys),
-    ).first().asDict()
-    fresh = casted.filter(~null_key)
-    if wh.exists(name):
-        table = wh.table(name)
-        same_types = all(table.schema[k].dataType == casted.schema[k].dataType for k in keys)
-        fresh = align(fresh, table.schema)
-        seen = within_range(table, keys, stats) if same_types else table
-        fresh = anti_join(fresh, seen, keys, stats["key_bytes"])
-    if dedupe_batch:
-        fresh = dedupe(fresh, keys, order_by)
-    batch = wh.write(name, fresh, tag=tag, metrics=metrics)
+    if not wh.exists(name) and not dedupe_batch:
+        seen = Observation()
+        fresh = casted.observe(seen, *_batch_stats(casted, keys)).filter(~_any_null(keys))
+        batch = wh.write(name, fresh, tag=tag, metrics=metrics)
+        return _counted(batch, dict(seen.get))
+    with _held(wh, name, casted, keys, stage) as (rows, stats):
+        fresh = rows.filter(~_any_null(keys))
+        if wh.exists(name):
+            table = wh.table(name)
+            same_types = all(table.schema[k].dataType == rows.schema[k].dataType for k in keys)
+            fresh = align(fresh, table.schema)
+            candidates = within_range(table, keys, stats) if same_types else table
+            fresh = anti_join(fresh, candidates, keys, stats["key_bytes"])
+        if dedupe_batch:
+            fresh = dedupe(fresh, keys, order_by)
+        return _counted(wh.write(name, fresh, tag=tag, metrics=metrics), stats)
+
+
+def _counted(batch: Batch, stats: Mapping) -> Batch:
     batch.counters.update(
         inserted=batch.rows,
         skipped_null_key=stats["null_key"],
@@ -171,16 +207,19 @@ def prepare(
     dedupe_batch: bool = False,
     tag: str | None = None,
     metrics: Metrics | None = None,
+    stage: bool = True,
 ) -> Batch:
-    """L4: dispatch on the mode."""
+    """L4: dispatch on the mode. ``stage=False`` spares a batch that is stable and cheap to read
+    again, such as a Parquet scan, from being materialised first.
+    """
     if mode == "replace":
         return prepare_replace(wh, name, df, tag, metrics)
     if mode == "append":
         return prepare_append(wh, name, df, tag, metrics)
     if mode == "upsert":
-        return prepare_upsert(wh, name, df, keys, order_by, tag, metrics)
+        return prepare_upsert(wh, name, df, keys, order_by, tag, metrics, stage)
     if mode == "incremental":
-        return prepare_incremental(wh, name, df, keys, cast_map, dedupe_batch, order_by, tag, metrics)
+        return prepare_incremental(wh, name, df, keys, cast_map, dedupe_batch, order_by, tag, metrics, stage)
     raise ValueError(f"unknown load mode {mode!r}; use one of {MODES}")
 
 

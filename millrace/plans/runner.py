@@ -22,7 +22,7 @@ from millrace.plans.warehouse import Batch, Warehouse
 from millrace.sources.registry import get_adapter
 from millrace.sources.windows import mark_of, past
 
-# Sources that are costly to read twice are staged once as Parquet.
+# Sources that are cheap to read again; a batch of any other is staged once as Parquet.
 _COLUMNAR = ("parquet",)
 
 
@@ -65,11 +65,8 @@ def run_source(
     if marked:
         since = source.since_value or ledger.stored_since(wh, source.name)
         df = past(df, source.since_field, since)
-    if marked or (source.mode in ("incremental", "upsert") and source.type not in _COLUMNAR):
-        staged = wh.stage(
-            source.name, df, (lambda d: [mark_of(source.since_field).alias("since")]) if marked else None
-        )
-        mark = staged.counters.get("since")
+        staged = wh.stage(f"{source.name}_since", df, lambda d: [mark_of(source.since_field).alias("since")])
+        mark = staged.counters["since"]
         df = wh.read_batch(staged)
 
     rules = quality.rules_for(dq, source.table)
@@ -77,6 +74,7 @@ def run_source(
         wh, source.table, df, source.mode, keys=source.keys, cast_map=source.cast_map,
         order_by=source.order_by or None, dedupe_batch=source.dedupe_batch,
         metrics=(lambda d: quality.row_counts(d, rules)) if rules else None,
+        stage=staged is None and source.type not in _COLUMNAR,
     )
     if rules:
         audited, whole = _audited(wh, source, batch)
