@@ -168,3 +168,17 @@ def test_ledger_queries_on_equal_and_missing_times(spark):
 def test_run_ids_differ():
     now = datetime(2025, 1, 1)
     assert ledger.new_run_id(now) != ledger.new_run_id(now) and ledger.new_run_id(now).startswith("20250101_000000_")
+
+
+def test_commands(spark, config, tmp_path, capsys):
+    from millrace.__main__ import main
+
+    place = ["--warehouse", str(tmp_path / "cli"), "--config", str(tmp_path / "sources.yml")]
+    assert main(["run", *place]) == 0
+    assert main(["export", *place]) == 0
+    assert main(["status", "--last", "--json", *place]) == 0
+    assert main(["summary", "--out", str(tmp_path / "top"), *place]) == 0
+    printed = capsys.readouterr().out
+    assert "pop -> population: 2 rows, pass" in printed and '"group_name":"daily"' in printed
+    assert (tmp_path / "top" / "population_top").is_dir()
+    assert main(["run", "--warehouse", str(tmp_path / "cli2"), "--config", str(tmp_path / "sources.yml"), "--group", "none"]) == 0

@@ -103,6 +103,21 @@ def flatten_depth2(spark, sf):
     return flat.withColumn("nation_region_inner", F.to_json("nation_region_inner"))
 
 
+@query("explode_records_path", """
+SELECT o_orderkey, o_totalprice, o_orderpriority AS "detail.priority", o_custkey AS "detail.customer" FROM orders
+""")
+def explode_records_path(spark, sf):
+    """A nested record list to flat rows, one job from documents to columns."""
+    record = F.struct(
+        "o_orderkey", "o_totalprice",
+        F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_custkey").alias("customer")).alias("detail"),
+    )
+    docs = table(spark, sf, "orders").groupBy(F.floor(F.col("o_orderkey") / PAGE_ROWS).alias("page")).agg(
+        F.collect_list(record).alias("rows")
+    )
+    return shaping.explode_path(docs.select(F.struct("rows").alias("payload")), "payload.rows")
+
+
 @query("explode_properties", "SELECT c_name AS name, c_acctbal AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def explode_properties(spark, sf):
     """Only one nested object of each record stays."""
