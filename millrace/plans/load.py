@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.casts import cast_columns, col
+from millrace.operators import joins
 from millrace.operators.joins import anti_join, key_bytes, merge_rows, range_of_keys, within_range
 from millrace.operators.project import dedupe
 from millrace.plans.warehouse import Batch, Metrics, Warehouse
@@ -109,7 +110,8 @@ def prepare_upsert(
     """L3: update on a key match, else insert; NULL keys never match.
 
     Without keys it is a replace. Several rows for one key are an error unless ``order_by`` says
-    which one counts (the first in that order). The result is a new version of the whole table.
+    which one counts (the first in that order). Only the batches of the table that hold a key
+    of a small batch are written anew; a large one rewrites the table.
     """
     if not keys:
         return prepare_replace(wh, name, df, tag, metrics)
@@ -126,16 +128,46 @@ def prepare_upsert(
     with _held(wh, name, df, keys, stage) as (changes, stats):
         if not order_by:
             _need_unique(changes, keys, name)
-        if set(changes.columns) <= set(keys):
-            new = anti_join(changes, table, keys, stats["key_bytes"])
-            merged = table.unionByName(new, allowMissingColumns=True)
+        touched = _touched(wh, name, changes, keys, stats)
+        if not touched:  # no key of the batch is known
+            batch = wh.write(name, _filled(changes, table.schema), tag=tag, metrics=metrics)
+        elif set(changes.columns) <= set(keys):  # nothing to update
+            new = anti_join(changes, wh.table(name, touched), keys, stats["key_bytes"])
+            batch = wh.write(name, _filled(new, table.schema), tag=tag, metrics=metrics)
         else:
-            merged = merge_rows(table, changes, keys, stats["key_bytes"])
-        batch = wh.write(name, merged, replace=True, tag=tag, metrics=metrics)
+            merged = merge_rows(wh.table(name, touched), changes, keys, stats["key_bytes"])
+            batch = wh.write(name, merged, replace=touched, tag=tag, metrics=metrics)
     batch.counters["rows_batch"] = stats["total"]
     return batch
 
 
+def _filled(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All columns of the table, NULL where the batch lacks one."""
+    return df.select(
+        *[
+            (col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def _touched(wh: Warehouse, name: str, changes: DataFrame, keys: Sequence[str], stats: Mapping) -> list[str]:
+    """The table's batches that hold a key of the changes: a scan of the key columns in their range.
+
+    For changes too large to broadcast, all batches.
+    """
+    if stats["key_bytes"] > joins.BROADCAST_KEY_BYTES:
+        return wh.batches(name)
+    wanted = F.broadcast(changes.select(*[col(k) for k in keys]).dropna("any", subset=list(keys)))
+    table = within_range(wh.table(name), keys, stats)
+    held = table.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias("_file")).join(
+        wanted, list(keys), "left_semi"
+    )
+    # One row per batch comes back.
+    found = held.select(F.element_at(F.split("_file", "/"), -2).alias("batch")).distinct().collect()
+    return sorted(row["batch"] for row in found)
+
+
 def _need_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
     copies = df.filter(~_any_null(keys)).groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     doubled = copies.agg(F.count_if(F.col("n") > 1).alias("doubled")).first()["doubled"]

@@ -108,8 +108,8 @@ def run_source(
 def _audited(wh: Warehouse, source: SourceSpec, batch: Batch) -> tuple[DataFrame, bool]:
     """What the rules are checked on: the table as it would be after publishing, or the batch."""
     written = wh.read_batch(batch)
-    whole = source.mode in ("append", "incremental") and source.dq_scope == "table" and wh.exists(source.table)
-    return (wh.table(source.table).unionByName(written) if whole else written), whole
+    kept = [b for b in wh.batches(source.table) if b not in batch.replaces] if source.dq_scope == "table" else []
+    return (wh.table(source.table, kept).unionByName(written) if kept else written), bool(kept)
 
 
 def _attempt(wh: Warehouse, source: SourceSpec, dq, as_of: datetime, fail_fast: bool = False) -> SourceResult:

@@ -1,10 +1,10 @@
 """Tables as directories of published Parquet batches.
 
-``<root>/<table>/v<version>/b<batch>`` holds the files of one load. A batch counts once it has a
-``_PUBLISHED`` marker, and the current version is the highest one with a published batch. So a
-load is written first, audited, then made visible by creating one empty file, which is atomic on
-every file system; a failed or refused load leaves nothing visible, and a retried one that names
-its batch is recognised. One writer per table is assumed.
+``<root>/<table>/b<number>`` holds the files of one load. A batch counts once it has a
+``_PUBLISHED`` file, which names the batches it takes the place of: none for an append, all for a
+replace, those it rewrote for an upsert. So a load is written first, audited, then made visible in
+one step; a failed or refused load leaves nothing visible, and a repeated one that names its batch
+is recognised. One writer per table is assumed.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ class Batch:
     path: str
     rows: int
     counters: dict = field(default_factory=dict)
+    replaces: Sequence[str] = ()
     published: bool = False
 
 
@@ -41,27 +42,33 @@ class Warehouse:
         self.root = root.rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
 
-    def _batches(self, name: str) -> tuple[str | None, list[str]]:
-        """The current version and its published batch paths."""
+    def _published(self, name: str) -> tuple[list[str], set[str]]:
+        """All published batches of a table, and which of them others have taken the place of."""
         base = f"{self.root}/{name}"
-        found = [m.split("/")[:2] for m in storage.glob_names(self.spark, f"{base}/*/*/{MARKER}")]
-        if not found:
-            return None, []
-        current = max(version for version, _ in found)
-        return current, [f"{base}/{version}/{batch}" for version, batch in found if version == current]
+        markers = storage.glob_sizes(self.spark, f"{base}/*/{MARKER}")
+        full = [f"{base}/{m}" for m, size in markers.items() if size]
+        gone = {line for lines in storage.head_lines(self.spark, full, 1 << 20).values() for line in lines}
+        return [m.split("/")[0] for m in markers], gone
+
+    def batches(self, name: str) -> list[str]:
+        """Names of the batches that make up a table."""
+        published, gone = self._published(name)
+        return [b for b in published if b not in gone]
 
     def exists(self, name: str) -> bool:
-        return bool(self._batches(name)[1])
+        return bool(self.batches(name))
 
     def tables(self) -> list[str]:
         """Names of all tables with a published batch."""
-        return sorted({m.split("/")[0] for m in storage.glob_names(self.spark, f"{self.root}/*/*/*/{MARKER}")})
+        return sorted({m.split("/")[0] for m in storage.glob_sizes(self.spark, f"{self.root}/*/*/{MARKER}")})
 
-    def table(self, name: str) -> DataFrame:
-        paths = self._batches(name)[1]
-        if not paths:
+    def table(self, name: str, batches: Sequence[str] | None = None) -> DataFrame:
+        """A table, or some of its batches."""
+        chosen = self.batches(name) if batches is None else batches
+        if not chosen:
             raise ValueError(f"table {name} does not exist")
-        # All batches of a version have the schema of its first one.
+        paths = [f"{self.root}/{name}/{b}" for b in chosen]
+        # All batches of a table have the schema of its first one.
         if paths[0] not in self._schemas:
             self._schemas[paths[0]] = self.spark.read.parquet(paths[0]).schema
         return self.spark.read.schema(self._schemas[paths[0]]).parquet(*paths)
@@ -73,39 +80,34 @@ class Warehouse:
         return self.spark.read.parquet(batch.path)
 
     def has_batch(self, name: str, tag: str) -> bool:
-        return any(p.endswith(f"-{tag}") for p in self._batches(name)[1])
+        """Whether a batch of this name was ever published, also if it has been rewritten since."""
+        return any(b.endswith(f"-{tag}") for b in self._published(name)[0])
 
     def write(
         self,
         name: str,
         df: DataFrame,
-        replace: bool = False,
+        replace: bool | Sequence[str] = False,
         tag: str | None = None,
         metrics: Metrics | None = None,
     ) -> Batch:
-        """Write a batch without publishing it.
+        """Write a batch without publishing it; it is to replace the whole table, or some batches.
 
         The row count and ``metrics`` are observed on the frame that is written, in the writing
         stage itself, so a task that is run again is still counted once.
         """
         base = f"{self.root}/{name}"
-        versions = storage.list_dirs(self.spark, base)
-        current, _ = self._batches(name)
-        if replace or current is None:
-            version = f"v{int(versions[-1][1:]) + 1 if versions else 1:08d}"
-            number = 1
-        else:
-            version = current
-            used = storage.list_dirs(self.spark, f"{base}/{version}")
-            number = int(used[-1][1:9]) + 1 if used else 1
-        path = f"{base}/{version}/b{number:08d}" + (f"-{tag}" if tag else "")
+        used = storage.list_dirs(self.spark, base)
+        number = int(used[-1][1:9]) + 1 if used else 1
+        path = f"{base}/b{number:08d}" + (f"-{tag}" if tag else "")
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics(df) if metrics else [])).write.parquet(path)
         got = dict(seen.get)
-        return Batch(name, path, got.pop("rows"), got)
+        replaces = (self.batches(name) if replace else []) if isinstance(replace, bool) else list(replace)
+        return Batch(name, path, got.pop("rows"), got, replaces)
 
     def publish(self, batch: Batch) -> Batch:
-        storage.create_marker(self.spark, f"{batch.path}/{MARKER}")
+        storage.put_text(self.spark, f"{batch.path}/{MARKER}", "\n".join(batch.replaces))
         batch.published = True
         return batch
 
@@ -116,16 +118,16 @@ class Warehouse:
 
     def stage(self, name: str, df: DataFrame, metrics: Metrics | None = None) -> Batch:
         """Materialise a batch once, so that the passes of a load do not redo its source."""
-        return self.write(f"_stage_{name}", df, replace=True, metrics=metrics)
+        return self.write(f"_stage_{name}", df, metrics=metrics)
 
     def compact(self, name: str) -> Batch:
         """Rewrite a table of many small batches as one."""
         return self.publish(self.write(name, self.table(name).hint("rebalance"), replace=True))
 
     def vacuum(self, name: str) -> int:
-        """Remove the versions before the current one; no reader may still use them."""
-        current, _ = self._batches(name)
-        old = [v for v in storage.list_dirs(self.spark, f"{self.root}/{name}") if current and v < current]
-        for version in old:
-            storage.delete_tree(self.spark, f"{self.root}/{name}/{version}")
+        """Remove the batches others took the place of, oldest first; no reader may still use them."""
+        published, gone = self._published(name)
+        old = [b for b in published if b in gone]
+        for batch in old:
+            storage.delete_tree(self.spark, f"{self.root}/{name}/{batch}")
         return len(old)

@@ -25,13 +25,13 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
-def glob_names(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths a glob matches, relative to its fixed part (the first ``/*``), sorted; one listing."""
+def glob_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Paths a glob matches, relative to its fixed part (before the first ``/*``), and their
+    sizes, in order; one listing."""
     fs, jpath = _open(spark, pattern)
     depth = pattern[pattern.index("/*"):].count("/")
-    return sorted(
-        "/".join(s.getPath().toString().split("/")[-depth:]) for s in fs.globStatus(jpath) or []
-    )
+    found = {"/".join(s.getPath().toString().split("/")[-depth:]): s.getLen() for s in fs.globStatus(jpath) or []}
+    return dict(sorted(found.items()))
 
 
 def glob_files(spark: SparkSession, pattern: str) -> list[str]:
@@ -48,10 +48,15 @@ def glob_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(found)
 
 
-def create_marker(spark: SparkSession, path: str) -> None:
-    """An empty file; creating one is atomic on every file system."""
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written aside, then renamed."""
     fs, jpath = _open(spark, path)
-    fs.create(jpath, True).close()
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    out = fs.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(aside, jpath):
+        raise OSError(f"could not create {path}")
 
 
 def delete_tree(spark: SparkSession, path: str) -> None:

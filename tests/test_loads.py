@@ -264,3 +264,25 @@ def test_merge_is_idempotent(spark):
     once = joins.merge_rows(t, c, ["k"])
     assert rows(joins.merge_rows(once, c, ["k"])) == rows(once) == [(1, "a"), (2, "B"), (3, "C")]
     assert project.dedupe(once, ["k"]).count() == 3
+
+
+def test_upsert_rewrites_only_the_batches_it_touches(spark, wh):
+    for start in (0, 100, 200):
+        load.load(wh, "t", spark.range(start, start + 100).withColumn("v", F.lit("old")), "append")
+    first, second, third = wh.batches("t")
+    changes = spark.createDataFrame([(150, "new"), (151, "new"), (999, "new")], "id bigint, v string")
+    batch = load.load(wh, "t", changes, "upsert", keys=["id"])
+    assert list(batch.replaces) == [second] and batch.rows == 101
+    assert wh.batches("t")[:2] == [first, third]
+    assert wh.table("t").count() == 301 and wh.table("t").filter("v = 'new'").count() == 3
+    only_new = load.load(wh, "t", spark.createDataFrame([(2000, "x")], "id bigint, v string"), "upsert", keys=["id"])
+    assert only_new.rows == 1 and not only_new.replaces
+    assert wh.vacuum("t") == 1 and wh.table("t").count() == 302
+    load.load(wh, "t", wh.table("t"), "replace")
+    assert len(wh.batches("t")) == 1 and wh.vacuum("t") == 4 and wh.table("t").count() == 302
+
+
+def test_rewritten_batch_is_still_recognised(spark, wh):
+    wh.publish(wh.write("t", spark.range(3), tag="s0"))
+    wh.compact("t")
+    assert wh.has_batch("t", "s0") and not wh.has_batch("t", "s1") and wh.table("t").count() == 3

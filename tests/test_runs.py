@@ -124,6 +124,18 @@ def test_error_ends_a_group_but_not_an_independent_run(spark, wh, tmp_path):
     assert got["good"]["ok"] and got["good"]["rows"] == 4 and not got["bad"]["ok"] and "error" in got["bad"]
 
 
+def test_rules_of_an_upsert_see_the_whole_table(spark, wh, tmp_path):
+    for i, part in enumerate((spark.range(0, 10), spark.range(10, 20))):
+        wh.publish(wh.write("t", part.withColumn("v", F.lit(1.0 if i else -1.0))))
+    spark.range(15, 16).withColumn("v", F.lit(2.0)).write.parquet(str(tmp_path / "in"))
+    source = {"type": "parquet", "target_table": "t", "load_mode": "upsert", "key_columns": ["id"], "path": str(tmp_path / "in")}
+    dq = {"rules": {"t": {"checks": [{"range": {"column": "v", "min": 0}}, {"unique": ["id"]}]}}}
+    report = runner.run_sources(wh, [source], dq).results[0].report
+    assert [(r["rule"], r["bad_rows"], r["total_rows"]) for r in report] == [("range(v,0,)", 10, 20), ("unique(id)", 0, 20)]
+    report = runner.run_sources(wh, [{**source, "dq_scope": "batch"}], dq).results[0].report
+    assert report[0]["bad_rows"] == 0 and report[0]["total_rows"] == 10
+
+
 def test_empty_group(spark, wh):
     assert runner.run_group(spark, wh, {}, None, "none").status == "ok"
 
