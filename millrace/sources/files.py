@@ -69,7 +69,7 @@ def read_csv_files(
         if len(heads[file]) <= skiprows:
             continue  # no header line: nothing to read
         header = next(csv.reader([heads[file][skiprows].removeprefix("\ufeff")], delimiter=sep))
-        groups[tuple(header)].append(file)
+        groups[_column_names(header)].append(file)
     if not groups:
         raise ValueError(f"no columns to read in {path}")
 
@@ -94,6 +94,19 @@ def read_csv_files(
     return _typed(df, declared, infer)
 
 
+def _column_names(header: Sequence[str]) -> tuple[str, ...]:
+    """Distinct names: a repeated one gets ``.1``, ``.2``, an empty one its position."""
+    names: list[str] = []
+    for i, raw in enumerate(header):
+        name = base = raw or f"Unnamed: {i}"
+        n = 0
+        while name in names:
+            n += 1
+            name = f"{base}.{n}"
+        names.append(name)
+    return tuple(names)
+
+
 def _skip_lines(
     spark: SparkSession, files: list[str], schema: T.StructType, sep: str, n: int, encoding: str
 ) -> DataFrame:
@@ -152,18 +165,20 @@ def _typed(df: DataFrame, declared: Mapping[str, str], infer: bool) -> DataFrame
     open_columns = [c for c in df.columns if c not in new] if infer else []
     if open_columns:
         kinds = infer_kinds(df, open_columns)
-        new.update({c: coerce(col(c), T.StringType(), k) for c, k in kinds.items() if k != "str"})
+        new.update({c: coerce(col(c), T.StringType(), k) for c, k in kinds.items() if k in ("int", "float")})
+        new.update({c: F.lower(col(c)) == "true" for c, k in kinds.items() if k == "bool"})
     return df.select(*[new[c].alias(c) if c in new else col(c) for c in df.columns])
 
 
 def infer_kinds(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
-    """``int``, ``float`` or ``str`` for text columns: one aggregation, one row back."""
+    """``int``, ``float``, ``bool`` or ``str`` for text columns: one aggregation, one row back."""
     text = T.StringType()
     counts = df.agg(
         *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(names)],
         *[F.count(coerce(col(c), text, "int")).alias(f"i{i}") for i, c in enumerate(names)],
         *[F.count(coerce(col(c), text, "float")).alias(f"f{i}") for i, c in enumerate(names)],
         *[F.count_if(col(c).rlike("[.eE]")).alias(f"p{i}") for i, c in enumerate(names)],
+        *[F.count_if(F.lower(col(c)).isin("true", "false")).alias(f"b{i}") for i, c in enumerate(names)],
     ).first()
     kinds = {}
     for i, name in enumerate(names):
@@ -171,6 +186,8 @@ def infer_kinds(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
             kinds[name] = "int"
         elif counts[f"n{i}"] and counts[f"f{i}"] == counts[f"n{i}"]:
             kinds[name] = "float"
+        elif counts[f"n{i}"] and counts[f"b{i}"] == counts[f"n{i}"]:
+            kinds[name] = "bool"
         else:
             kinds[name] = "str"
     return kinds

@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.operators import quality
+from millrace.operators.project import postprocess, transform
 from millrace.plans.load import prepare_incremental
+from millrace.plans.spec import SourceSpec
 from millrace.plans.warehouse import Warehouse
 
 
@@ -106,3 +108,43 @@ def quality_stream(
             warehouse.publish(warehouse.write(metrics_table, stamped.coalesce(1), tag=tag))
 
     return _start(stream, checkpoint, handle, every_minutes)
+
+
+# How the file sources of a spec are read as streams.
+_STREAM_FORMATS = {
+    "parquet": ("parquet", {}),
+    "csv": ("csv", {"header": "true"}),
+    "csv_local": ("csv", {"header": "true"}),
+    "json": ("json", {}),
+}
+
+
+def stream_sources(
+    warehouse: Warehouse, sources: Sequence[Mapping], checkpoint_root: str, default_minutes: int | None = 60
+) -> dict[str, StreamingQuery]:
+    """The periodic form of a run: one query per file source, each with its own ``every_minutes``.
+
+    Sources need ``params.schema`` and the mode ``append`` or ``incremental``. The checkpoint of
+    each source keeps what has been read. ``default_minutes=None`` takes what is there and ends.
+    """
+    started = {}
+    for spec in map(SourceSpec.from_dict, sources):
+        if spec.type not in _STREAM_FORMATS or not spec.params.get("schema"):
+            raise ValueError(f"source {spec.name}: a stream needs a file source with params.schema")
+        file_format, options = _STREAM_FORMATS[spec.type]
+        if spec.params.get("sep"):
+            options = {**options, "sep": spec.params["sep"]}
+        files = file_stream(warehouse.spark, spec.params["path"], spec.params["schema"], file_format, **options)
+        rows = postprocess(transform(files, spec.params), spec.post)
+        where = f"{checkpoint_root.rstrip('/')}/{spec.name}"
+        minutes = spec.every_minutes or default_minutes
+        if spec.mode == "incremental":
+            started[spec.name] = ingest_incremental(
+                rows, warehouse, spec.table, spec.keys, where, spec.cast_map, spec.dedupe_batch,
+                spec.order_by or None, minutes,
+            )
+        elif spec.mode == "append":
+            started[spec.name] = append_stream(rows, warehouse, spec.table, where, minutes)
+        else:
+            raise ValueError(f"source {spec.name}: mode {spec.mode} does not stream")
+    return started

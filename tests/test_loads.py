@@ -1,11 +1,14 @@
 """Joins, loads and exports, on the noise the jobs have to survive."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.casts import cast_columns
 from millrace.operators import aggregate, joins, project
 from millrace.plans import export, load
+from millrace.plans.warehouse import Warehouse
 from millrace.sources import files
 from tests.conftest import plan, rows
 
@@ -286,3 +289,38 @@ def test_rewritten_batch_is_still_recognised(spark, wh):
     wh.publish(wh.write("t", spark.range(3), tag="s0"))
     wh.compact("t")
     assert wh.has_batch("t", "s0") and not wh.has_batch("t", "s1") and wh.table("t").count() == 3
+
+
+KEYS = st.one_of(st.none(), st.integers(0, 6).map(str), st.just("BAD"), st.just(" 3 "), st.just("2.5"))
+BATCHES = st.lists(st.lists(st.tuples(KEYS, st.integers(0, 9)), max_size=8), min_size=1, max_size=3)
+
+
+def typed_key(text):
+    return {None: None, "BAD": None, " 3 ": 3, "2.5": 3}.get(text, int(text) if text and text.isdigit() else None)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(BATCHES)
+def test_increments_agree_with_brute_force(spark, tmp_path_factory, batches):
+    wh = Warehouse(spark, str(tmp_path_factory.mktemp("inc")))
+    want: list = []
+    for batch in batches:
+        df = spark.createDataFrame(batch, "k string, v int")
+        got = load.load(wh, "t", df, "incremental", keys=["k"], cast_map={"k": "BIGINT"})
+        known = {k for k, _ in want}
+        fresh = [(typed_key(k), v) for k, v in batch if typed_key(k) is not None and typed_key(k) not in known]
+        nulls = sum(typed_key(k) is None for k, _ in batch)
+        assert counters(got) == {"inserted": len(fresh), "skipped_null_key": nulls, "skipped_dup": len(batch) - nulls - len(fresh)}
+        want += fresh
+    assert rows(wh.table("t")) == sorted(want, key=lambda r: [(False, str(v)) for v in r])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.integers(0, 8), st.integers(0, 9), max_size=6), min_size=1, max_size=3))
+def test_upserts_agree_with_brute_force(spark, tmp_path_factory, batches):
+    wh = Warehouse(spark, str(tmp_path_factory.mktemp("ups")))
+    want: dict = {}
+    for batch in batches:
+        load.load(wh, "t", spark.createDataFrame(list(batch.items()), "k int, v int"), "upsert", keys=["k"])
+        want |= batch
+    assert rows(wh.table("t")) == rows(spark.createDataFrame(list(want.items()), "k int, v int"))

@@ -77,6 +77,13 @@ def test_bom_and_quoted_header(spark, tmp_path):
     assert files.read_csv_files(spark, str(tmp_path / "d" / "*.csv")).columns == ["a,x", "b"]
 
 
+def test_repeated_and_empty_header_names_and_booleans(spark, tmp_path):
+    write(tmp_path / "d" / "1.csv", "a,a,,f,g\n1,2,3,True,true\n4,5,6,FALSE,x\n")
+    df = files.read_csv_files(spark, str(tmp_path / "d" / "*.csv"))
+    assert df.columns == ["a", "a.1", "Unnamed: 2", "f", "g"]
+    assert rows(df) == [(1, 2, 3, True, "true"), (4, 5, 6, False, "x")]
+
+
 def test_normalized_names(spark, tmp_path):
     p = write(tmp_path / "n.csv", "Año Fiscal,B--c\n1,2.5\n")
     assert files.read_csv_normalized(spark, p).dtypes == [("a_o_fiscal", "int"), ("b_c", "double")]

@@ -1,5 +1,6 @@
 """Streams over landed files equal the batch jobs on the same files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import quality
@@ -65,3 +66,22 @@ def test_quality_stream(spark, wh, tmp_path):
     got = wh.table("m").groupBy("rule").agg(F.sum("bad_rows"), F.sum("total_rows"))
     assert rows(got) == [("not_null(id,v)", 2, 4), ("range(v,0,400)", 2, 4)]
     assert wh.table("m").select("batch_id").distinct().count() == 2
+
+
+def test_periodic_sources(spark, wh, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("id;v\n1;5\nx;6\n2;7\n")
+    spark.range(3).write.parquet(str(tmp_path / "pq"))
+    sources = [
+        {"name": "inc", "type": "csv_local", "table": "t", "mode": "incremental", "incremental": {"key": "id", "cast_map": CASTS},
+         "params": {"path": str(tmp_path / "in"), "schema": SCHEMA, "sep": ";", "filter": ["v <> '7'"]}},
+        {"name": "app", "type": "parquet", "table": "p", "mode": "append", "params": {"path": str(tmp_path / "pq"), "schema": "id bigint"}},
+    ]
+    for _ in range(2):
+        for query in ingest.stream_sources(wh, sources, str(tmp_path / "cp"), None).values():
+            query.awaitTermination()
+    assert rows(wh.table("t")) == [(1, 5.0)] and wh.table("p").count() == 3
+    with pytest.raises(ValueError):
+        ingest.stream_sources(wh, [{**sources[1], "mode": "replace"}], str(tmp_path / "cp"), None)
+    with pytest.raises(ValueError):
+        ingest.stream_sources(wh, [{**sources[1], "params": {"path": "x"}}], str(tmp_path / "cp"), None)

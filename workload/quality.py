@@ -103,11 +103,17 @@ def _group_metrics(wh: Warehouse):
     )
 
 
-@query("group_run_metrics", """
+@query("group_run_metrics", f"""
+WITH {SQL_EVENT_REPORT},
+o AS (SELECT count(*) AS n,
+  CAST(count(*) <> count(o_orderkey) AS INTEGER) + CAST(count(*) <> count(DISTINCT o_orderkey) AS INTEGER)
+  + CAST(count(*) FILTER (WHERE o_totalprice < 0 OR o_totalprice > 10000000) > 0 AS INTEGER) AS failed FROM orders),
+l AS (SELECT count(*) AS n, CAST((SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) < count(*) AS INTEGER)
+  + CAST(count(*) FILTER (WHERE l_discount < 0 OR l_discount > 0.05) > 0 AS INTEGER) AS failed FROM lineitem)
 SELECT 'events_src' AS source_name, 'events' AS table_name, CAST(0 AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS rows_table,
-       FALSE AS dq_pass, CAST(3 AS BIGINT) AS dq_violations
-UNION ALL SELECT 'orders_src', 'orders', count(*), count(*), TRUE, CAST(0 AS BIGINT) FROM orders
-UNION ALL SELECT 'lineitem_src', 'lineitem', count(*), count(*), FALSE, CAST(2 AS BIGINT) FROM lineitem
+       count(*) = 0 AS dq_pass, count(*) AS dq_violations FROM report WHERE bad_rows > 0
+UNION ALL SELECT 'orders_src', 'orders', n, n, failed = 0, CAST(failed AS BIGINT) FROM o
+UNION ALL SELECT 'lineitem_src', 'lineitem', n, n, failed = 0, CAST(failed AS BIGINT) FROM l
 """)
 def group_run_metrics(spark, sf):
     """A blocked batch is not published, a warned one is, each has a metrics row."""
@@ -116,16 +122,19 @@ def group_run_metrics(spark, sf):
     return _group_metrics(wh)
 
 
-@query("dq_gate", """
-SELECT 'fail' AS status, count(*) AS sources_recorded, 'events_src' AS last_source FROM (SELECT 1 AS one)
+@query("dq_gate", f"""
+WITH {SQL_EVENT_REPORT}
+SELECT CASE WHEN count(*) > 0 THEN 'fail' ELSE 'ok' END AS status, CAST(CASE WHEN count(*) > 0 THEN 1 ELSE 3 END AS BIGINT) AS sources_recorded,
+       count(*) AS violations, CASE WHEN count(*) > 0 THEN 'events_src' ELSE 'orders_src' END AS last_source
+FROM report WHERE bad_rows > 0
 """)
 def dq_gate(spark, sf):
     """Q7: under fail-fast the failing source is recorded and ends the group."""
     wh, config = run_daily(spark, sf)
     result = runner.run_group(spark, wh, config, DQ, "daily", fail_fast=True, as_of=AS_OF)
-    return ledger.metrics(wh).agg(F.count("*").alias("sources_recorded"), F.max("source_name").alias("last_source")).select(
-        F.lit(result.status).alias("status"), "sources_recorded", "last_source"
-    )
+    return ledger.metrics(wh).agg(
+        F.count("*").alias("sources_recorded"), F.sum("dq_violations").alias("violations"), F.max("source_name").alias("last_source")
+    ).select(F.lit(result.status).alias("status"), "sources_recorded", "violations", "last_source")
 
 
 @query("run_health", """
