@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -16,9 +16,8 @@ from millrace.functions.text import normalize_columns
 from millrace.operators.shaping import flatten
 from millrace.sources import storage
 
-# The file listing is held by the driver anyway; up to this many files a one-row-per-file
-# table is broadcast, beyond it Spark plans the join.
-FILE_TABLE_BROADCAST_ROWS = 100_000
+# At most this many skipped lines go into one broadcast.
+HEAD_LINES_BROADCAST = 50_000
 
 # Cell texts that mean "missing" in a CSV file, besides the empty cell.
 MISSING_TEXTS = (
@@ -77,7 +76,15 @@ def read_csv_files(
     for header, members in groups.items():
         raw = T.StructType([T.StructField(name, T.StringType()) for name in header])
         if skiprows:
-            part = _skip_lines(spark, members, raw, sep, skiprows + 1, encoding)
+            # What is broadcast has a bounded number of lines; more files are read in several parts.
+            size = max(HEAD_LINES_BROADCAST // (skiprows + 1), 1)
+            part = reduce(
+                DataFrame.union,
+                [
+                    _skip_lines(spark, {f: heads[f] for f in members[i : i + size]}, raw, sep, encoding)
+                    for i in range(0, len(members), size)
+                ],
+            )
         else:
             part = (
                 spark.read.option("header", True).option("sep", sep).option("encoding", encoding).schema(raw).csv(members)
@@ -108,33 +115,42 @@ def _column_names(header: Sequence[str]) -> tuple[str, ...]:
 
 
 def _skip_lines(
-    spark: SparkSession, files: list[str], schema: T.StructType, sep: str, n: int, encoding: str
+    spark: SparkSession, heads: Mapping[str, Sequence[str]], schema: T.StructType, sep: str, encoding: str
 ) -> DataFrame:
-    """Drop the first ``n`` lines of every file without reading a file as one value.
+    """The data lines of files, without the first lines of each (``heads``).
 
-    Lines of a split are numbered consecutively, so a line's place in its file's first split
-    is its number less the number the split starts with: one small row per file.
+    Rows have no place in a file once Spark splits it. But lines of one text are alike, so it
+    does not matter which of them go: of every head line as many go as the head has. Lines that
+    differ from the head lines of their file pass through one broadcast join.
     """
     lines = (
         spark.read.option("encoding", encoding)
-        .text(files)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("line_id"),
-        )
-    )
-    starts = lines.filter("block_start = 0").groupBy("file").agg(F.min("line_id").alias("first_id"))
-    if len(files) <= FILE_TABLE_BROADCAST_ROWS:
-        starts = F.broadcast(starts)
-    kept = (
-        lines.join(starts, "file", "left")
-        .filter((F.col("block_start") != 0) | (F.col("line_id") - F.col("first_id") >= n))
+        .text(list(heads))
+        .select("value", F.col("_metadata.file_path").alias("file"))
         .filter(F.trim("value") != "")
     )
+    counts = [
+        (storage.uri(spark, file), text, n)
+        for file, first in heads.items()
+        for text, n in Counter(line.removeprefix("\ufeff") for line in first).items()
+    ]
+    skipped = F.broadcast(spark.createDataFrame(counts, "file string, value string, n bigint"))
+    others = lines.join(skipped, ["file", "value"], "left_anti").select("value")
+    alike = lines.join(skipped, ["file", "value"]).groupBy("file", "value").agg(
+        (F.count(F.lit(1)) - F.first("n")).alias("left")
+    )
     parsed = F.from_csv("value", _ddl(schema), {"sep": sep})
-    return kept.select(parsed.alias("row")).select("row.*")
+    return others.unionByName(_repeat(alike)).select(parsed.alias("row")).select("row.*")
+
+
+def _repeat(counted: DataFrame, portion: int = 10_000) -> DataFrame:
+    """``value`` as often as ``left`` says; a large number is spread over tasks by portions."""
+    portions = counted.filter(F.col("left") > 0).select(
+        "value", "left", F.explode(F.sequence(F.lit(0), F.floor((F.col("left") - 1) / portion))).alias("i")
+    )
+    return portions.repartition("value", "i").select(
+        "value", F.explode(F.sequence(F.lit(1), F.least(F.lit(portion), F.col("left") - F.col("i") * portion))).alias("_")
+    ).select("value")
 
 
 def _ddl(schema: T.StructType) -> str:

@@ -48,6 +48,11 @@ def glob_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(found)
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """The path as ``_metadata.file_path`` spells it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that appears whole: written aside, then renamed."""
     fs, jpath = _open(spark, path)

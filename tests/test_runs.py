@@ -39,10 +39,7 @@ groups:
       export_parquet:
         dir: %(root)s/out/air
         overwrite: true
-        export_sql: |
-          SELECT *, year(CAST(datetime_utc AS TIMESTAMP)) AS year,
-            lpad(CAST(month(CAST(datetime_utc AS TIMESTAMP)) AS VARCHAR), 2, '0') AS month
-          FROM air
+        export_sql: SELECT *, year(datetime_utc) AS year, lpad(CAST(month(datetime_utc) AS VARCHAR), 2, '0') AS month FROM air
         partition_by: [year, month]
     - name: quakes
       type: http_json

@@ -64,6 +64,23 @@ def test_skipped_lines_are_the_first_of_each_file_only(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_data_lines_like_skipped_lines_stay(spark, tmp_path, monkeypatch):
+    write(tmp_path / "d" / "1.csv", "1;a\n1;a\nid;t\n1;a\n1;a\n1;a\n2;b\n")
+    write(tmp_path / "d" / "2.csv", "note\n1;a\nid;t\n1;a\nid;t\n\n")
+    write(tmp_path / "d" / "3 ñ%.csv", "\ufeffnote\n\nid;t\n9;z\n")
+    want = sorted([("1", "a")] * 4 + [("2", "b"), ("id", "t"), ("9", "z")])
+    for bound in (50_000, 3):  # one read, or one per file
+        monkeypatch.setattr(files, "HEAD_LINES_BROADCAST", bound)
+        df = files.read_csv_files(spark, str(tmp_path / "d" / "*.csv"), sep=";", skiprows=2, dtype={"id": "str", "t": "str"})
+        assert rows(df) == want
+
+
+def test_many_lines_like_a_skipped_line(spark, tmp_path):
+    write(tmp_path / "d" / "1.csv", "5\nid\n" + "5\n" * 25_000)
+    df = files.read_csv_files(spark, str(tmp_path / "d" / "*.csv"), skiprows=1)
+    assert df.count() == 25_000 and df.distinct().collect() == [(5,)]
+
+
 def test_no_files_and_missing_columns_are_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_csv_files(spark, str(tmp_path / "none" / "*.csv"))

@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import times
 from millrace.operators import aggregate, analytics
-from millrace.plans import load
 from workload import AS_OF, query, table
-from workload.loads import new_warehouse
 
 
 @query("topk_sum", "SELECT l_partkey AS key, sum(l_quantity) AS total FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
@@ -88,13 +86,11 @@ UNION ALL SELECT * FROM (SELECT 'benchmark', text, CAST(sum(item_id) AS DOUBLE)
 UNION ALL SELECT * FROM (SELECT 'documents', text, CAST(sum(doc_id) AS DOUBLE) FROM documents GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
 """)
 def auto_summary_all(spark, sf):
-    """A summary of every table of a warehouse that has rows and two columns."""
-    wh = new_warehouse(spark)
-    for name in SUMMARISED:
-        load.load(wh, name, table(spark, sf, name))
-    load.load(wh, "single_column", table(spark, sf, "region").select("r_name"))
-    load.load(wh, "no_rows", table(spark, sf, "region").filter("false"))
-    parts = analytics.summarize_all({name: wh.table(name) for name in wh.tables()}, 10)
+    """A summary of every table that has rows and two columns."""
+    tables = {name: table(spark, sf, name) for name in SUMMARISED}
+    tables["single_column"] = tables["customer"].select("c_name")
+    tables["no_rows"] = tables["customer"].filter("c_custkey IS NULL")
+    parts = analytics.summarize_all(tables, 10)
 
     def key_text(df):
         is_time = df.schema["key"].dataType.typeName().startswith("timestamp")

@@ -224,10 +224,7 @@ FROM (SELECT * FROM loaded UNION ALL SELECT * FROM fresh) GROUP BY 1, 2, 3
 def export_sql_partitioned(spark, sf):
     """The flagship flow: increment, export of a query by computed columns, counts read back."""
     wh, _ = incremental_events(spark, sf)
-    sql = (
-        "SELECT *, year(CAST(ts AS TIMESTAMP)) AS year, "
-        "lpad(CAST(month(CAST(ts AS TIMESTAMP)) AS VARCHAR), 2, '0') AS month FROM events"
-    )
+    sql = "SELECT *, year(ts) AS year, lpad(CAST(month(ts) AS VARCHAR), 2, '0') AS month FROM events"
     path = export.export_query(wh, sql, f"{scratch_dir(spark, 'export')}/events", ["year", "month"])
     back = files.read_parquet_tree(spark, path, "year int, month string")
     return back.groupBy("year", "month", F.day("ts").cast("bigint").alias("day")).agg(
