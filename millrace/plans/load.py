@@ -212,7 +212,10 @@ def prepare_incremental(
             same_types = all(table.schema[k].dataType == rows.schema[k].dataType for k in keys)
             fresh = align(fresh, table.schema)
             candidates = within_range(table, keys, stats) if same_types else table
-            fresh = anti_join(fresh, candidates, keys, stats["key_bytes"])
+            # A large batch past the end of a table, as series are loaded, needs no exchange at all.
+            apart = stats["key_bytes"] > joins.BROADCAST_KEY_BYTES and candidates.isEmpty()
+            if not apart:
+                fresh = anti_join(fresh, candidates, keys, stats["key_bytes"])
         if dedupe_batch:
             fresh = dedupe(fresh, keys, order_by)
         return _counted(wh.write(name, fresh, tag=tag, metrics=metrics), stats)

@@ -70,36 +70,38 @@ def run_source(
         df = wh.read_batch(staged)
 
     rules = quality.rules_for(dq, source.table)
-    batch = prepare(
-        wh, source.table, df, source.mode, keys=source.keys, cast_map=source.cast_map,
-        order_by=source.order_by or None, dedupe_batch=source.dedupe_batch,
-        metrics=(lambda d: quality.row_counts(d, rules)) if rules else None,
-        stage=staged is None and source.type not in _COLUMNAR,
-    )
-    if rules:
-        audited, whole = _audited(wh, source, batch)
-        # One row per configured rule comes back. If the batch is all there is to check, its
-        # row rules were counted while it was written.
-        out.report = quality.report(audited, source.table, rules, None if whole else batch.counters).collect()
-        out.verdict = quality.verdict_of(out.report, rules)
-    out.decision = quality.gate(out.verdict, fail_fast)
-    blocked = not out.verdict.passed and out.verdict.on_fail == "block"
-    if blocked:
-        wh.discard(batch)
-    else:
-        finish(wh, batch)
-        if mark is not None:
-            with _STATE_LOCK:
-                ledger.append_rows(wh, ledger.STATE, [(source.name, mark, utc_now())], ledger.STATE_SCHEMA)
-        if source.export:
-            export_table(wh, source.table, source.export)
-    if staged is not None:
-        wh.discard(staged)
+    batch = None
+    try:
+        batch = prepare(
+            wh, source.table, df, source.mode, keys=source.keys, cast_map=source.cast_map,
+            order_by=source.order_by or None, dedupe_batch=source.dedupe_batch,
+            metrics=(lambda d: quality.row_counts(d, rules)) if rules else None,
+            stage=staged is None and source.type not in _COLUMNAR,
+        )
+        if rules:
+            audited, whole = _audited(wh, source, batch)
+            # One row per configured rule comes back. If the batch is all there is to check, its
+            # row rules were counted while it was written.
+            out.report = quality.report(audited, source.table, rules, None if whole else batch.counters).collect()
+            out.verdict = quality.verdict_of(out.report, rules)
+        out.decision = quality.gate(out.verdict, fail_fast)
+        blocked = not out.verdict.passed and out.verdict.on_fail == "block"
+        if not blocked:
+            finish(wh, batch)
+            if mark is not None:
+                with _STATE_LOCK:
+                    ledger.append_rows(wh, ledger.STATE, [(source.name, mark, utc_now())], ledger.STATE_SCHEMA)
+    finally:
+        for written in (staged, batch):
+            if written is not None and not written.published:
+                wh.discard(written)
+    if source.export and not blocked:
+        export_table(wh, source.table, source.export)
     out.since = mark or since
     out.rows = 0 if blocked else batch.counters.get("inserted", batch.counters.get("rows_batch", batch.rows))
-    if not blocked and source.mode == "replace":
-        out.rows_table = batch.rows or None
-    if out.rows_table is None:
+    if batch.published and source.mode == "replace":
+        out.rows_table = batch.rows
+    else:
         out.rows_table = wh.table(source.table).count() if wh.exists(source.table) else 0
     out.counters = batch.counters
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -14,6 +14,11 @@ _SHARED = {
 }
 
 
+def _names(value: str | Sequence[str] | None) -> tuple[str, ...]:
+    """One name or a list of names."""
+    return (value,) if isinstance(value, str) else tuple(value or ())
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     name: str
@@ -43,7 +48,7 @@ class SourceSpec:
         if mode not in MODES:
             raise ValueError(f"unknown load mode {mode!r}; use one of {MODES}")
         step = d.get("incremental") or {}
-        keys = step.get("key") or d.get("key_columns") or ()
+        keys = step.get("key") or d.get("key_columns")
         # The flat dialect writes the source's own options beside the shared ones.
         params = {**{k: v for k, v in d.items() if k not in _SHARED}, **(d.get("params") or {})}
         if d["type"] == "api" and "path" not in params:
@@ -54,9 +59,9 @@ class SourceSpec:
             table=table,
             mode=mode,
             params=params,
-            keys=tuple([keys] if isinstance(keys, str) else keys),
+            keys=_names(keys),
             cast_map=step.get("cast_map") or {},
-            order_by=tuple(d.get("order_by") or step.get("order_by") or ()),
+            order_by=_names(d.get("order_by") or step.get("order_by")),
             dedupe_batch=bool(d.get("dedupe_batch") or step.get("dedupe_batch")),
             export=d.get("export_parquet") or {},
             post=d.get("post") or params.get("post") or {},

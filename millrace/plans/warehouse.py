@@ -67,8 +67,10 @@ class Warehouse:
         chosen = self.batches(name) if batches is None else batches
         if not chosen:
             raise ValueError(f"table {name} does not exist")
-        paths = [f"{self.root}/{name}/{b}" for b in chosen]
-        # All batches of a table have the schema of its first one.
+        return self._read([f"{self.root}/{name}/{b}" for b in chosen])
+
+    def _read(self, paths: Sequence[str]) -> DataFrame:
+        """All batches of a table have the schema of its first one."""
         if paths[0] not in self._schemas:
             self._schemas[paths[0]] = self.spark.read.parquet(paths[0]).schema
         return self.spark.read.schema(self._schemas[paths[0]]).parquet(*paths)
@@ -77,7 +79,7 @@ class Warehouse:
         self.table(name).createOrReplaceTempView(name)
 
     def read_batch(self, batch: Batch) -> DataFrame:
-        return self.spark.read.parquet(batch.path)
+        return self._read([batch.path])
 
     def has_batch(self, name: str, tag: str) -> bool:
         """Whether a batch of this name was ever published, also if it has been rewritten since."""
@@ -101,6 +103,7 @@ class Warehouse:
         number = int(used[-1][1:9]) + 1 if used else 1
         path = f"{base}/b{number:08d}" + (f"-{tag}" if tag else "")
         seen = Observation()
+        self._schemas[path] = df.schema
         df.observe(seen, F.count(F.lit(1)).alias("rows"), *(metrics(df) if metrics else [])).write.parquet(path)
         got = dict(seen.get)
         replaces = (self.batches(name) if replace else []) if isinstance(replace, bool) else list(replace)

@@ -60,6 +60,12 @@ def _landed(params: Mapping) -> str:
     return params["path"]
 
 
+def _documents(spark: SparkSession, params: Mapping) -> DataFrame:
+    """Landed JSON documents as structs: one per file, or per line; declare ``schema`` to save a scan."""
+    reader = spark.read.option("multiLine", not params.get("per_line"))
+    return (reader.schema(params["schema"]) if params.get("schema") else reader).json(_landed(params))
+
+
 @register_adapter("csv_local")
 def csv_one(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
     return files.read_csv(spark, params.get("path"), params.get("sep"), params.get("encoding"), params.get("schema"))
@@ -76,16 +82,14 @@ def csv_many(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame
 def landed_json(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
     """Landed payloads: a named transform, or the generic route with select, rename, enrich."""
     if params.get("transform"):
-        docs = spark.read.option("multiLine", True)
-        docs = (docs.schema(params["schema"]) if params.get("schema") else docs).json(_landed(params))
-        df = get_transform(params["transform"])(docs, params.get("transform_args") or {})
+        df = get_transform(params["transform"])(_documents(spark, params), params.get("transform_args") or {})
         query = windows.resolve_query(params.get("query"), as_of)
         if "datetime_utc" in df.columns and {"starttime", "endtime", "minmagnitude"} & query.keys():
             magnitude = "magnitude" if "magnitude" in df.columns else None
             df = windows.window_filter(df, "datetime_utc", query, as_of, magnitude)
         return df
     df = payload.payload_frame(
-        payload.read_payloads(spark, _landed(params)),
+        payload.read_payloads(spark, _landed(params), bool(params.get("per_line"))),
         params.get("records_key_chain"),
         params.get("explode_properties"),
         params.get("schema"),
@@ -102,10 +106,9 @@ def landed_json_simple(spark: SparkSession, params: Mapping, as_of: datetime) ->
     root = [params["root_index"]] if "root_index" in params else []
     if params.get("hourly_to_rows"):
         h = params["hourly_to_rows"]
-        docs = spark.read.option("multiLine", True).json(_landed(params))
-        df = shaping.raw_hourly_to_rows(docs, h["time_field"], h["value_field"], h.get("constant_fields"))
+        df = shaping.raw_hourly_to_rows(_documents(spark, params), h["time_field"], h["value_field"], h.get("constant_fields"))
         return transform(df, params)
-    docs = payload.read_payloads(spark, _landed(params))
+    docs = payload.read_payloads(spark, _landed(params), bool(params.get("per_line")))
     path = params.get("record_path") or []
     chain = root + (path if isinstance(path, list) else [path])
     if path:
@@ -133,13 +136,14 @@ def csv_source(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFra
 
 @register_adapter("json")
 def json_source(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
-    return files.read_json(spark, params["path"], params.get("records_path"), params.get("schema"))
+    per_line = bool(params.get("per_line"))
+    return files.read_json(spark, params["path"], params.get("records_path"), params.get("schema"), per_line)
 
 
 @register_adapter("api")
 def api_source(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
     """All landed pages as one record set."""
-    docs = payload.read_payloads(spark, _landed(params))
+    docs = payload.read_payloads(spark, _landed(params), bool(params.get("per_line")))
     chain = params["records_path"].split(".") if params.get("records_path") else []
     if chain:
         records = payload.explode_pages(docs, chain)

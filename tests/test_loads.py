@@ -97,6 +97,16 @@ def test_increment_same_result_small_and_large(spark, wh, monkeypatch, small):
     assert wh.table("t").count() == n // 2 + len(brute)
 
 
+def test_large_batch_past_the_table_is_not_joined(spark, wh, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_KEY_BYTES", -1)
+    joined = []
+    monkeypatch.setattr(load, "anti_join", lambda *a: joined.append(1) or joins.anti_join(*a))
+    load.load(wh, "t", spark.range(100))
+    assert load.load(wh, "t", spark.range(100, 300), "incremental", keys=["id"]).rows == 200 and not joined
+    assert load.load(wh, "t", spark.range(250, 400), "incremental", keys=["id"]).rows == 100 and joined
+    assert wh.table("t").distinct().count() == wh.table("t").count() == 400
+
+
 def test_key_range_prunes_the_table_scan(spark, loaded):
     bounds = {"_lo0": 5, "_hi0": 9}
     load.load(loaded, "n", spark.range(100))

@@ -133,6 +133,14 @@ def test_rules_of_an_upsert_see_the_whole_table(spark, wh, tmp_path):
     assert report[0]["bad_rows"] == 0 and report[0]["total_rows"] == 10
 
 
+def test_failed_audit_leaves_no_files(spark, wh, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    source = {"type": "parquet", "target_table": "t", "path": str(tmp_path / "in"), "since_field": "id"}
+    result = runner.run_sources(wh, [source], {"rules": {"t": {"checks": [{"unique": ["zz"]}]}}})
+    assert not result.results[0].ok and not wh.exists("t")
+    assert not list((tmp_path / "warehouse" / "t").iterdir()) and ledger.stored_since(wh, "t") is None
+
+
 def test_empty_group(spark, wh):
     assert runner.run_group(spark, wh, {}, None, "none").status == "ok"
 
@@ -152,7 +160,8 @@ def test_high_water_mark_across_runs(spark, wh, tmp_path):
 
 
 def test_specs():
-    flat = SourceSpec.from_dict({"type": "csv", "target_table": "t", "load_mode": "upsert", "key_columns": ["id"], "path": "p", "sep": ";", "every_minutes": 5})
+    flat = SourceSpec.from_dict({"type": "csv", "target_table": "t", "load_mode": "upsert", "key_columns": ["id"], "path": "p", "sep": ";", "every_minutes": 5, "order_by": "v desc"})
+    assert flat.order_by == ("v desc",)
     assert (flat.name, flat.table, flat.mode, flat.keys, flat.params, flat.every_minutes) == ("t", "t", "upsert", ("id",), {"path": "p", "sep": ";"}, 5)
     grouped = group_sources({"defaults": {"mode": "append"}, "groups": {"g": [{"name": "n", "type": "csv_local"}]}}, "g")
     assert (grouped[0].mode, grouped[0].table) == ("append", "n")

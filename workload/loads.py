@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.casts import cast_columns
 from millrace.operators import aggregate, joins
 from millrace.plans import export, load
 from millrace.plans.warehouse import Warehouse

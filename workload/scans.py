@@ -178,7 +178,7 @@ def paged_payload_union(spark, sf):
     pages = o.groupBy(F.floor(F.col("o_orderkey") / PAGE_ROWS).alias("page")).agg(F.collect_list(record).alias("rows"))
     meta = F.to_json(F.struct("page"))
     texts = pages.select(F.format_string("[%s,%s]", meta, F.to_json("rows")).alias("value")).unionByName(
-        pages.filter("page % 10 = 0").select(F.format_string("[%s,null]", meta).alias("value"))
+        pages.select(F.format_string("[%s,null]", meta).alias("value"))
     )
     path = f"{scratch_dir(spark, 'pages')}/indicators"
     texts.write.text(path)
