@@ -40,14 +40,18 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # By path; what is published does not change any more.
         self._schemas: dict[str, T.StructType] = {}
+        self._replaced: dict[str, list[str]] = {}
 
     def _published(self, name: str) -> tuple[list[str], set[str]]:
         """All published batches of a table, and which of them others have taken the place of."""
         base = f"{self.root}/{name}"
         markers = storage.glob_sizes(self.spark, f"{base}/*/{MARKER}")
         full = [f"{base}/{m}" for m, size in markers.items() if size]
-        gone = {line for lines in storage.head_lines(self.spark, full, 1 << 20).values() for line in lines}
+        unread = [m for m in full if m not in self._replaced]
+        self._replaced.update(storage.head_lines(self.spark, unread, 1 << 20))
+        gone = {batch for m in full for batch in self._replaced[m]}
         return [m.split("/")[0] for m in markers], gone
 
     def batches(self, name: str) -> list[str]:

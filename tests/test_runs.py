@@ -200,3 +200,15 @@ def test_commands(spark, config, tmp_path, capsys):
     assert "pop -> population: 2 rows, pass" in printed and '"group_name":"daily"' in printed
     assert (tmp_path / "top" / "population_top").is_dir()
     assert main(["run", "--warehouse", str(tmp_path / "cli2"), "--config", str(tmp_path / "sources.yml"), "--group", "none"]) == 0
+
+
+def test_side_by_side_sources_keep_the_order_within_a_table(spark, wh, tmp_path):
+    sources = []
+    for i in range(6):
+        spark.range(i * 10, i * 10 + 10).withColumn("step", F.lit(i)).write.parquet(str(tmp_path / f"in{i}"))
+        sources.append({"name": f"s{i}", "type": "parquet", "target_table": f"t{i % 2}", "path": str(tmp_path / f"in{i}"),
+                        "load_mode": "append" if i % 2 else "replace", "since_field": "id"})
+    result = runner.run_sources(wh, sources, parallel=4)
+    assert result.status == "ok" and [r.source.name for r in result.results] == [f"s{i}" for i in range(6)]
+    assert rows(wh.table("t0").select("step").distinct()) == [(4,)] and wh.table("t1").count() == 30
+    assert ledger.since_values(wh).count() == 6 and ledger.metrics(wh).count() == 6
