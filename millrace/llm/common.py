@@ -31,3 +31,28 @@ def words_of(text: Column) -> Column:
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Connected components of links (a, b), longs: node and root (the least node), linked nodes only.
+
+    Alternating large and small stars; each round is written, so neither lineage nor the driver
+    grows. A star centre with very many neighbours is a hot join key, which AQE splits, and least
+    neighbours are combined before their exchange.
+    """
+    spark = links.sparkSession
+    edges = cut(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    state = None
+    while True:
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = cut(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
+        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if tuple(seen) == state:
+            break
+        state = tuple(seen)
+    star = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return star.union(star.select(F.col("root").alias("node"), "root").distinct())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_dedup, quality_rules, url_filters
+from millrace.llm import line_dedup, quality_rules, simhash, url_filters
 from millrace.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,10 @@ def op9(t):
     """Every page's URL against the rule list."""
     pages = t("pages")
     return url_filters.judge_urls(pages, pages.sparkSession.createDataFrame(URL_RULES, "host string, path string, action string"))
+
+
+@query("op3_simhash")
+def op3(t):
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(t("documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
