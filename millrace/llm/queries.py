@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_dedup, quality_rules, simhash, url_filters
+from millrace.llm import line_dedup, packing, quality_rules, repair, simhash, url_filters
+from millrace.llm.common import text_bytes
 from millrace.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,16 @@ def op3(t):
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(t("documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op7_packing")
+def op7(t):
+    """Every piece of every document and its place in the packed sequences."""
+    return packing.pack_documents(t("documents"))[0]
+
+
+@query("op1_token_files")
+def op1(t):
+    """Digests of all documents' ids, read back from the files they were written to."""
+    docs = t("documents")
+    return repair.round_trip(docs, 1 + text_bytes(docs) // repair.TASK_BYTES)
