@@ -56,3 +56,8 @@ def components(links: DataFrame) -> DataFrame:
         state = tuple(seen)
     star = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return star.union(star.select(F.col("root").alias("node"), "root").distinct())
+
+
+def id_remainder(doc_id: str, by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``; -1 for a null id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % by, F.lit(-1))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_dedup, packing, quality_rules, repair, simhash, url_filters
+from millrace.llm import language_id, line_dedup, packing, quality_classifier, quality_rules, repair, simhash, url_filters
 from millrace.llm.common import text_bytes
 from millrace.session import configure
 
@@ -110,3 +110,17 @@ def op1(t):
     """Digests of all documents' ids, read back from the files they were written to."""
     docs = t("documents")
     return repair.round_trip(docs, 1 + text_bytes(docs) // repair.TASK_BYTES)
+
+
+@query("op4_language_id")
+def op4(t):
+    """The predicted language of every document."""
+    docs = t("documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
+@query("op8_quality_classifier")
+def op8(t):
+    """The quality score of every document."""
+    docs = t("documents")
+    return quality_classifier.score(docs, quality_classifier.train(docs, t("labels")))
