@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, line_dedup, packing, quality_classifier, quality_rules, repair, simhash, url_filters
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality_classifier, quality_rules, repair, simhash, url_filters
 from millrace.llm.common import text_bytes
 from millrace.session import configure
 
@@ -124,3 +124,13 @@ def op8(t):
     """The quality score of every document."""
     docs = t("documents")
     return quality_classifier.score(docs, quality_classifier.train(docs, t("labels")))
+
+
+@query("op2_decontamination")
+def op2(t):
+    """The benchmark items that each document holds a near copy of, nearest first."""
+    found = decontamination.annotate(t("documents").select("doc_id", "text"), t("benchmark"), "hits")
+    return found.select(
+        "doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
+        F.col("hits.item_id").alias("item_ids"), F.try_element_at("hits", F.lit(1))["distance"].alias("least_distance"),
+    )
