@@ -194,15 +194,15 @@ def estimate(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return groups, fit
 
 
-def score(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """The columns ``carry`` of each text, ``q`` (its counts), ``base_failed``, ``distance``, ``kept``.
+def _judge(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """A struct ``c`` of the columns ``carry``, ``q`` (the counts), ``base_failed``, ``distance``, ``kept``.
 
     Null and empty texts have no words and fail the base rules. Null languages and sources are
     groups of their own. Texts that pass the base rules enter the estimate; they are kept where
     their group is too small for one. Repeated rows count as often as they stand there. Columns of
     ``docs`` other than text, lang, source and ``carry`` are not touched.
     """
-    plain = docs.select(F.struct(*carry).alias("c"), "text", "lang", "source")
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("c"), "text", "lang", "source")
     counted = add_statistics(plain).drop("text")
     xs = [x.alias(f"x{i}") for i, x in enumerate(vector())]
     counted = cut(counted.select("*", base_failed().alias("base_failed"), *xs), "quality-counts")
@@ -212,9 +212,14 @@ def score(docs: DataFrame, carry: list[str]) -> DataFrame:
     ).join(fit, "g", "left")
     far = _distance()
     ok = ~F.col("base_failed") & F.coalesce(far <= CUTOFF, F.lit(True))
-    return judged.select("c.*", "q", "base_failed", far.alias("distance"), ok.alias("kept"))
+    return judged.select("c", "q", "base_failed", far.alias("distance"), ok.alias("kept"))
+
+
+def score(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """``carry``, q, base_failed, distance and kept of every text (see ``_judge``)."""
+    return _judge(docs, carry).select("c.*", "q", "base_failed", "distance", "kept")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, whole rows as they came (see ``score``)."""
-    return score(docs, docs.columns).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are kept, whole rows as they came (see ``_judge``)."""
+    return _judge(docs, docs.columns).where("kept").select(*[F.col(f"c.`{c}`") for c in docs.columns])

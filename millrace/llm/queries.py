@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality_classifier, quality_rules, repair, simhash, url_filters
+from millrace.llm import decontamination, language_id, line_dedup, packing, quality_classifier, quality_rules, repair, repeated_bytes, simhash, url_filters
 from millrace.llm.common import text_bytes
 from millrace.session import configure
 
@@ -134,3 +134,12 @@ def op2(t):
         "doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
         F.col("hits.item_id").alias("item_ids"), F.try_element_at("hits", F.lit(1))["distance"].alias("least_distance"),
     )
+
+
+@query("op10_repeated_bytes")
+def op10(t):
+    """What every document loses to strings that documents before it hold."""
+    found = repeated_bytes.repeated_bytes(t("documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
