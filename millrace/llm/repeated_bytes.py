@@ -30,8 +30,8 @@ GRAM = 16
 SIDE = SPAN - GRAM
 WIDTH = SPAN + SIDE
 #: Bytes of text in a part, and parts to a bucket.
-PART_BYTES = 4 << 20
-BUCKET_PARTS = 4
+PART_BYTES = 8 << 20
+BUCKET_PARTS = 1
 LEAST_BUCKETS = 16
 SLICE_BYTES = 1 << 20
 #: Never a byte of UTF-8.
@@ -167,7 +167,11 @@ class Part:
                 buffer, _, _ = lay(self.raws[a:b])
                 view = np.lib.stride_tricks.sliding_window_view(buffer, WIDTH)
                 context[own, :WIDTH] = view[self.place[use[own]] - SIDE]
-        context[:, WIDTH], context[:, WIDTH + 1] = self.low[use], self.high[use]
+        # Bytes that no string which chose the anchor covers are blanked, so that more contexts are equal.
+        at = np.arange(WIDTH)
+        low, high = self.low[use][:, None], self.high[use][:, None]
+        context[:, :WIDTH][(at < SIDE - high) | (at >= SIDE - low + SPAN)] = 0
+        context[:, WIDTH], context[:, WIDTH + 1] = low[:, 0], high[:, 0]
         mixed = np.zeros(len(use), np.uint64)
         padded = np.zeros((len(use), -(-(WIDTH + 2) // 8) * 8), np.uint8)
         padded[:, : WIDTH + 2] = context
@@ -184,8 +188,11 @@ class Part:
         self.least = np.minimum.reduceat(self.doc[use][by], runs) if len(runs) else np.empty(0, np.int64)
 
     def contexts(self):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
         for bucket, a, b in self._by_bucket(self.context_hash):
-            yield bucket, self.context[a:b].tobytes(), self.least[a:b].astype("<i8").tobytes()
+            yield bucket, pack(self.context[a:b].tobytes()), self.least[a:b].astype("<i8").tobytes()
 
     def spans(self, answers: dict[int, bytes]):
         """Of each text the starts and ends of its maximal removed runs."""
@@ -234,7 +241,7 @@ def refine(rows):
     n = np.uint64(max(1, len(rows)))
     padded = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
     padded[:, : rows.shape[1]] = rows
-    ids = [rank(column) for column in padded.view(">u8").astype(np.uint64).T]
+    ids = [rank(column.astype(np.uint64)) for column in padded.view(">u8").T]
     while len(ids) > 1:
         deeper = [rank(a.astype(np.uint64) * n + b.astype(np.uint64)) for a, b in zip(ids[::2], ids[1::2])]
         ids = deeper + ids[len(ids) - len(ids) % 2 :]
@@ -319,11 +326,17 @@ def _answer_contexts(table):
     import numpy as np
     import pyarrow as pa
 
-    sent = [np.frombuffer(x, np.uint8).reshape(-1, WIDTH + 2) for x in table.column("a").to_pylist()]
-    least = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("b").to_pylist()])
-    bits = judge(np.concatenate(sent), least).astype("<u8")
-    ends = np.cumsum([len(x) for x in sent])
-    out = [bits[e - len(x) : e].tobytes() for e, x in zip(ends.tolist(), sent)]
+    import zstandard
+
+    least = [np.frombuffer(x, "<i8") for x in table.column("b").to_pylist()]
+    size = [len(x) for x in least]
+    ends = np.cumsum(size)
+    context = np.empty((ends[-1], WIDTH + 2), np.uint8)
+    unpack = zstandard.ZstdDecompressor().decompress
+    for x, e, n in zip(table.column("a"), ends.tolist(), size):
+        context[e - n : e] = np.frombuffer(unpack(x.as_py()), np.uint8).reshape(n, WIDTH + 2)
+    bits = judge(context, np.concatenate(least)).astype("<u8")
+    out = [bits[e - n : e].tobytes() for e, n in zip(ends.tolist(), size)]
     return pa.table({"part": table.column("part"), "bucket": table.column("bucket"), "kind": pa.array([1] * len(out), pa.int32()),
                      "a": pa.array(out, pa.binary()), "b": pa.nulls(len(out), pa.binary())})
 
