@@ -93,7 +93,9 @@ def anchors(buffer, starts, size):
     new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     end = np.concatenate((new[1:], [len(at)])) - 1
     place = at[new]
-    return place, place - valid[end], place - valid[new], h[place], np.searchsorted(starts, place, "right") - 1
+    # Chosen hashes have small upper halves; the halves change places, so that buckets are even.
+    name = (h[place] << np.uint64(32)) | (h[place] >> np.uint64(32))
+    return place, place - valid[end], place - valid[new], name, np.searchsorted(starts, place, "right") - 1
 
 
 def _bucket(h, buckets: int):
