@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.casts import col
+from millrace.session import scratch_dir
 
 
 def count_rows(df: DataFrame, name: str = "filas") -> DataFrame:
@@ -76,6 +77,23 @@ def ordered(df: DataFrame, *order: Column) -> DataFrame:
     return df.orderBy(*order)
 
 
+def positions(df: DataFrame, *order: Column) -> DataFrame:
+    """All rows with their position (from 1) in an order, column ``position``.
+
+    The sorted table is written once; its parts follow each other, so a row's position is its place
+    in its part plus the rows of the parts before. One number per part is all that is gathered.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark, 'order')}/rows"
+    place = F.monotonically_increasing_id()
+    part = F.shiftright(place, 33)
+    df.orderBy(*order).withColumn("_part", part).withColumn("_at", place - F.shiftleft(part, 33)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
+    return rows.join(F.broadcast(parts), "_part").withColumn("position", F.col("_first") + F.col("_at") + 1).drop("_part", "_at", "_first")
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     """Same columns, by name."""
     return reduce(lambda a, b: a.unionByName(b), frames)

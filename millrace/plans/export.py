@@ -28,8 +28,24 @@ def export_frame(
 
 
 def spark_text_types(sql: str) -> str:
-    """``VARCHAR``/``TEXT`` without a length, as other engines write it, is ``STRING`` here."""
-    return re.sub(r"(?i)\bAS\s+(VARCHAR|TEXT)\b(?!\s*\()", "AS STRING", sql)
+    """``VARCHAR``/``TEXT`` without a length as the type of a cast, as other engines write it, is ``STRING`` here.
+
+    Aliases, quoted names and literals stay as they are.
+    """
+    casts: list[bool] = []
+
+    def one(found: re.Match) -> str:
+        text = found[0]
+        if text.endswith("("):
+            casts.append(text != "(")
+        elif text == ")":
+            del casts[-1:]
+        elif found["type"] and casts and casts[-1]:
+            return "AS STRING"
+        return text
+
+    quoted = r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`(?:[^`]|``)*`"
+    return re.sub(rf"(?i){quoted}|\b(?:TRY_)?CAST\s*\(|\(|\)|\bAS\s+(?P<type>VARCHAR|TEXT)\b(?!\s*\()", one, sql)
 
 
 def export_query(
@@ -67,6 +83,6 @@ def export_all(wh: Warehouse, config: Mapping) -> dict[str, str]:
 
 
 def export_csv(df: DataFrame, directory: str) -> str:
-    """A CSV snapshot with a header line in every part file."""
-    df.write.mode("overwrite").option("header", True).csv(directory)
+    """A CSV snapshot with a header line in every part file; quotes within values are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(directory)
     return directory

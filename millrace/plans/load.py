@@ -110,18 +110,23 @@ def prepare_upsert(
     """L3: update on a key match, else insert; NULL keys never match.
 
     Without keys it is a replace. Several rows for one key are an error unless ``order_by`` says
-    which one counts (the first in that order). Only the batches of the table that hold a key
-    of a small batch are written anew; a large one rewrites the table.
+    which one counts (the first in that order), in the first load too. Only the batches of the
+    table that hold a key of the batch are written anew.
     """
     if not keys:
         return prepare_replace(wh, name, df, tag, metrics)
     keys = _need_keys(df, keys)
+    if order_by:
+        df = dedupe(df.filter(~_any_null(keys)), keys, order_by).unionByName(df.filter(_any_null(keys)))
     if not wh.exists(name):
-        batch = wh.write(name, df, replace=True, tag=tag, metrics=metrics)
+        if order_by:
+            batch = wh.write(name, df, replace=True, tag=tag, metrics=metrics)
+        else:
+            with _held(wh, name, df, keys, stage) as (first, _):
+                _need_unique(first, keys, name)
+                batch = wh.write(name, first, replace=True, tag=tag, metrics=metrics)
         batch.counters["rows_batch"] = batch.rows
         return batch
-    if order_by:
-        df = dedupe(df.filter(~_any_null(keys)), keys, order_by).unionByName(df.filter(_any_null(keys)))
     table = wh.table(name)
     types = {f.name: f.dataType for f in table.schema.fields}
     df = align(df, T.StructType([T.StructField(c, types[c]) for c in df.columns if c in types]))
@@ -154,11 +159,11 @@ def _filled(df: DataFrame, schema: T.StructType) -> DataFrame:
 def _touched(wh: Warehouse, name: str, changes: DataFrame, keys: Sequence[str], stats: Mapping) -> list[str]:
     """The table's batches that hold a key of the changes: a scan of the key columns in their range.
 
-    For changes too large to broadcast, all batches.
+    Keys of many bytes are not broadcast but exchanged; the batches found are the same.
     """
-    if stats["key_bytes"] > joins.BROADCAST_KEY_BYTES:
-        return wh.batches(name)
-    wanted = F.broadcast(changes.select(*[col(k) for k in keys]).dropna("any", subset=list(keys)))
+    wanted = changes.select(*[col(k) for k in keys]).dropna("any", subset=list(keys))
+    if stats["key_bytes"] <= joins.BROADCAST_KEY_BYTES:
+        wanted = F.broadcast(wanted)
     table = within_range(wh.table(name), keys, stats)
     held = table.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias("_file")).join(
         wanted, list(keys), "left_semi"

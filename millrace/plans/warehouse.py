@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from millrace.sources import storage
 
 MARKER = "_PUBLISHED"
+# Lines of a marker: all of them.
+WHOLE = (1 << 31) - 1
 
 # Aggregates to observe on the frame that is written.
 Metrics = Callable[[DataFrame], Sequence[Column]]
@@ -50,7 +52,7 @@ class Warehouse:
         markers = storage.glob_sizes(self.spark, f"{base}/*/{MARKER}")
         full = [f"{base}/{m}" for m, size in markers.items() if size]
         unread = [m for m in full if m not in self._replaced]
-        self._replaced.update(storage.head_lines(self.spark, unread, 1 << 20))
+        self._replaced.update(storage.head_lines(self.spark, unread, WHOLE))
         gone = {batch for m in full for batch in self._replaced[m]}
         return [m.split("/")[0] for m in markers], gone
 
@@ -86,8 +88,22 @@ class Warehouse:
         return self._read([batch.path])
 
     def has_batch(self, name: str, tag: str) -> bool:
-        """Whether a batch of this name was ever published, also if it has been rewritten since."""
-        return any(b.endswith(f"-{tag}") for b in self._published(name)[0])
+        """Whether a batch of this name was ever published, also if it has been rewritten or removed since.
+
+        Names of micro-batches end in ``_<number>``; of each stream the last one removed is kept.
+        """
+        if any(b.partition("-")[2] == tag for b in self._published(name)[0]):
+            return True
+        stream, _, number = tag.rpartition("_")
+        return bool(stream) and number.isdigit() and int(number) <= self._marks(name).get(stream, -1)
+
+    def _marks(self, name: str) -> dict[str, int]:
+        """Of each stream into a table the last micro-batch that was vacuumed."""
+        found: dict[str, int] = {}
+        for mark in storage.list_dirs(self.spark, f"{self.root}/_marks_{name}"):
+            stream, _, number = mark.rpartition("_")
+            found[stream] = max(int(number), found.get(stream, -1))
+        return found
 
     def write(
         self,
@@ -135,6 +151,14 @@ class Warehouse:
         """Remove the batches others took the place of, oldest first; no reader may still use them."""
         published, gone = self._published(name)
         old = [b for b in published if b in gone]
+        marks = self._marks(name)
         for batch in old:
+            stream, _, number = batch.partition("-")[2].rpartition("_")
+            if stream and number.isdigit() and int(number) > marks.get(stream, -1):
+                # The new mark stands before the old one goes.
+                storage.make_dir(self.spark, f"{self.root}/_marks_{name}/{stream}_{number}")
+                if stream in marks:
+                    storage.delete_tree(self.spark, f"{self.root}/_marks_{name}/{stream}_{marks[stream]}")
+                marks[stream] = int(number)
             storage.delete_tree(self.spark, f"{self.root}/{name}/{batch}")
         return len(old)

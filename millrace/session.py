@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Result-relevant settings: every timestamp is an instant, read and shown in UTC.
-SEMANTIC_CONF = {"spark.sql.session.timeZone": "UTC"}
+# Result-relevant settings: every timestamp is an instant, read and shown in UTC; a value that does
+# not fit a column is an error and not a NULL.
+SEMANTIC_CONF = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
 
 # Plan-relevant settings; all are adaptive, so no partition count is tied to a data size.
 PLAN_CONF = {

@@ -19,6 +19,9 @@ from millrace.sources import storage
 # At most this many skipped lines go into one broadcast.
 HEAD_LINES_BROADCAST = 50_000
 
+# A quote within quotes is doubled.
+CSV = {"quote": '"', "escape": '"'}
+
 # Cell texts that mean "missing" in a CSV file, besides the empty cell.
 MISSING_TEXTS = (
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -32,11 +35,17 @@ def read_csv(
     sep: str | None = None,
     encoding: str | None = None,
     schema: T.StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header. Declare ``schema`` to save the type-inference scan."""
+    """CSV with a header. Declare ``schema`` to save the type-inference scan.
+
+    Files whose header differs from the schema are an error. With ``multi_line`` values may hold
+    line breaks, and a file is not split.
+    """
     if not path:
         raise ValueError("path is required")
-    reader = spark.read.option("header", True).option("sep", sep or ",").option("encoding", encoding or "UTF-8")
+    reader = spark.read.options(**CSV, multiLine=multi_line, enforceSchema=False)
+    reader = reader.option("header", True).option("sep", sep or ",").option("encoding", encoding or "UTF-8")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -52,6 +61,7 @@ def read_csv_files(
     na_values=None,
     skiprows: int = 0,
     infer: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every file of a glob, united by column name.
 
@@ -87,7 +97,7 @@ def read_csv_files(
             )
         else:
             part = (
-                spark.read.option("header", True).option("sep", sep).option("encoding", encoding).schema(raw).csv(members)
+                spark.read.options(**CSV, multiLine=multi_line, header=True, sep=sep, encoding=encoding).schema(raw).csv(members)
             )
         if usecols:
             absent = [c for c in usecols if c not in header]
@@ -139,7 +149,7 @@ def _skip_lines(
     alike = lines.join(skipped, ["file", "value"]).groupBy("file", "value").agg(
         (F.count(F.lit(1)) - F.first("n")).alias("left")
     )
-    parsed = F.from_csv("value", _ddl(schema), {"sep": sep})
+    parsed = F.from_csv("value", _ddl(schema), {"sep": sep, **CSV})
     return others.unionByName(_repeat(alike)).select(parsed.alias("row")).select("row.*")
 
 
@@ -209,9 +219,10 @@ def infer_kinds(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
     return kinds
 
 
-def read_csv_normalized(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_normalized(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3: types from the whole file, column names normalised."""
-    return normalize_columns(spark.read.csv(path, header=True, inferSchema=True, samplingRatio=1.0))
+    reader = spark.read.options(**CSV, multiLine=multi_line)
+    return normalize_columns(reader.csv(path, header=True, inferSchema=True, samplingRatio=1.0))
 
 
 def read_json(
@@ -256,7 +267,10 @@ def read_parquet_tree(spark: SparkSession, root: str, partition_schema: str | No
     ``"year int, month string"``.
     """
     if partition_schema is None:
-        return spark.read.parquet(root)
+        # A session of its own, where values of folder names stay text.
+        plain = spark.newSession()
+        plain.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+        return spark.read.schema(plain.read.parquet(root).schema).parquet(root)
     types = T.StructType.fromDDL(partition_schema)
     first = spark.read.parquet(root).schema
     data = [f for f in first.fields if f.name not in types.fieldNames()]

@@ -6,6 +6,7 @@ parsed to VARIANT and only the record fields that are asked for get a type.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,21 +73,51 @@ def explode_pages(payloads: DataFrame, chain: Sequence[str | int]) -> DataFrame:
     return payloads.select(F.explode(rows).alias("record"))
 
 
-def infer_record_schema(records: DataFrame) -> T.StructType:
-    """Schema holding every field of the records: one aggregation, one text back."""
+def _ddl(dtype: T.DataType) -> str:
+    """A type as text that Spark reads back, whatever its fields are called."""
+    if isinstance(dtype, T.StructType):
+        fields = (f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in dtype.fields)
+        return f"struct<{', '.join(fields)}>"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{_ddl(dtype.elementType)}>"
+    return dtype.simpleString()
+
+
+def _struct_ddl(text: str) -> str:
+    """The text of a variant's schema as DDL: types are replaced, names are not.
+
+    A type stands at the start, behind the colon of a field, or within an array. Names are put into
+    backquotes first: they start an object or follow a comma, and a colon and a type follow them.
+    """
+    kind = r"(?:OBJECT<|ARRAY<|[A-Z_]+(?:\(\d+,\d+\))?(?:[,>]|$))"
+    text = re.sub(rf"(OBJECT<|, )([^`]*?): (?={kind})", r"\1`\2`: ", text)
+    parts = re.split(r"(`(?:[^`]|``)*`)", text)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"(^|: |ARRAY<)OBJECT<" if i == 0 else r"(: |ARRAY<)OBJECT<", r"\1STRUCT<", parts[i])
+        parts[i] = re.sub(r"(: |ARRAY<)VOID(?=[,>]|$)", r"\1STRING", parts[i])
+    return "".join(parts)
+
+
+def infer_record_schema(records: DataFrame) -> T.StructType | None:
+    """Schema holding every field of the records: one aggregation, one text back. None for scalars."""
     text = records.agg(F.schema_of_variant_agg("record")).first()[0]
     if text is None or not text.startswith("OBJECT<"):
-        return T.StructType([T.StructField("value", T.StringType())])
-    return T.DataType.fromDDL(text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING"))
+        return None
+    return T.DataType.fromDDL(_struct_ddl(text))
 
 
 def typed_records(records: DataFrame, schema: T.StructType | str | None = None) -> DataFrame:
-    """Records as columns. A declared schema saves the inference pass."""
+    """Records as columns; records that are no objects as the text column ``value``.
+
+    A declared schema saves the inference pass.
+    """
     if schema is None:
         schema = infer_record_schema(records)
+        if schema is None:
+            return records.select(F.try_variant_get("record", "$", "string").alias("value"))
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    target = schema.simpleString()
+    target = _ddl(schema)
     return records.select(F.try_variant_get("record", "$", target).alias("r")).select("r.*")
 
 

@@ -25,6 +25,11 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, jpath = _open(spark, path)
+    fs.mkdirs(jpath)
+
+
 def glob_sizes(spark: SparkSession, pattern: str) -> dict[str, int]:
     """Paths a glob matches, relative to its fixed part (before the first ``/*``), and their
     sizes, in order; one listing."""

@@ -1,12 +1,14 @@
 """Streaming ingest (G1), dedupe (G2) and quality counts.
 
 The checkpoint takes the place of a stored high-water mark. Every micro-batch is written under a
-name made from the query and the batch id, so a batch that is run again after a failure is
-recognised and not loaded twice.
+name made from the id of its query, as the checkpoint holds it, and the batch id. So a batch that is
+run again after a failure is recognised and not loaded twice, while other queries into the same
+table, and a query with a new checkpoint, load theirs.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +18,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.operators import quality
 from millrace.operators.project import postprocess, transform
-from millrace.plans.load import prepare_incremental
+from millrace.plans.load import prepare_append, prepare_incremental
 from millrace.plans.spec import SourceSpec
 from millrace.plans.warehouse import Warehouse
+from millrace.sources import storage
 
 
 def file_stream(
@@ -36,6 +39,13 @@ def file_stream(
     return reader.load(path)
 
 
+def _tag(warehouse: Warehouse, checkpoint: str, batch_id: int) -> str:
+    """A name for a micro-batch: the query's id from its checkpoint, and the batch id."""
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    lines = storage.head_lines(warehouse.spark, [path], 1)[path]
+    return f"{json.loads(lines[0])['id'].replace('-', '')}_{batch_id}"
+
+
 def _start(
     stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], every_minutes: int | None
 ) -> StreamingQuery:
@@ -59,7 +69,7 @@ def ingest_incremental(
     """G1: each micro-batch is an insert-only increment. Without a period: what is there, then end."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tag = f"s{batch_id}"
+        tag = _tag(warehouse, checkpoint, batch_id)
         if not warehouse.has_batch(table, tag):
             warehouse.publish(
                 prepare_incremental(warehouse, table, batch, keys, cast_map, dedupe_batch, order_by, tag=tag)
@@ -79,12 +89,12 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], time_column: str, dela
 def append_stream(
     stream: DataFrame, warehouse: Warehouse, table: str, checkpoint: str, every_minutes: int | None = None
 ) -> StreamingQuery:
-    """Append each micro-batch once."""
+    """Append each micro-batch once, aligned to the table by name."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tag = f"s{batch_id}"
+        tag = _tag(warehouse, checkpoint, batch_id)
         if not warehouse.has_batch(table, tag):
-            warehouse.publish(warehouse.write(table, batch, tag=tag))
+            warehouse.publish(prepare_append(warehouse, table, batch, tag=tag))
 
     return _start(stream, checkpoint, handle, every_minutes)
 
@@ -101,7 +111,7 @@ def quality_stream(
     """Rule counts of each micro-batch, appended to a metrics table."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tag = f"s{batch_id}"
+        tag = _tag(warehouse, checkpoint, batch_id)
         if not warehouse.has_batch(metrics_table, tag):
             counts = quality.report(batch, table, rules)
             stamped = counts.select(F.lit(batch_id).cast("bigint").alias("batch_id"), *counts.columns)
@@ -113,8 +123,9 @@ def quality_stream(
 # How the file sources of a spec are read as streams.
 _STREAM_FORMATS = {
     "parquet": ("parquet", {}),
-    "csv": ("csv", {"header": "true"}),
-    "csv_local": ("csv", {"header": "true"}),
+    # A file whose header differs from the schema is an error.
+    "csv": ("csv", {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}),
+    "csv_local": ("csv", {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}),
     "json": ("json", {}),
 }
 
@@ -125,8 +136,14 @@ def stream_sources(
     """The periodic form of a run: one query per file source, each with its own ``every_minutes``.
 
     Sources need ``params.schema`` and the mode ``append`` or ``incremental``. The checkpoint of
-    each source keeps what has been read. ``default_minutes=None`` takes what is there and ends.
+    each source keeps what has been read. ``default_minutes=None`` takes what is there and ends,
+    whatever periods the sources name. Tables have one writer, so each source needs its own.
     """
+    sources = list(sources)
+    targets = [SourceSpec.from_dict(s).table for s in sources]
+    doubled = sorted({t for t in targets if targets.count(t) > 1})
+    if doubled:
+        raise ValueError(f"several streams into one table: {doubled}")
     started = {}
     for spec in map(SourceSpec.from_dict, sources):
         if spec.type not in _STREAM_FORMATS or not spec.params.get("schema"):
@@ -137,7 +154,7 @@ def stream_sources(
         files = file_stream(warehouse.spark, spec.params["path"], spec.params["schema"], file_format, **options)
         rows = postprocess(transform(files, spec.params), spec.post)
         where = f"{checkpoint_root.rstrip('/')}/{spec.name}"
-        minutes = spec.every_minutes or default_minutes
+        minutes = None if default_minutes is None else spec.every_minutes or default_minutes
         if spec.mode == "incremental":
             started[spec.name] = ingest_incremental(
                 rows, warehouse, spec.table, spec.keys, where, spec.cast_map, spec.dedupe_batch,

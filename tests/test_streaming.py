@@ -37,13 +37,43 @@ def test_incremental_stream_equals_batch_and_resumes(spark, wh, tmp_path):
     assert wh.table("t").count() == 51
 
 
-def test_replayed_micro_batch_is_loaded_once(spark, wh, tmp_path):
+def replay(tmp_path, name):
+    """Forget that the last micro-batch of a query ended."""
+    commits = tmp_path / name / "commits"
+    last = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+    (commits / str(last)).unlink()
+    (commits / f".{last}.crc").unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("tidy", [False, True])
+def test_replayed_micro_batch_is_loaded_once(spark, wh, tmp_path, tidy):
     landed = str(tmp_path / "in")
     land(spark, landed, [("1", "1")])
-    for checkpoint in ("a", "b"):  # a lost checkpoint replays batch 0
-        stream = ingest.file_stream(spark, landed, SCHEMA)
-        ingest.append_stream(stream, wh, "t", str(tmp_path / checkpoint)).awaitTermination()
+
+    def run(name):
+        ingest.append_stream(ingest.file_stream(spark, landed, SCHEMA), wh, "t", str(tmp_path / name)).awaitTermination()
+
+    run("a")
+    if tidy:
+        wh.compact("t")
+        wh.vacuum("t")
+    replay(tmp_path, "a")
+    run("a")
     assert wh.table("t").count() == 1
+    land(spark, landed, [("2", "2")])
+    run("a")
+    run("b")  # another query: all that is there
+    assert wh.table("t").count() == 4
+
+
+def test_two_streams_into_one_table(spark, wh, tmp_path):
+    for name, ids in (("a", range(5)), ("b", range(5, 10))):
+        land(spark, str(tmp_path / f"in_{name}"), [(str(i), "1") for i in ids])
+        stream = ingest.file_stream(spark, str(tmp_path / f"in_{name}"), SCHEMA)
+        if name == "b":
+            stream = stream.select("v", "id")  # aligned by name
+        ingest.append_stream(stream, wh, "t", str(tmp_path / name)).awaitTermination()
+    assert sorted(r.id for r in wh.table("t").collect()) == [str(i) for i in range(10)]
 
 
 def test_dedupe_stream(spark, wh, tmp_path):

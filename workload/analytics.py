@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import times
 from millrace.operators import aggregate, analytics
+from millrace.sources import storage
 from workload import AS_OF, query, table
 
 
@@ -55,13 +56,11 @@ def row_counts(spark, sf):
 @query("ordered_nulls_last", """
 SELECT row_number() OVER (ORDER BY seen DESC NULLS LAST, event_id DESC) AS position, event_id
 FROM (SELECT CASE WHEN event_id % 10 <> 9 THEN ts END AS seen, event_id FROM events)
-ORDER BY 1 LIMIT 1000
 """)
 def ordered_nulls_last(spark, sf):
     """O3: explicit NULL placement with a second key."""
     e = table(spark, sf, "events").select(F.when(F.col("event_id") % 10 != 9, F.col("ts")).alias("seen"), "event_id")
-    first = aggregate.ordered(e, F.col("seen").desc_nulls_last(), F.col("event_id").desc()).limit(1000)
-    return first.select((F.monotonically_increasing_id() + 1).alias("position"), "event_id")
+    return aggregate.positions(e, F.col("seen").desc_nulls_last(), F.col("event_id").desc()).select("position", "event_id")
 
 
 @query("auto_axes_topk", """
@@ -72,9 +71,6 @@ def auto_axes_topk(spark, sf):
     return analytics.summarize(table(spark, sf, "orders"), 10).withColumn("total", F.col("total").cast("double"))
 
 
-SUMMARISED = ("orders", "events", "customer", "part", "lineitem", "labels", "benchmark", "documents")
-
-
 @query("auto_summary_all", """
 SELECT * FROM (SELECT 'orders' AS table_name, CAST(o_orderstatus AS VARCHAR) AS key, CAST(sum(o_orderkey) AS DOUBLE) AS total FROM orders GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
 UNION ALL SELECT * FROM (SELECT 'events', strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), CAST(sum(event_id) AS DOUBLE) FROM events GROUP BY ts ORDER BY 3 DESC, ts LIMIT 10)
@@ -84,15 +80,28 @@ UNION ALL SELECT * FROM (SELECT 'lineitem', l_returnflag, CAST(sum(l_orderkey) A
 UNION ALL SELECT * FROM (SELECT 'labels', CAST(doc_id AS VARCHAR), CAST(sum(quality) AS DOUBLE) FROM labels GROUP BY doc_id ORDER BY 3 DESC, doc_id LIMIT 10)
 UNION ALL SELECT * FROM (SELECT 'benchmark', text, CAST(sum(item_id) AS DOUBLE) FROM benchmark GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
 UNION ALL SELECT * FROM (SELECT 'documents', text, CAST(sum(doc_id) AS DOUBLE) FROM documents GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'region', r_name, CAST(sum(r_regionkey) AS DOUBLE) FROM region GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'nation', n_name, CAST(sum(n_nationkey) AS DOUBLE) FROM nation GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'supplier', s_name, CAST(sum(s_suppkey) AS DOUBLE) FROM supplier GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'pages', url, CAST(sum(page_id) AS DOUBLE) FROM pages GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'conversations', role, CAST(sum(conv_id) AS DOUBLE) FROM conversations GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'embeddings', array_to_string(list_transform(embedding, lambda x: CAST(round(x * 1000.0::DOUBLE) AS BIGINT)), ','), total
+    FROM (SELECT embedding, CAST(sum(vec_id) AS DOUBLE) AS total FROM embeddings GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10))
 """)
 def auto_summary_all(spark, sf):
-    """A summary of every table that has rows and two columns."""
-    tables = {name: table(spark, sf, name) for name in SUMMARISED}
+    """A summary of every table of the folder that has rows and two columns.
+
+    Array keys are shown as their numbers in thousandths.
+    """
+    names = [f.removesuffix(".parquet") for f in storage.glob_sizes(spark, f"{sf}/*.parquet")]
+    tables = {name: table(spark, sf, name) for name in names}
     tables["single_column"] = tables["customer"].select("c_name")
     tables["no_rows"] = tables["customer"].filter("c_custkey IS NULL")
     parts = analytics.summarize_all(tables, 10)
 
     def key_text(df):
+        if df.schema["key"].dataType.typeName() == "array":
+            return F.array_join(F.transform("key", lambda x: F.round(x * F.lit(1000.0)).cast("bigint").cast("string")), ",")
         is_time = df.schema["key"].dataType.typeName().startswith("timestamp")
         return F.date_format("key", "yyyy-MM-dd HH:mm:ss.SSSSSS") if is_time else F.col("key").cast("string")
 

@@ -243,3 +243,13 @@ def normalized_columns(spark, sf):
     return normalize_columns(
         e.select(F.col("event_id").alias("Event ID"), F.col("event_type").alias("EVENT--type"), F.col("value").alias("Value (EUR)"))
     )
+
+
+@query("csv_quoted_text", "SELECT doc_id, md5(text) AS text_md5, lang FROM documents")
+def csv_quoted_text(spark, sf):
+    """Quotes, separators and line breaks within values survive a CSV file."""
+    path = f"{scratch_dir(spark, 'csv')}/quoted"
+    schema = "doc_id bigint, text string, lang string"
+    export_csv(table(spark, sf, "documents").select("doc_id", "text", "lang"), path)
+    back = files.read_csv(spark, path, schema=schema, multi_line=True)
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "lang")

@@ -75,3 +75,15 @@ def stream_dq(spark, sf):
     return wh.table("dq_stream").groupBy("rule").agg(
         F.sum("bad_rows").alias("bad_rows"), F.sum("total_rows").alias("total_rows")
     )
+
+
+@query("stream_two_sources", "SELECT event_id, event_type, value FROM events")
+def stream_two_sources(spark, sf):
+    """G1: two halves of the events by two streams into one table; each loads all of its rows."""
+    root, wh = scratch_dir(spark, "stream"), new_warehouse(spark)
+    e = table(spark, sf, "events").select("event_id", "event_type", "value")
+    for half in (0, 1):
+        e.filter(F.col("event_id") % 2 == half).repartition(TRIGGERS).write.parquet(f"{root}/{half}")
+        stream = ingest.file_stream(spark, f"{root}/{half}", e.schema, max_files=2)
+        ingest.append_stream(stream, wh, "events", f"{root}/checkpoint{half}").awaitTermination()
+    return wh.table("events")
