@@ -11,6 +11,8 @@ an item of ``n`` words holds at least ``n - q + 1 - q e`` of its word q-grams, s
 
 from __future__ import annotations
 
+from itertools import repeat
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ GRAM = 3
 WALKS, TABLES, COORDINATES = 16, 6, 3
 #: Bytes of benchmark items held by a task at a time; a longer benchmark is searched block by block.
 BLOCK_BYTES = 4 << 20
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 8 << 20
 #: Everything but letters, digits and bytes of other alphabets stands between words.
 _CLEAN = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -108,27 +110,25 @@ class Index:
 
         m, n = windows.shape
         length = 3 * n
-        rows = np.arange(m)
+        # All walks go on together, a column each.
+        spots = np.sort((self.spots * length).astype(int), axis=2).reshape(WALKS, -1)
         padded = np.concatenate([windows, np.zeros((m, 1), np.int64)], axis=1).astype(np.uint64)
-        out = np.empty((m, WALKS * TABLES), np.uint64)
-        for r in range(WALKS):
-            at = np.zeros(m, np.int64)
-            spots = np.sort((self.spots[r] * length).astype(int), axis=1)
-            read = {}
-            for j in range(length):
-                word = padded[rows, at]
-                if (spots == j).any():
-                    read[j] = word
-                mixed = (word * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j + 1) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.uint64(self.seeds[r])
-                mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), n)
-            for t in range(TABLES):
-                key = np.full(m, n * 1000 + r * TABLES + t, np.uint64)
-                for j in spots[t]:
-                    key = (key ^ read[j]) * np.uint64(0x9E3779B97F4A7C15)
-                    key ^= key >> np.uint64(31)
-                out[:, r * TABLES + t] = key
-        return out
+        rows, at = np.arange(m)[:, None], np.zeros((m, WALKS), np.int64)
+        read = np.empty((m, WALKS, TABLES * COORDINATES), np.uint64)
+        seeds = self.seeds.astype(np.uint64)[None, :]
+        for j in range(length):
+            word = padded[rows, at]
+            walk, spot = np.nonzero(spots == j)
+            read[:, walk, spot] = word[:, walk]
+            mixed = (word * np.uint64(0x9E3779B97F4A7C15) + np.uint64((j + 1) * 0xC2B2AE3D27D4EB4F & (1 << 64) - 1)) ^ seeds
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), n)
+        table = np.arange(WALKS * TABLES, dtype=np.uint64).reshape(1, WALKS, TABLES)
+        key = np.broadcast_to(table + np.uint64(n * 1000), (m, WALKS, TABLES)).copy()
+        for k in range(COORDINATES):
+            key = (key ^ read[:, :, k::COORDINATES]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(31)
+        return key.reshape(m, -1)
 
     def windows(self, ids, bounds):
         """(item size, first word) of windows that hold enough grams of an item of that size.
@@ -185,7 +185,7 @@ class Index:
         get = self.vocabulary.get
         for raw in raws:
             w = words(raw)
-            parts.append(np.fromiter((get(x, 0) for x in w), np.int64, len(w)))
+            parts.append(np.fromiter(map(get, w, repeat(0)), np.int64, len(w)))
             parts.append(np.zeros(1, np.int64))
             total += len(w) + 1
             ends.append(total)
@@ -214,6 +214,18 @@ class Index:
         return found
 
 
+_INDEXES: dict[tuple, Index] = {}
+
+
+def index_of(items) -> Index:
+    """The index of a block; a worker keeps the last one for its next tasks."""
+    key = tuple(items)
+    if key not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[key] = Index(items)
+    return _INDEXES[key]
+
+
 def _slices(raws):
     first = size = 0
     for k, x in enumerate(raws):
@@ -255,7 +267,7 @@ def _search_batches(items, column: int):
     def run(batches):
         import pyarrow as pa
 
-        index = Index(items)
+        index = index_of(items)
         for batch in batches:
             raws = batch.column(column).cast(pa.binary()).to_pylist()
             hits = [h for a, b in _slices(raws) for h in index.search(raws[a:b])]
