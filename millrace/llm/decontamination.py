@@ -25,6 +25,8 @@ WALKS, TABLES, COORDINATES = 16, 6, 3
 #: Bytes of benchmark items held by a task at a time; a longer benchmark is searched block by block.
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 8 << 20
+#: Candidates whose distances are worked out together.
+PAIRS = 4096
 #: Everything but letters, digits and bytes of other alphabets stands between words.
 _CLEAN = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -51,6 +53,25 @@ def edit_distance(item, text) -> int:
     return int(row.min())
 
 
+def edit_distances(items, texts):
+    """Least edits of each item (a row of word ids) to any stretch of the text in the same row.
+
+    Texts are of one length, filled up with ids that are in no item; that changes no distance, as
+    setting an item's word against such an id costs as much as leaving the word out.
+    """
+    import numpy as np
+
+    texts = np.ascontiguousarray(texts.T)
+    steps = np.arange(len(texts) + 1, dtype=np.int32)[:, None]
+    row = np.zeros((len(texts) + 1, texts.shape[1]), np.int32)
+    for k in range(items.shape[1]):
+        new = np.empty_like(row)
+        new[0] = k + 1
+        new[1:] = np.minimum(row[:-1] + (texts != items[:, k]), row[1:] + 1)
+        row = np.minimum.accumulate(new - steps, axis=0) + steps
+    return row.min(axis=0)
+
+
 class Index:
     """Vocabulary, grams and LSH tables of a block of items."""
 
@@ -110,8 +131,9 @@ class Index:
 
         m, n = windows.shape
         length = 3 * n
-        # All walks go on together, a column each.
-        spots = np.sort((self.spots * length).astype(int), axis=2).reshape(WALKS, -1)
+        # All walks go on together, a column each. They have left most windows after twice the size, so
+        # that later coordinates would be blank for all.
+        spots = np.sort((self.spots * 2 * n).astype(int), axis=2).reshape(WALKS, -1)
         padded = np.concatenate([windows, np.zeros((m, 1), np.int64)], axis=1).astype(np.uint64)
         rows, at = np.arange(m)[:, None], np.zeros((m, WALKS), np.int64)
         read = np.empty((m, WALKS, TABLES * COORDINATES), np.uint64)
@@ -124,7 +146,7 @@ class Index:
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), n)
         table = np.arange(WALKS * TABLES, dtype=np.uint64).reshape(1, WALKS, TABLES)
-        key = np.broadcast_to(table + np.uint64(n * 1000), (m, WALKS, TABLES)).copy()
+        key = np.broadcast_to((table + np.uint64(n * 1000)) * np.uint64(0xD6E8FEB86659FD93), (m, WALKS, TABLES)).copy()
         for k in range(COORDINATES):
             key = (key ^ read[:, :, k::COORDINATES]) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(31)
@@ -174,6 +196,18 @@ class Index:
             made.append(np.stack([self.size[which[use]], where[use] - inner[use], text[use]], axis=1))
         return np.unique(np.concatenate(made), axis=0) if made else np.empty((0, 3), np.int64)
 
+    def _verify(self, ids, first, text, item, starts, bounds):
+        """Texts, items and distances of the pairs within the budget; the items are of one size."""
+        import numpy as np
+
+        n, e = int(self.size[item[0]]), int(self.edits[item[0]])
+        at = first[:, None] + np.arange(-e, n + e)[None, :]
+        inside = (at >= starts[text][:, None]) & (at < bounds[text][:, None] - 1)
+        near = np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], 0)
+        d = edit_distances(np.stack([self.items[k] for k in item.tolist()]), near)
+        ok = d <= e
+        return text[ok].tolist(), item[ok].tolist(), d[ok].tolist()
+
     def search(self, raws: list[bytes | None]) -> list[dict[int, int]]:
         """Of each text, the items near a passage of it and their distances."""
         import numpy as np
@@ -201,16 +235,16 @@ class Index:
                 window = np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], 0)
                 key = self.keys(window)
                 lo, hi = np.searchsorted(self.table, key, "left"), np.searchsorted(self.table, key, "right")
-                w, k = np.nonzero(hi > lo)
-                pairs = {(x, int(i)) for x, a_, b_ in zip(w.tolist(), lo[w, k].tolist(), hi[w, k].tolist()) for i in self.table_item[a_:b_]}
-                for x, i in sorted(pairs):
-                    doc, e = int(t[x]), int(self.edits[i])
-                    if found[doc].get(self.names[i], e + 1) == 0:
-                        continue
-                    lo_, hi_ = max(int(starts[doc]), int(f[x]) - e), min(int(bounds[doc]) - 1, int(f[x]) + int(n) + e)
-                    d = edit_distance(self.items[i], ids[lo_:hi_])
-                    if d <= e and d < found[doc].get(self.names[i], e + 1):
-                        found[doc][self.names[i]] = d
+                count = (hi - lo).ravel()
+                hit = np.repeat(lo.ravel() - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                window_of = np.repeat(np.arange(count.size) // lo.shape[1], count)
+                same = self.size[self.table_item[hit]] == n
+                pairs = np.unique((window_of * len(self.items) + self.table_item[hit])[same])
+                for c in range(0, len(pairs), PAIRS):
+                    x, i = np.divmod(pairs[c : c + PAIRS], len(self.items))
+                    for doc, item, d in zip(*self._verify(ids, f[x], t[x], i, starts, bounds)):
+                        name = self.names[item]
+                        found[doc][name] = min(d, found[doc].get(name, d))
         return found
 
 

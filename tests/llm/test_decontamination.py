@@ -74,6 +74,16 @@ def test_edit_distance():
     assert D.edit_distance([1, 2], a([], dtype=int)) == 2
 
 
+def test_edit_distances_of_many_pairs():
+    rng = np.random.default_rng(3)
+    items, texts = rng.integers(1, 5, (200, 9)), rng.integers(1, 5, (200, 13))
+    want = [D.edit_distance(i, t) for i, t in zip(items, texts)]
+    assert D.edit_distances(items, texts).tolist() == want
+    blank = np.zeros((200, 4), int)
+    assert D.edit_distances(items, np.concatenate([blank, texts, blank], axis=1)).tolist() == want
+    assert D.edit_distances(items[:2], texts[:2, :0]).tolist() == [9, 9]
+
+
 @pytest.mark.parametrize("block", [4 << 20, 40])
 def test_odd_rows(spark, monkeypatch, block):
     monkeypatch.setattr(D, "BLOCK_BYTES", block)
