@@ -85,8 +85,8 @@ def _summed_batches(batches):
     for batch in batches:
         rows = [summed(x.as_py()) for x in batch.column("raw")]
         yield pa.RecordBatch.from_arrays([
-            batch.column("h"), batch.column("label"), pa.array([a.tolist() for a, _ in rows], pa.list_(pa.int64())),
-            pa.array([v.tolist() for _, v in rows], pa.list_(pa.float64())),
+            batch.column("h"), batch.column("label"), pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
+            pa.array([v.astype("<f4").tobytes() for _, v in rows], pa.binary()),
         ], names=["h", "label", "at", "value"])
 
 
@@ -102,15 +102,14 @@ def train(docs: DataFrame, labels: DataFrame):
     some = known.orderBy("h", "doc_id", "label").limit(TRAIN_ROWS)
     # The sample is bounded by TRAIN_ROWS, so it may be broadcast.
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).join(F.broadcast(some), "doc_id").select("h", "label", "raw")
-    rows = rows.mapInArrow(_summed_batches, "h long, label int, at array<long>, value array<double>").toArrow().to_pylist()
+    rows = rows.mapInArrow(_summed_batches, "h long, label int, at binary, value binary").toArrow().to_pylist()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["h"], r["label"], len(r["at"])))
-    data = [(np.array(r["at"]), np.array(r["value"]), r["label"]) for r in rows]
     model = Ftrl()
     for _ in range(EPOCHS):
-        for at, value, label in data:
-            model.learn(at, value, label)
+        for r in rows:
+            model.learn(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4").astype(float), r["label"])
     return model.weights().astype(np.float32)
 
 
