@@ -13,7 +13,7 @@ the frame's schema. Nothing here is a UDF: everything stays in generated code.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,9 +89,27 @@ def coerce_str(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
-def coerce_datetime(c: Column, dtype: T.DataType) -> Column:
-    """T5. Each value is parsed on its own; text without an explicit day is not a date."""
+def declared(kind: str | Mapping) -> tuple[str, tuple[str, ...]]:
+    """A type and the formats of its text: ``"datetime"`` or ``{"type": "datetime", "format": ...}``."""
+    if not isinstance(kind, Mapping):
+        return kind, ()
+    formats = kind.get("format") or ()
+    return kind["type"], (formats,) if isinstance(formats, str) else tuple(formats)
+
+
+def _by_formats(c: Column, formats: Sequence[str]) -> Column:
+    """The first format that fits the whole text, around which spaces do not count; else NULL."""
+    return F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(f)) for f in formats])
+
+
+def coerce_datetime(c: Column, dtype: T.DataType, formats: Sequence[str] = ()) -> Column:
+    """T5. Each value is parsed on its own; text without an explicit day is not a date.
+
+    Text is ISO, or has one of the declared ``formats`` (Spark's patterns) and no other.
+    """
     if isinstance(dtype, T.StringType):
+        if formats:
+            return _by_formats(c, formats)
         return F.when(_has_full_date(c), _dashed(c).try_cast("timestamp"))
     if isinstance(dtype, _TIMES):
         return c.cast("timestamp")
@@ -107,8 +125,9 @@ def _dashed(c: Column) -> Column:
     return F.when(c.contains("/"), F.regexp_replace(c, r"^(\s*\d{4})/(\d{1,2})/", "$1-$2-")).otherwise(c)
 
 
-def sql_cast(c: Column, dtype: T.DataType, type_name: str) -> Column:
-    """T4: ``TRY_CAST(c AS type_name)``."""
+def sql_cast(c: Column, dtype: T.DataType, type_name: str | Mapping) -> Column:
+    """T4: ``TRY_CAST(c AS type_name)``; dates and timestamps may declare the formats of their text."""
+    type_name, formats = declared(type_name)
     target = SQL_TYPES.get(type_name.strip().upper(), type_name.strip().lower())
     if target in ("tinyint", "smallint", "int", "bigint"):
         if isinstance(dtype, T.StringType):
@@ -122,6 +141,8 @@ def sql_cast(c: Column, dtype: T.DataType, type_name: str) -> Column:
             return text_to_double(c).cast(target)
     elif target in ("timestamp", "timestamp_ntz", "date"):
         if isinstance(dtype, T.StringType):
+            if formats:
+                return _by_formats(c, formats).cast(target)
             return F.when(_has_full_date(c), _dashed(c).try_cast(target))
         if not isinstance(dtype, _TIMES):
             return F.lit(None).cast(target)
@@ -139,12 +160,22 @@ _COERCIONS = {
 }
 
 
-def coerce(c: Column, dtype: T.DataType, kind: str) -> Column:
+def coerce(c: Column, dtype: T.DataType, kind: str | Mapping) -> Column:
+    kind, formats = declared(kind)
+    if kind == "datetime":
+        return coerce_datetime(c, dtype, formats)
     if kind not in _COERCIONS:
         raise ValueError(f"unknown coercion {kind!r}; use one of {COERCE_KINDS}")
     return _COERCIONS[kind](c, dtype)
 
 
+def date_kinds(dates: Sequence[str] | Mapping | None) -> dict:
+    """Kinds of ``parse_dates``: a list of columns, or a map of columns to their formats."""
+    if isinstance(dates, Mapping):
+        return {c: {"type": "datetime", "format": f} for c, f in dates.items()}
+    return dict.fromkeys(dates or [], "datetime")
+
+
 def quoted(name: str) -> str:
     """Column name as one identifier, even with dots in it."""
     return "`" + name.replace("`", "``") + "`"
@@ -154,18 +185,18 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def coerce_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+def coerce_columns(df: DataFrame, kinds: Mapping[str, str | Mapping]) -> DataFrame:
     """Coerce the listed columns in place; unknown columns and unknown kinds are skipped."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     new = {
         name: coerce(col(name), fields[name], kind)
         for name, kind in kinds.items()
-        if name in fields and kind in _COERCIONS
+        if name in fields and declared(kind)[0] in _COERCIONS
     }
     return _replace(df, new)
 
 
-def cast_columns(df: DataFrame, types: Mapping[str, str] | None) -> DataFrame:
+def cast_columns(df: DataFrame, types: Mapping[str, str | Mapping] | None) -> DataFrame:
     """``SELECT * REPLACE (TRY_CAST(c AS t) AS c)``; a missing column is an error."""
     if not types:
         return df
@@ -182,7 +213,7 @@ def _replace(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
     return df.select(*[new[n].alias(n) if n in new else col(n) for n in df.columns])
 
 
-def cast_failures(df: DataFrame, kinds: Mapping[str, str]) -> list[Column]:
+def cast_failures(df: DataFrame, kinds: Mapping[str, str | Mapping]) -> list[Column]:
     """Aggregates ``<column>_cast_failed``: present in the input, NULL after coercion."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     return [

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.casts import coerce_columns, col
+from millrace.functions.casts import coerce_columns, col, date_kinds
 
 
 def select_strict(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -99,7 +99,7 @@ def transform(df: DataFrame, params: Mapping) -> DataFrame:
     if params.get("select_final"):
         df = select_strict(df, params["select_final"])
     df = coerce_columns(df, {c: t for c, t in (params.get("dtypes") or {}).items() if t != "datetime"})
-    df = coerce_columns(df, dict.fromkeys(params.get("parse_dates") or [], "datetime"))
+    df = coerce_columns(df, date_kinds(params.get("parse_dates")))
     df = where_all(df, params.get("filter") or [])
     if params.get("dedupe_on"):
         df = dedupe(df, params["dedupe_on"], params.get("order_by"))

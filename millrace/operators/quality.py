@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.casts import coerce, coerce_float, col
+from millrace.functions.casts import coerce, coerce_float, col, declared
 
 
 @dataclass(frozen=True)
@@ -80,9 +80,10 @@ _KIND_TYPES = {"int": T.LongType(), "float": T.DoubleType(), "datetime": T.Times
 def _typed(df: DataFrame, rules: TableRules, name: str) -> tuple[Column, T.DataType]:
     """Q1: a column as the rules declare it."""
     dtype, kind = df.schema[name].dataType, rules.schema.get(name)
-    if kind not in _KIND_TYPES:
+    type_name = declared(kind)[0]
+    if type_name not in _KIND_TYPES:
         return col(name), dtype
-    return coerce(col(name), dtype, kind), _KIND_TYPES[kind]
+    return coerce(col(name), dtype, kind), _KIND_TYPES[type_name]
 
 
 def _need(df: DataFrame, rule: Rule) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.casts import coerce, col, sql_cast
+from millrace.functions.casts import coerce, col, date_kinds, sql_cast
 from millrace.functions.text import normalize_columns
 from millrace.operators.shaping import flatten
 from millrace.sources import storage
@@ -57,7 +57,7 @@ def read_csv_files(
     encoding: str = "utf-8",
     usecols: Sequence[str] | None = None,
     dtype: Mapping[str, str] | None = None,
-    parse_dates: Sequence[str] | None = None,
+    parse_dates: Sequence[str] | Mapping | None = None,
     na_values=None,
     skiprows: int = 0,
     infer: bool = True,
@@ -107,7 +107,7 @@ def read_csv_files(
         parts.append(part)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     df = _null_values(df, na_values)
-    declared = {**(dtype or {}), **dict.fromkeys(parse_dates or [], "datetime")}
+    declared = {**(dtype or {}), **date_kinds(parse_dates)}
     return _typed(df, declared, infer)
 
 

@@ -130,3 +130,18 @@ def test_period_filters_reach_the_scan(spark, sf):
     as_of = datetime(2024, 1, 31, tzinfo=timezone.utc)
     for df in (times.same_month(e, "ts", as_of), times.last_days(e, "ts", as_of, 10)):
         assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan(df)
+
+
+def test_declared_date_formats(spark):
+    df = spark.createDataFrame(
+        [("20250820", "08/20/2025"), (" 20250821 ", "20 Aug 2025"), ("2025-08-20", "2025-08-20 3:00 PM"), ("20251340", "x"), ("", ""), (None, None)],
+        "a string, b string",
+    )
+    kinds = {"a": {"type": "datetime", "format": "yyyyMMdd"}, "b": {"type": "datetime", "format": ["MM/dd/yyyy", "dd MMM yyyy", "yyyy-MM-dd h:mm a"]}}
+    got = casts.coerce_columns(df, kinds).select(*[F.date_format(c, "MM-dd HH").alias(c) for c in "ab"]).collect()
+    assert [r.a for r in got] == ["08-20 00", "08-21 00", None, None, None, None]
+    assert [r.b for r in got] == ["08-20 00", "08-20 00", "08-20 15", None, None, None]
+    failed = df.agg(*casts.cast_failures(df, kinds)).first()
+    assert (failed.a_cast_failed, failed.b_cast_failed) == (3, 2)
+    days = casts.cast_columns(df, {"a": {"type": "DATE", "format": "yyyyMMdd"}}).select(F.col("a").cast("string").alias("a")).collect()
+    assert [r.a for r in days] == ["2025-08-20", "2025-08-21", None, None, None, None]

@@ -108,6 +108,30 @@ def coerce_datetime(spark, sf):
     return df.select("event_id", ts_text("ts_raw").alias("ts_raw"), F.date_format("slashed", "yyyy-MM-dd HH:mm:ss").alias("slashed"))
 
 
+@query("coerce_declared_dates", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS mixed, strftime(o_orderdate, '%Y-%m-%d') AS compact,
+       o_orderkey % 4 = 3 AS other
+FROM orders
+""")
+def coerce_declared_dates(spark, sf):
+    """T5, T4: dates in declared formats, several to a column; other text is NULL, ISO dates too."""
+    day, way = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % 4
+    df = table(spark, sf, "orders").select(
+        "o_orderkey", F.date_format(day, "yyyyMMdd").alias("compact"), F.when(way == 3, "2025-08-20").alias("iso"),
+        F.when(way == 0, F.date_format(day, "MM/dd/yyyy")).when(way == 1, F.date_format(day, "dd MMM yyyy"))
+        .otherwise(F.date_format(day, "yyyy-MM-dd hh:mm a")).alias("mixed"),
+    )
+    df = project.transform(df, {
+        "parse_dates": {"mixed": ["MM/dd/yyyy", "dd MMM yyyy", "yyyy-MM-dd hh:mm a"]},
+        "derive": ["was = iso IS NOT NULL"], "dtypes": {"iso": {"type": "datetime", "format": "yyyyMMdd"}},
+    })
+    df = casts.cast_columns(df, {"compact": {"type": "DATE", "format": "yyyyMMdd"}})
+    return df.select(
+        "o_orderkey", F.date_format("mixed", "yyyy-MM-dd HH:mm:ss").alias("mixed"), F.col("compact").cast("string").alias("compact"),
+        (F.col("was") & F.col("iso").isNull()).alias("other"),
+    )
+
+
 @query("date_parts", """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
        lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS mm, strftime(o_orderdate, '%Y') AS y_text,
