@@ -5,6 +5,10 @@ length, staying on or leaving each word by a random bit of word and step, so tha
 edit distance agree in most coordinates. Tables keyed by a few sampled coordinates, over several
 walks, find the items a window may be near; the exact edit distance decides.
 
+Walks drift apart with the number of edits, so a long item stands in the tables as parts of at most
+``PART`` words. Of a passage within the item's budget some part is within its own, being the same
+share of its words; the whole item is then compared exactly.
+
 Which item-sized windows are embedded is settled by the q-gram lemma: a window within ``e`` edits of
 an item of ``n`` words holds at least ``n - q + 1 - q e`` of its word q-grams, so others cannot pass.
 """
@@ -21,6 +25,8 @@ DISTANCE = 0.2
 #: Shorter items are no evidence and are never found.
 MIN_WORDS = 5
 GRAM = 3
+#: Words of a part of a long item at most.
+PART = 60
 WALKS, TABLES, COORDINATES = 16, 6, 3
 #: Bytes of benchmark items held by a task at a time; a longer benchmark is searched block by block.
 BLOCK_BYTES = 4 << 20
@@ -73,19 +79,33 @@ def edit_distances(items, texts):
 
 
 class Index:
-    """Vocabulary, grams and LSH tables of a block of items."""
+    """Vocabulary, grams and LSH tables of a block of items.
+
+    ``items`` are parts, most of them whole: part k is that of ``wholes[owner[k]]`` from word
+    ``offset[k]`` on.
+    """
 
     def __init__(self, items: list[tuple[int, bytes]]):
         import numpy as np
 
         self.vocabulary: dict[bytes, int] = {}
         found = sorted((i, words(raw)) for i, raw in items)
-        found = [(i, w) for i, w in found if len(w) >= MIN_WORDS]
         for _, w in found:
             for x in w:
                 self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
-        self.names = [i for i, _ in found]
-        self.items = [np.array([self.vocabulary[x] for x in w], np.int64) for _, w in found]
+        coded = [(i, np.array([self.vocabulary[x] for x in w], np.int64)) for i, w in found if w]
+        coded = [(i, x) for i, x in coded if len(x) >= MIN_WORDS]
+        self.names = [i for i, _ in coded]
+        self.wholes = [x for _, x in coded]
+        self.items, owner, offset = [], [], []
+        for k, x in enumerate(self.wholes):
+            n = -(-len(x) // PART)
+            edges = [len(x) * j // n for j in range(n + 1)]
+            for a, b in zip(edges, edges[1:]):
+                self.items.append(x[a:b])
+                owner.append(k)
+                offset.append(a)
+        self.owner, self.offset = np.array(owner, np.int64), np.array(offset, np.int64)
         self.size = np.array([len(x) for x in self.items], np.int64)
         self.edits = np.array([budget(len(x)) for x in self.items], np.int64)
         self.v = np.int64(len(self.vocabulary) + 1)
@@ -197,7 +217,7 @@ class Index:
         return np.unique(np.concatenate(made), axis=0) if made else np.empty((0, 3), np.int64)
 
     def _verify(self, ids, first, text, item, starts, bounds):
-        """Texts, items and distances of the pairs within the budget; the items are of one size."""
+        """Texts, items, distances and first words of the pairs within the budget; the items are of one size."""
         import numpy as np
 
         n, e = int(self.size[item[0]]), int(self.edits[item[0]])
@@ -206,7 +226,23 @@ class Index:
         near = np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], 0)
         d = edit_distances(np.stack([self.items[k] for k in item.tolist()]), near)
         ok = d <= e
-        return text[ok].tolist(), item[ok].tolist(), d[ok].tolist()
+        return text[ok].tolist(), item[ok].tolist(), d[ok].tolist(), first[ok].tolist()
+
+    def _whole(self, ids, spots, starts, bounds):
+        """Texts, items and distances of long items near the places (text, item, step) their parts were met.
+
+        A step is as long as the item's edits, so a passage is within a few of them of its step.
+        """
+        import numpy as np
+
+        for text, k, step in sorted(spots):
+            item = self.wholes[k]
+            e = budget(len(item))
+            first = step * (e + 1) - e - PART
+            a, b = max(first, int(starts[text])), min(first + len(item) + 3 * e + 2 * PART + 1, int(bounds[text]) - 1)
+            d = int(edit_distances(item[None, :], ids[None, a : max(a, b)])[0]) if b > a else len(item)
+            if d <= e:
+                yield text, k, d
 
     def search(self, raws: list[bytes | None]) -> list[dict[int, int]]:
         """Of each text, the items near a passage of it and their distances."""
@@ -226,6 +262,7 @@ class Index:
         ids, bounds = np.concatenate(parts), np.array(ends)
         starts = np.concatenate(([0], bounds[:-1]))
         windows = self.windows(ids, bounds)
+        spots = set()
         for n in np.unique(windows[:, 0]):
             first, text = windows[windows[:, 0] == n][:, 1:].T
             for a in range(0, len(first), 4096):
@@ -242,9 +279,16 @@ class Index:
                 pairs = np.unique((window_of * len(self.items) + self.table_item[hit])[same])
                 for c in range(0, len(pairs), PAIRS):
                     x, i = np.divmod(pairs[c : c + PAIRS], len(self.items))
-                    for doc, item, d in zip(*self._verify(ids, f[x], t[x], i, starts, bounds)):
-                        name = self.names[item]
+                    for doc, item, d, at in zip(*self._verify(ids, f[x], t[x], i, starts, bounds)):
+                        k = int(self.owner[item])
+                        if len(self.wholes[k]) > PART:
+                            spots.add((doc, k, (at - int(self.offset[item])) // (budget(len(self.wholes[k])) + 1)))
+                            continue
+                        name = self.names[k]
                         found[doc][name] = min(d, found[doc].get(name, d))
+        for doc, k, d in self._whole(ids, spots, starts, bounds):
+            name = self.names[k]
+            found[doc][name] = min(d, found[doc].get(name, d))
         return found
 
 
@@ -285,7 +329,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, to: str = "contamination") -
 
     A text is near an item of ``n`` words (at least five) when some stretch of its words is within
     ``n / 5`` edits of it, rounded down. Words are runs of letters and digits, A-Z lower-cased. Null
-    and empty texts are near nothing, as is everything when the benchmark is empty. Items with equal
+and empty texts are near nothing, as is everything when the benchmark is empty. Items with equal
     texts are each found; equal ids with several texts count once. Every row of ``docs`` gets its
     array, repeated rows too, and all its columns stay as they are; a column that is named ``to``
     is replaced.

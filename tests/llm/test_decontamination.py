@@ -99,3 +99,19 @@ def test_odd_rows(spark, monkeypatch, block):
     hits = [r.hits for r in D.annotate(docs, bench, "hits").where("doc_id = 3").collect()]
     assert [[(h.distance, h.item_id) for h in x] for x in hits] == [[(0, 7), (0, 8)]] * 3
     assert D.decontaminate(docs, bench.limit(0)).count() == 8 and D.decontaminate(docs.limit(0), bench).count() == 0
+
+
+@pytest.mark.parametrize("n", [200, 400, 1000])
+def test_recall_does_not_fall_with_length(n):
+    rng = random.Random(n)
+    common = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choices(common, k=n)).encode()) for k in range(25)]
+    index = D.Index(items)
+    met = 0
+    for k, raw in items:
+        x = raw.decode().split()
+        text = rng.choices(common, k=150) + edited(rng, x, D.budget(n)) + rng.choices(common, k=90)
+        hits = index.search([" ".join(text).encode()])[0]
+        met += k in hits
+        assert k not in hits or hits[k] == D.edit_distance(x, np.array(text, object))
+    assert met >= 0.97 * len(items)
