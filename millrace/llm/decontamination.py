@@ -15,6 +15,7 @@ an item of ``n`` words holds at least ``n - q + 1 - q e`` of its word q-grams, s
 
 from __future__ import annotations
 
+import unicodedata
 from itertools import repeat
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 #: A passage contaminates when its edit distance is at most this share of the item's words.
 DISTANCE = 0.2
-#: Shorter items are no evidence and are never found.
+#: Shorter items are matched word for word; by themselves they are no evidence for ``decontaminate``.
 MIN_WORDS = 5
 GRAM = 3
 #: Words of a part of a long item at most.
@@ -33,12 +34,40 @@ BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 8 << 20
 #: Candidates whose distances are worked out together.
 PAIRS = 4096
+#: Scripts written without spaces, by the names of their characters; each character is a word.
+UNSPACED = (
+    "CJK UNIFIED", "CJK COMPATIBILITY IDEOGRAPH", "IDEOGRAPHIC", "HIRAGANA", "KATAKANA", "HALFWIDTH KATAKANA", "BOPOMOFO",
+    "THAI ", "LAO ", "KHMER ", "MYANMAR ", "TIBETAN ", "TAI ", "NEW TAI LUE ", "JAVANESE ", "BALINESE ", "YI ",
+)
+
+
+class _Classes(dict):
+    """What stands for a character of a text that is not all ASCII, by its number."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = unicodedata.category(c)
+        if code < 128:
+            out = c
+        elif kind[0] in "ZPS" or kind == "Cc" or kind == "Cf" and code not in (0xAD, 0x200C, 0x200D):
+            out = " "
+        else:
+            out = f" {c} " if unicodedata.name(c, "").startswith(UNSPACED) else c
+        self[code] = out
+        return out
+
+
+_CLASSES = _Classes()
 #: Everything but letters, digits and bytes of other alphabets stands between words.
 _CLEAN = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
 
 
 def words(raw: bytes | None) -> list[bytes]:
-    return (raw or b"").lower().translate(_CLEAN).split()
+    """Runs of letters, digits and marks of any alphabet, A-Z lower-cased."""
+    raw = raw or b""
+    if not raw.isascii():
+        raw = raw.decode("utf-8", "replace").translate(_CLASSES).encode()
+    return raw.lower().translate(_CLEAN).split()
 
 
 def budget(n: int) -> int:
@@ -79,7 +108,7 @@ def edit_distances(items, texts):
 
 
 class Index:
-    """Vocabulary, grams and LSH tables of a block of items.
+    """Vocabulary, grams and LSH tables of a block of items, and the codes of short ones.
 
     ``items`` are parts, most of them whole: part k is that of ``wholes[owner[k]]`` from word
     ``offset[k]`` on.
@@ -94,6 +123,15 @@ class Index:
             for x in w:
                 self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
         coded = [(i, np.array([self.vocabulary[x] for x in w], np.int64)) for i, w in found if w]
+        # Words of short items, by their number: names and, sorted by their codes, the words themselves.
+        self.short = {}
+        for n in range(1, MIN_WORDS):
+            own = [(i, x) for i, x in coded if len(x) == n]
+            if own:
+                table = np.stack([x for _, x in own])
+                code = self._codes(table.T)
+                order = np.argsort(code, kind="stable")
+                self.short[n] = code[order], table[order], [own[k][0] for k in order.tolist()]
         coded = [(i, x) for i, x in coded if len(x) >= MIN_WORDS]
         self.names = [i for i, _ in coded]
         self.wholes = [x for _, x in coded]
@@ -134,6 +172,37 @@ class Index:
         order = np.argsort(self.table, kind="stable")
         self.table, self.table_item = self.table[order], self.table_item[order]
 
+    @staticmethod
+    def _codes(columns):
+        """A hash of each row of word ids, given by columns."""
+        import numpy as np
+
+        out = np.zeros(len(columns[0]), np.uint64)
+        for x in columns:
+            out = (out ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(31)
+        return out
+
+    def _exact(self, ids, bounds):
+        """(text, name) of every short item whose words stand in a text."""
+        import numpy as np
+
+        for n, (code, table, names) in self.short.items():
+            if len(ids) < n:
+                continue
+            columns = [ids[k : len(ids) - n + 1 + k] for k in range(n)]
+            seen = self._codes(columns)
+            lo, hi = np.searchsorted(code, seen, "left"), np.searchsorted(code, seen, "right")
+            count = hi - lo
+            hit = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            where = np.repeat(np.arange(len(seen)), count)
+            same = np.ones(len(hit), bool)
+            for k in range(n):
+                same &= columns[k][where] == table[hit, k]
+            text = np.searchsorted(bounds, where[same], "right")
+            for pair in np.unique(text * len(names) + hit[same]).tolist():
+                yield pair // len(names), names[pair % len(names)]
+
     def _q(self, k: int) -> int:
         """The longest gram of which a near window must hold one."""
         n, e = int(self.size[k]), int(self.edits[k])
@@ -249,7 +318,7 @@ class Index:
         import numpy as np
 
         found: list[dict[int, int]] = [{} for _ in raws]
-        if not self.items:
+        if not self.vocabulary:
             return found
         parts, ends, total = [], [], 0
         get = self.vocabulary.get
@@ -261,6 +330,8 @@ class Index:
             ends.append(total)
         ids, bounds = np.concatenate(parts), np.array(ends)
         starts = np.concatenate(([0], bounds[:-1]))
+        for doc, name in self._exact(ids, bounds):
+            found[doc][name] = 0
         windows = self.windows(ids, bounds)
         spots = set()
         for n in np.unique(windows[:, 0]):
@@ -324,12 +395,14 @@ def blocks(benchmark: DataFrame):
         yield [(r.item_id, bytes(r.raw)) for r in real.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()]
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, to: str = "contamination") -> DataFrame:
+def annotate(docs: DataFrame, benchmark: DataFrame, to: str = "contamination", least: int = 1) -> DataFrame:
     """``docs`` with an array of (distance, item_id), nearest first, of the items each text is near.
 
-    A text is near an item of ``n`` words (at least five) when some stretch of its words is within
-    ``n / 5`` edits of it, rounded down. Words are runs of letters and digits, A-Z lower-cased. Null
-and empty texts are near nothing, as is everything when the benchmark is empty. Items with equal
+    A text is near an item of ``n`` words when some stretch of its words is within ``n / 5`` edits of
+    it, rounded down; items under five words thus stand in it word for word. Items of fewer than
+    ``least`` words are passed over. Words are runs of letters, digits and marks, A-Z lower-cased; in
+    scripts written without spaces each character is a word. Null
+    and empty texts are near nothing, as is everything when the benchmark is empty. Items with equal
     texts are each found; equal ids with several texts count once. Every row of ``docs`` gets its
     array, repeated rows too, and all its columns stay as they are; a column that is named ``to``
     is replaced.
@@ -337,6 +410,7 @@ and empty texts are near nothing, as is everything when the benchmark is empty.
     names = [c for c in docs.columns if c != to]
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn(to, F.array().cast("array<struct<distance:int,item_id:bigint>>"))
     for items in blocks(benchmark):
+        items = [(i, raw) for i, raw in items if len(words(raw)) >= least]
         rows = rows.mapInArrow(_search_batches(items, names.index("text")), rows.schema)
     return rows
 
@@ -362,8 +436,8 @@ def _search_batches(items, column: int):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are near no item, whole rows as they came."""
+    """The documents that are near no item of ``MIN_WORDS`` words or more, whole rows as they came."""
     to = "contamination"
     while to in docs.columns:
         to += "_"
-    return annotate(docs, benchmark, to).where(F.size(to) == 0).drop(to)
+    return annotate(docs, benchmark, to, MIN_WORDS).where(F.size(to) == 0).drop(to)

@@ -115,3 +115,15 @@ def test_recall_does_not_fall_with_length(n):
         met += k in hits
         assert k not in hits or hits[k] == D.edit_distance(x, np.array(text, object))
     assert met >= 0.97 * len(items)
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    items = [(1, "dark energy"), (2, "the"), (3, "北京是中国的首都"), (4, "ความรู้"), (5, "alpha—beta gamma—delta—epsilon")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "on Dark  energy, then"), (2, "dark matter energy"), (3, "他说北京是中国的首都。"), (4, "มีความรู้มาก"),
+        (5, "so alpha beta gamma delta epsilon"), (6, "The end"), (7, "darkenergy other"),
+    ], "doc_id long, text string")
+    got = {r.doc_id: [(h.distance, h.item_id) for h in r.hits] for r in D.annotate(docs, bench, "hits").collect()}
+    assert got == {1: [(0, 1)], 2: [], 3: [(0, 3)], 4: [(0, 4)], 5: [(0, 5)], 6: [(0, 2)], 7: []}
+    assert sorted(r.doc_id for r in D.decontaminate(docs, bench).collect()) == [1, 2, 6, 7]
