@@ -61,3 +61,15 @@ def components(links: DataFrame) -> DataFrame:
 def id_remainder(doc_id: str, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; -1 for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % by, F.lit(-1))
+
+
+def slices(raws: list, size: int):
+    """Ranges of a list of texts that hold about ``size`` bytes each; a longer text is one alone at most."""
+    first = held = 0
+    for k, raw in enumerate(raws):
+        held += len(raw)
+        if held >= size:
+            yield first, k + 1
+            first, held = k + 1, 0
+    if first < len(raws):
+        yield first, len(raws)

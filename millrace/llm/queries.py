@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, packing, quality_classifier, quality_rules, repair, repeated_bytes, simhash, url_filters
+from millrace.llm import decontamination, fill_middle, language_id, line_dedup, packing, periodic_runs, quality_classifier, quality_rules
+from millrace.llm import quartile_digest, repair, repeated_bytes, simhash, url_filters
 from millrace.llm.common import text_bytes
 from millrace.session import configure
 
@@ -143,3 +145,62 @@ def op10(t):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
     return found.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of a tenth of the ids, the words from a place on repeat with a period, both drawn by the id."""
+    if doc_id is None or not words:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    times, rest = divmod(n - a, p)
+    return words[:a] + words[a : a + p] * times + words[a : a + rest]
+
+
+@query("op11_periodic_runs")
+def op11(t):
+    """Runs of every document's words, some with a period planted, and digests of what is left of one period each."""
+    found = periodic_runs.periodic_runs(t("documents"), planted_period)
+    # Of equal lengths the least start, then the least period, is first.
+    best = F.try_element_at(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("longer"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))), F.lit(1))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(F.expr("1000 * best.length div best.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256", "n_words",
+    )
+
+
+@query("op12_fill_middle", """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT doc_id, text, regexp_extract_all(text, '(?s)[A-Za-z]+|[^A-Za-z]') AS units, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM texts),
+drawn AS (SELECT *, len(units) AS n,
+                 ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM cut),
+formed AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                       WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m, array_to_string(units[b + 1:n], '') AS s FROM formed),
+made AS (SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output FROM parts)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM made
+""")
+def op12(t):
+    """Every document in its fill-in-middle form, and the text rebuilt from it."""
+    made = fill_middle.fill_middle(t("documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_fingerprints")
+def op13(t):
+    """Fingerprints of every document and of its half edited text, and how alike they and the next document's are."""
+    return quartile_digest.half_edited(t("documents"))

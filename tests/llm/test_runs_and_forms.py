@@ -1,0 +1,216 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from millrace.llm import fill_middle, periodic_runs, quartile_digest
+from millrace.llm.queries import QUERIES, planted_period
+from tests.conftest import SF
+
+sha = lambda raw: hashlib.sha256(raw).hexdigest()
+
+
+def brute_runs(w):
+    n, out = len(w), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            length = j + q - i
+            if j > i and length >= max(6, 4 * q):
+                s = w[i:j + q]
+                if not any(s[d:] == s[:-d] for d in range(1, q)):
+                    out.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def brute_planted(doc_id, w):
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def test_runs_equal_brute_force():
+    rng, met = random.Random(5), 0
+    for _ in range(120):
+        texts = []
+        for _ in range(rng.randint(1, 5)):
+            n, k = rng.randint(0, 90), rng.randint(1, 6)
+            w = [str(rng.randrange(k)) for _ in range(n)]
+            if n and rng.random() < 0.6:
+                a, p = rng.randrange(n), rng.randint(1, max(1, n // 5))
+                w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+            texts.append(w + rng.choice([[], list("xyz") * 5, list("xyxyxyxyz") * 4, ["q"] * 7]))
+        got, want = periodic_runs.find_runs(texts), [brute_runs(w) for w in texts]
+        assert got == want
+        met += sum(map(len, want))
+    assert met > 300
+
+
+def test_splitting_goes_on_until_stable():
+    # b is frequent in the text, but not in any segment that the rare words leave.
+    word = np.array([ord(c) for c in "b1b2b3b4" + "aaaaaaa" + "5" + "bcbcbcbb" + "6" + "cc"])
+    at, segment = periodic_runs.survivors(word, np.zeros(len(word), np.int64))
+    assert at.tolist() == list(range(8, 15)) and set(segment.tolist()) == {8}
+
+
+def test_long_periodic_texts():
+    assert periodic_runs.find_runs([["a", "b"] * 30_000]) == [[(0, 60_000, 2)]]
+    rng = random.Random(2)
+    period = [rng.randrange(9000) for _ in range(9000)]
+    assert periodic_runs.find_runs([[-1] + period * 4 + period[:5] + [-2]]) == [[(1, 36_005, 9000)]]
+
+
+def test_op11_equals_brute_force(spark):
+    want = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        w = brute_planted(r.doc_id, re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        runs, gone = brute_runs(w), set()
+        for s, n, q in runs:
+            gone.update(range(s + q, s + n))
+        best = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else None
+        want.append((
+            r.doc_id, len(runs), *((*best, 1000 * best[1] // best[2]) if best else (None,) * 4),
+            sha("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()), sha(" ".join(x for k, x in enumerate(w) if k not in gone).encode()), len(w)))
+    got = [tuple(r) for r in QUERIES["op11_periodic_runs"](spark, SF).collect()]
+    assert sorted(got) == sorted(want) and sum(r[1] > 0 for r in want) > 5
+    assert QUERIES["op11_periodic_runs"](spark, SF).columns == [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "n_words"]
+
+
+ODD = ["", None, "a", "a b", "no letters: 123", "日本語 text é", "x<P>y", "<S>", "end <", "<", "A" * 20 + "b", "\n\n", "mixed7case9É\x00z"]
+
+
+def odd(spark):
+    rows = [(k, t, "x", None) for k, t in enumerate(ODD)] + [(None, "no id here", "x", 1), (3, "a b", "y", 2), (3, "a b", "y", 2)]
+    return spark.createDataFrame(rows, "doc_id long, text string, raw string, n long").withColumn("runs", F.lit(1))
+
+
+def test_odd_rows_of_runs(spark):
+    got = periodic_runs.periodic_runs(odd(spark)).collect()
+    assert len(got) == len(ODD) + 3 and all(r.runs == [] for r in got)
+    assert {(r.doc_id, r.n_words, r.collapsed) for r in got} >= {(0, 0, ""), (1, 0, ""), (None, 3, "no id here"), (3, 2, "a b")}
+    assert periodic_runs.periodic_runs(odd(spark).limit(0)).count() == 0
+    assert planted_period(None, [b"a"] * 9) == [b"a"] * 9
+
+
+def brute_form(doc_id, text):
+    units = re.findall(r"(?s)[A-Za-z]+|[^A-Za-z]", text)
+    n, h = len(units), hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[k : k + 8], 16) for k in (0, 8, 16, 24))
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return doc_id, n, "plain", None, None, text
+    if h4 % 100 < 20:
+        return doc_id, n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return doc_id, n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def key(r):
+    return [(v is None, str(v)) for v in r]
+
+
+def test_forms_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(k, "".join(rng.choice("ab Zé日\n<P>S~@[`{z\U0001F600") for _ in range(rng.choice([0, 1, 7, 8, 9, 40, 300])))) for k in range(700)]
+    rows += [(k, "word other " * 20_000 + "日" * k) for k in range(700, 712)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(odd(spark).select("doc_id", "text"))
+    made = fill_middle.fill_middle(docs)
+    got = made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output", fill_middle.restore(F.col("output"), F.col("form")).alias("back"))
+    got = sorted((tuple(r) for r in got.collect()), key=key)
+    want = [(*brute_form(r.doc_id, r.text or ""), r.text or "") for r in docs.collect()]
+    assert got == sorted(want, key=key) and {r[2] for r in got} == {"plain", "psm", "spm"}
+    assert fill_middle.fill_middle(docs.limit(0)).count() == 0
+
+
+def test_op12_equals_brute_force(spark):
+    want = []
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        *head, output = brute_form(r.doc_id, r.text or "")
+        want.append((*head, sha(output.encode()), sha((r.text or "").encode())))
+    assert sorted((tuple(r) for r in QUERIES["op12_fill_middle"](spark, SF).collect()), key=key) == sorted(want, key=key)
+
+
+def brute_digest(text):
+    raw = (text or "").encode()
+    counts = [0] * 512
+    for i in range(len(raw) - 4):
+        h = (raw[i] << 16 | raw[i + 2] << 8 | raw[i + 4]) * 0x9E3779B1 & 0xFFFFFFFF
+        h = (h ^ h >> 15) * 0x85EBCA77 & 0xFFFFFFFF
+        counts[h >> 23] += 1
+    low = sorted(counts)
+    quarters = [sum(c > low[k] for k in (127, 255, 383)) for c in counts]
+    return zlib.crc32(raw) & 255, min(255, int(np.rint(8 * np.log2(1 + len(raw))))), quarters
+
+
+def brute_hex(d):
+    return bytes([d[0], d[1], *(sum(d[2][4 * k + i] << 2 * i for i in range(4)) for k in range(128))]).hex()
+
+
+def brute_likeness(a, b):
+    steps = sum(abs(x - y) for x, y in zip(a[2], b[2])) + min(64, 4 * max(0, abs(a[1] - b[1]) - 1)) + (a[0] != b[0])
+    return 1 - min(steps, 640) / 640
+
+
+def brute_pairs(rows):
+    out = []
+    for k, (d, text) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        a, b, c = brute_digest(text), brute_digest(edited), brute_digest(after)
+        out.append((d, len(text), sha(edited.encode()), brute_hex(a), brute_hex(b), brute_likeness(a, b), brute_likeness(a, c)))
+    return out
+
+
+def test_op13_equals_brute_force(spark, monkeypatch):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    want = brute_pairs(rows)
+    assert sorted(tuple(r) for r in QUERIES["op13_fingerprints"](spark, SF).collect()) == want
+    # Edited texts are told from the next document's.
+    assert sum(r[5] > r[6] for r in want) > 0.95 * len(want)
+    for size in (50_000,):
+        monkeypatch.setattr(quartile_digest, "TASK_BYTES", size)
+        assert sorted(tuple(r) for r in QUERIES["op13_fingerprints"](spark, SF).collect()) == want
+
+
+def test_odd_rows_of_fingerprints(spark, monkeypatch):
+    docs = odd(spark)
+    same = {t: h for t, h in zip(ODD, map(lambda t: brute_hex(brute_digest(t)), ODD))}
+    for size in (quartile_digest.TASK_BYTES, 25):
+        monkeypatch.setattr(quartile_digest, "TASK_BYTES", size)
+        got = quartile_digest.half_edited(docs).collect()
+        assert len(got) == len(ODD) + 3
+        by = {r.doc_id: r for r in got}
+        assert all(by[k].fingerprint == same[t] for k, t in enumerate(ODD))
+        text = lambda k: ODD[k] or ""
+        assert all(by[k].edited_sha256 == sha((text(k)[: len(text(k)) - len(text(k)) // 2] + text(k + 1)[: len(text(k)) // 2]).encode()) for k in range(4, len(ODD) - 1))
+        # The last document is followed by the first, that without an id.
+        last = ODD[-1]
+        assert by[len(ODD) - 1].edited_sha256 == sha((last[: len(last) - len(last) // 2] + "no id here"[: len(last) // 2]).encode())
+        assert by[0].near_edited == 1.0 and by[None].n_chars == 10
+    one = quartile_digest.half_edited(docs.where("doc_id = 10")).first()
+    assert one.near_next == 1.0 and one.fingerprint == same[ODD[10]]
+    assert quartile_digest.half_edited(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_and_likeness(spark):
+    docs = odd(spark)
+    found = {(r.doc_id, r.n_chars): r.fingerprint for r in quartile_digest.fingerprints(docs).collect()}
+    assert found[0, 0] == found[1, 0] == brute_hex(brute_digest("")) and found[3, 3] == brute_hex(brute_digest("a b"))
+    long = "one two three four five six seven eight nine ten " * 40
+    pairs = spark.createDataFrame([(1, brute_hex(brute_digest(long)), brute_hex(brute_digest(long + "more"))), (2, None, brute_hex(brute_digest("x"))),
+                                   (3, brute_hex(brute_digest("é")), brute_hex(brute_digest("é")))], "k int, a string, b string")
+    got = {r.k: r.s for r in pairs.select("k", quartile_digest.likeness(F.col("a"), F.col("b")).alias("s")).collect()}
+    assert got == {1: brute_likeness(brute_digest(long), brute_digest(long + "more")), 2: None, 3: 1.0}
