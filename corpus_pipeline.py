@@ -1,9 +1,9 @@
 """The corpus pipeline: documents through the operators of ``millrace.llm``, stage by stage.
 
-Rejected documents go, later repeated lines go, one document of each group of near copies
-(five-word shingles, Jaccard similarity 0.8) stays, what
-holds a benchmark passage goes, and the rest is packed into training sequences. Each stage gives back
-the columns of documents, but for the last, which gives the places of all pieces.
+Rejected documents go, later repeated lines go, one document of each group of near copies (SimHash of
+four-word shingles, at most four differing bits) stays, what holds a benchmark passage goes, and the rest
+is packed into training sequences. Each stage gives back the columns of documents, but for the last,
+which gives the places of all pieces.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from millrace.llm import line_dedup as lines
 from millrace.llm import packing, simhash
 from millrace.llm import quality_rules as rules
 from millrace.llm.common import cut
-from millrace.llm.near_copies import near_copies
 from millrace.session import configure
 
 
@@ -28,7 +27,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.dedupe(docs, near_copies)
+    return simhash.dedupe(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
