@@ -9,8 +9,6 @@ dealt out by a shuffle, and those with very many leaves are split into pairs of
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -243,14 +241,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return fps.join(named.join(roots, "root").select("fp", "component_id"), "fp").select("doc_id", "k_text", "fp", "component_id")
 
 
-def dedupe(docs: DataFrame, find: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
-    """``docs`` with one row of each component that ``find`` gives: that of the least doc_id (null ids last).
+def dedupe(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component of near duplicates: that of the least doc_id (null ids last).
 
     Of rows with the same id, the one whose text has the least hash stays, and of repeated rows one.
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k_text")
     # A component without ids is named by its fingerprint class alone.
-    found = find(docs).withColumn("cls", F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))))
+    found = near_duplicates(docs).withColumn("cls", F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))))
     stay = found.groupBy("cls").agg(F.min(order).alias("o")).select("o.doc_id", "o.k_text")
     stay = stay.select(F.col("doc_id").alias("s_id"), F.col("k_text").alias("s_text"))
     names = docs.columns
