@@ -77,7 +77,7 @@ def rules_for(dq: Mapping | None, table: str) -> TableRules | None:
 _KIND_TYPES = {"int": T.LongType(), "float": T.DoubleType(), "datetime": T.TimestampType(), "str": T.StringType()}
 
 
-def _typed(df: DataFrame, rules: TableRules, name: str) -> tuple[Column, T.DataType]:
+def typed(df: DataFrame, rules: TableRules, name: str) -> tuple[Column, T.DataType]:
     """Q1: a column as the rules declare it."""
     dtype, kind = df.schema[name].dataType, rules.schema.get(name)
     type_name = declared(kind)[0]
@@ -97,13 +97,13 @@ def bad_row(df: DataFrame, rules: TableRules, rule: Rule) -> Column:
     if rule.kind == "not_null":
         _need(df, rule)
         missing = []
-        for c, dtype in (_typed(df, rules, name) for name in rule.columns):
+        for c, dtype in (typed(df, rules, name) for name in rule.columns):
             missing.append(c.isNull() | F.isnan(c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c.isNull())
         return reduce(lambda a, b: a | b, missing)
     name = rule.columns[0]
     if name not in df.columns:
         return F.lit(False)
-    x = coerce_float(*_typed(df, rules, name))
+    x = coerce_float(*typed(df, rules, name))
     low, high = rule.minimum, rule.maximum
     bad = F.lit(False)
     if low is not None:
@@ -125,7 +125,7 @@ def row_counts(df: DataFrame, rules: TableRules) -> list[Column]:
 def repeats(df: DataFrame, rules: TableRules, rule: Rule) -> DataFrame:
     """Q3: rows beyond the first of each value, NULLs equal: one row ``rule, bad_rows, total_rows``."""
     _need(df, rule)
-    copies = df.groupBy(*[_typed(df, rules, name)[0].alias(name) for name in rule.columns]).agg(
+    copies = df.groupBy(*[typed(df, rules, name)[0].alias(name) for name in rule.columns]).agg(
         F.count(F.lit(1)).alias("n")
     )
     return copies.agg(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,15 +39,33 @@ def new_run_id(now: datetime) -> str:
     return f"{now:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:6]}"
 
 
-def append_rows(wh: Warehouse, table: str, rows: Sequence[tuple], schema: str) -> None:
-    """A few driver-side records (one per source or run) to a ledger table."""
+# Sources side by side, and streams, append to the same ledger tables.
+_LOCK = threading.Lock()
+
+
+def append_rows(wh: Warehouse, table: str, rows: Sequence[tuple], schema: str, tag: str | None = None) -> None:
+    """A few driver-side records (one per source or run) to a ledger table; those of a ``tag`` once."""
     if rows:
         fields = T.StructType.fromDDL(schema).fields
         records = [
             F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
         ]
         frame = wh.spark.range(1, numPartitions=1).select(F.inline(F.array(*records)))
-        wh.publish(wh.write(table, frame))
+        with _LOCK:
+            if tag is None or not wh.has_batch(table, tag):
+                wh.publish(wh.write(table, frame, tag=tag))
+
+
+# A ledger table of more batches than this is written anew as one.
+MOST_BATCHES = 200
+
+
+def tidy(wh: Warehouse) -> None:
+    """Keep what streams add, a small batch per micro-batch, from slowing down every look at the ledger."""
+    for table in (METRICS, RUNS, DQ_REPORT):
+        with _LOCK:
+            if len(wh.batches(table)) > MOST_BATCHES:
+                wh.compact(table)
 
 
 def _or_empty(wh: Warehouse, table: str, schema: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import threading
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -10,15 +9,17 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.functions.times import utc_now
 from millrace.operators import quality
 from millrace.operators.project import postprocess
 from millrace.plans import ledger
+from millrace.plans.audit import TableAudit
 from millrace.plans.export import export_table
 from millrace.plans.load import finish, prepare
 from millrace.plans.spec import SourceSpec, group_sources
-from millrace.plans.warehouse import Batch, Warehouse
+from millrace.plans.warehouse import Warehouse
 from millrace.sources.registry import get_adapter
 from millrace.sources.windows import mark_of, past
 
@@ -50,10 +51,6 @@ class RunResult:
     results: list[SourceResult]
 
 
-# Appends to the table of marks come from several threads if sources run side by side.
-_STATE_LOCK = threading.Lock()
-
-
 def run_source(
     wh: Warehouse, source: SourceSpec, dq: Mapping | None, as_of: datetime, fail_fast: bool = False
 ) -> SourceResult:
@@ -78,25 +75,26 @@ def run_source(
             metrics=(lambda d: quality.row_counts(d, rules)) if rules else None,
             stage=staged is None and source.type not in _COLUMNAR,
         )
+        audit = None
         if rules:
-            audited, whole = _audited(wh, source, batch)
-            # One row per configured rule comes back. If the batch is all there is to check, its
-            # row rules were counted while it was written.
-            out.report = quality.report(audited, source.table, rules, None if whole else batch.counters).collect()
+            # The rules hold for the table as it would be; of it only what is new is read.
+            audit = TableAudit(wh, source.table, rules, batch, source.dq_scope)
+            out.report = audit.report()
             out.verdict = quality.verdict_of(out.report, rules)
         out.decision = quality.gate(out.verdict, fail_fast)
         blocked = not out.verdict.passed and out.verdict.on_fail == "block"
         if not blocked:
             finish(wh, batch)
+            if audit and batch.published:
+                audit.record()
             if mark is not None:
-                with _STATE_LOCK:
-                    ledger.append_rows(wh, ledger.STATE, [(source.name, mark, utc_now())], ledger.STATE_SCHEMA)
+                ledger.append_rows(wh, ledger.STATE, [(source.name, mark, utc_now())], ledger.STATE_SCHEMA)
     finally:
         for written in (staged, batch):
             if written is not None and not written.published:
                 wh.discard(written)
     if source.export and not blocked:
-        export_table(wh, source.table, source.export)
+        export_table(wh, source.table, source.export, batch if batch.published else None)
     out.since = mark or since
     out.rows = 0 if blocked else batch.counters.get("inserted", batch.counters.get("rows_batch", batch.rows))
     if batch.published and source.mode == "replace":
@@ -107,11 +105,50 @@ def run_source(
     return out
 
 
-def _audited(wh: Warehouse, source: SourceSpec, batch: Batch) -> tuple[DataFrame, bool]:
-    """What the rules are checked on: the table as it would be after publishing, or the batch."""
-    written = wh.read_batch(batch)
-    kept = [b for b in wh.batches(source.table) if b not in batch.replaces] if source.dq_scope == "table" else []
-    return (wh.table(source.table, kept).unionByName(written) if kept else written), bool(kept)
+def run_micro_batch(wh: Warehouse, source: SourceSpec, rows: DataFrame, dq: Mapping | None, tag: str) -> None:
+    """A micro-batch as a run of one source: written, audited, recorded, published or blocked, exported.
+
+    Everything it leaves is named by ``tag``, so a micro-batch that is run again after a failure, at
+    whatever step that was, is loaded once and has one metrics row and one run row; the run row comes
+    last. An export is written again, which changes nothing.
+    """
+    if wh.has_batch(ledger.RUNS, tag):
+        return
+    started, out, batch = utc_now(), SourceResult(source), None
+    clock = time.monotonic()
+    rules = quality.rules_for(dq, source.table)
+    run_id = f"stream_{tag}"
+    if not wh.has_batch(source.table, tag):
+        try:
+            batch = prepare(
+                wh, source.table, rows, source.mode, keys=source.keys, cast_map=source.cast_map,
+                order_by=source.order_by or None, dedupe_batch=source.dedupe_batch, tag=tag,
+                metrics=(lambda d: quality.row_counts(d, rules)) if rules else None,
+            )
+            audit = TableAudit(wh, source.table, rules, batch, source.dq_scope) if rules else None
+            if audit:
+                out.report = audit.report()
+                out.verdict = quality.verdict_of(out.report, rules)
+            out.decision = quality.gate(out.verdict)
+            blocked = out.decision == "block"
+            out.rows = 0 if blocked else batch.counters.get("inserted", batch.counters.get("rows_batch", batch.rows))
+            out.rows_table = (wh.table(source.table).count() if wh.exists(source.table) else 0) + (0 if blocked else batch.rows)
+            out.seconds, out.loaded_at = time.monotonic() - clock, utc_now()
+            _record_sources(wh, run_id, [out], tag)
+            if not blocked:
+                finish(wh, batch)
+                if audit and batch.published:
+                    audit.record()
+        finally:
+            if batch is not None and not batch.published:
+                wh.discard(batch)
+    if source.export and wh.exists(source.table) and out.decision != "block":
+        export_table(wh, source.table, source.export, batch if batch is not None and batch.published else None)
+    loaded = ledger.metrics(wh).filter(F.col("run_id") == run_id).agg(F.sum("rows_loaded").alias("n")).first()["n"]
+    finished = utc_now()
+    run = (run_id, started, finished, f"stream {source.name}", "ok", None, 1, loaded, (finished - started).total_seconds())
+    ledger.append_rows(wh, ledger.RUNS, [run], ledger.RUNS_SCHEMA, tag)
+    ledger.tidy(wh)
 
 
 def _attempt(wh: Warehouse, source: SourceSpec, dq, as_of: datetime, fail_fast: bool = False) -> SourceResult:
@@ -180,6 +217,16 @@ def _record(
     """A metrics row per source, also for one that ended the run, and one row for the run."""
     run_id, finished = ledger.new_run_id(started), utc_now()
     error = next((r.error for r in results if r.error), None)
+    run = (
+        run_id, started, finished, group, status, error, n_sources, sum(r.rows for r in results),
+        (finished - started).total_seconds(),
+    )
+    _record_sources(wh, run_id, results)
+    ledger.append_rows(wh, ledger.RUNS, [run], ledger.RUNS_SCHEMA)
+    return RunResult(run_id, status, error, results)
+
+
+def _record_sources(wh: Warehouse, run_id: str, results: list[SourceResult], tag: str | None = None) -> None:
     metrics = [
         (
             run_id, r.source.name, r.source.table, r.rows, r.seconds, r.verdict.passed if r.ok else None,
@@ -188,11 +235,5 @@ def _record(
         for r in results
     ]
     rules = [(run_id, *row) for r in results for row in r.report]
-    run = (
-        run_id, started, finished, group, status, error, n_sources, sum(r.rows for r in results),
-        (finished - started).total_seconds(),
-    )
-    ledger.append_rows(wh, ledger.METRICS, metrics, ledger.METRICS_SCHEMA)
-    ledger.append_rows(wh, ledger.DQ_REPORT, rules, ledger.DQ_REPORT_SCHEMA)
-    ledger.append_rows(wh, ledger.RUNS, [run], ledger.RUNS_SCHEMA)
-    return RunResult(run_id, status, error, results)
+    ledger.append_rows(wh, ledger.METRICS, metrics, ledger.METRICS_SCHEMA, tag)
+    ledger.append_rows(wh, ledger.DQ_REPORT, rules, ledger.DQ_REPORT_SCHEMA, tag)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -74,6 +75,25 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def switch(spark: SparkSession, new: str, place: str) -> None:
+    """Put a folder in the place of another, which goes once the new one is there."""
+    fs, source = _open(spark, new)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target, old = path(place), path(f"{place.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"could not move {place}")
+    if not fs.rename(source, target):
+        fs.rename(old, target)
+        raise OSError(f"could not switch {place}")
+    fs.delete(old, True)
+
+
+def partition_folder(spark: SparkSession, name: str, value) -> str:
+    """``name=value`` as a partitioned write spells it; NULL has a name of its own."""
+    text = None if value is None else str(value)
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(name, text)
+
+
 def head_lines(spark: SparkSession, files: list[str], n: int, encoding: str = "utf-8") -> dict[str, list[str]]:
     """The first ``n`` lines of each file. One short read per file, so no scan of the data."""
     jvm = spark._jvm

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import quality
-from millrace.plans import load
+from millrace.plans import ledger, load
 from millrace.session import scratch_dir
 from millrace.streaming import ingest
 from workload import SQL_NOISY_EVENTS, noisy_events, query, table, ts_text
@@ -77,6 +77,60 @@ def stream_dq(spark, sf):
     )
 
 
+@query("stream_dedupe_best", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, value + 2 AS value FROM events
+WHERE ts < (SELECT max(ts) FROM events)
+""")
+def stream_dedupe_best(spark, sf):
+    """Every event three times, with another value each; the greatest value stays.
+
+    The watermark passes all events but the last, which stays in the state.
+    """
+    root, wh = scratch_dir(spark, "stream"), new_warehouse(spark)
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    three = e.withColumn("value", F.explode(F.array(*[F.col("value") + n for n in range(3)])))
+    three.repartition(landed_files(spark)).write.parquet(f"{root}/landed")
+
+    def run():
+        stream = ingest.file_stream(spark, f"{root}/landed", e.schema)
+        best = ingest.dedupe_best(stream, ["event_id"], "ts", "1 microsecond", ["value desc"])
+        ingest.append_stream(best, wh, "events", f"{root}/checkpoint").awaitTermination()
+
+    run()
+    return wh.table("events").select("event_id", ts_text("ts").alias("ts"), "event_type", "value")
+
+
+RUN_STEPS = 4
+STREAM_DQ = {"rules": {"events": {"checks": [{"not_null": ["event_id"]}, {"unique": ["event_id"]}, {"range": {"column": "value", "min": 0}}], "on_fail": "block"}}}
+
+
+@query("stream_run_metrics", """
+WITH n AS (SELECT event_id % 4 AS step, count(*) AS n, count(*) FILTER (WHERE event_id % 4 = 2 AND event_id % 5 = 0 AND value > 0) AS bad FROM events GROUP BY 1),
+r AS (SELECT step, CASE WHEN bad = 0 THEN n ELSE 0 END AS rows_loaded, bad = 0 AS dq_pass, CASE WHEN bad = 0 THEN 0 ELSE 1 END AS violations FROM n)
+SELECT step::BIGINT AS step, rows_loaded, CAST(sum(rows_loaded) OVER (ORDER BY step) AS BIGINT) AS rows_table, dq_pass, CAST(violations AS BIGINT) AS dq_violations FROM r
+""")
+def stream_run_metrics(spark, sf):
+    """A periodic run, four times over files that land in between: audited, blocked or published, one metrics row each."""
+    root, wh = scratch_dir(spark, "stream"), new_warehouse(spark)
+    e = table(spark, sf, "events").select("event_id", "event_type", "value")
+    source = {
+        "name": "events", "type": "parquet", "table": "events", "mode": "incremental", "incremental": {"key": ["event_id"]},
+        "params": {"path": f"{root}/landed", "schema": "event_id bigint, event_type string, value double"},
+        "export_parquet": {"dir": f"{root}/export", "partition_by": ["event_type"], "touched_only": True},
+    }
+    i = F.col("event_id")
+    for step in range(RUN_STEPS):
+        # The third batch has values out of range; the last repeats the first, which is skipped.
+        part = e.filter((i % RUN_STEPS).isin(*([0, step] if step == 3 else [step])))
+        if step == 2:
+            part = part.withColumn("value", F.when(i % 5 == 0, -F.col("value")).otherwise(F.col("value")))
+        part.write.mode("append").parquet(f"{root}/landed")
+        ingest.stream_sources(wh, [source], f"{root}/checkpoint", None, STREAM_DQ)["events"].awaitTermination()
+    number = F.substring_index("run_id", "_", -1).cast("bigint")
+    return ledger.metrics(wh).select(
+        number.alias("step"), "rows_loaded", "rows_table", "dq_pass", F.col("dq_violations").cast("bigint").alias("dq_violations"))
+
+
 @query("stream_two_sources", "SELECT event_id, event_type, value FROM events")
 def stream_two_sources(spark, sf):
     """G1: two halves of the events by two streams into one table; each loads all of its rows."""
