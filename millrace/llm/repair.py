@@ -17,8 +17,7 @@ from millrace.session import scratch_dir
 #: Nonterminals are numbered from here; token ids lie below.
 BASE = 1 << 16
 SHARD_IDS = 1 << 20
-ROUNDS = 4
-#: New rules of a round, and the least number of places of a pair that becomes one.
+#: New rules of a round at most, and the least number of places of a pair that becomes one.
 ROUND_RULES = 2048
 LEAST = 32
 HASH_BITS = 18
@@ -35,21 +34,19 @@ def compress(ids, last):
 
     Each round takes frequent pairs no two of which can overlap: no symbol is the first of one and
     the second of another, and a symbol repeated pairs from the left. So all places are replaced at
-    once.
+    once. Rounds go on until no pair has ``LEAST`` places.
     """
     import numpy as np
 
-    symbols, rules = ids.astype(np.uint32), []
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    symbols, rules, every = ids.astype(np.uint32), [], False
+    while len(symbols) > 1:
         # A pair that spans documents is none.
         free = ~last[:-1]
         slot = (symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - HASH_BITS)
         slot[~free] = 1 << HASH_BITS
         # Only pairs that share a slot with many others can be frequent; the fullest slots are looked into.
         full = np.bincount(slot, minlength=(1 << HASH_BITS) + 1)[:-1]
-        enough = max(LEAST, int(np.partition(full, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
+        enough = LEAST if every else max(LEAST, int(np.partition(full, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
         often = np.flatnonzero(np.append(full >= enough, False)[slot])
         seen = (symbols[often].astype(np.uint64) << np.uint64(32)) | symbols[often + 1]
         pairs, places = np.unique(seen, return_counts=True)
@@ -64,6 +61,9 @@ def compress(ids, last):
             chosen.append(k)
             if len(chosen) == ROUND_RULES:
                 break
+        if not chosen and enough > LEAST:
+            every = True  # none in the fullest slots; look into all that can hold one
+            continue
         if not chosen:
             break
         wanted = pairs[np.sort(chosen)]
@@ -96,22 +96,32 @@ def expansions(rules):
     return size
 
 
+def spelled(rules):
+    """The ids of all rules in a row, and where those of each start; a rule's places bound what it takes."""
+    import numpy as np
+
+    parts: list = []
+    for a, b in rules.tolist():
+        parts.append(np.concatenate([parts[x - BASE] if x >= BASE else np.array([x], np.uint32) for x in (a, b)]))
+    starts = np.concatenate(([0], np.cumsum([len(x) for x in parts], dtype=np.int64)))
+    return (np.concatenate(parts) if parts else np.empty(0, np.uint32)), starts
+
+
 def expand(symbols, rules):
     """The ids that symbols stand for."""
     import numpy as np
 
-    out = symbols
-    while len(out) and out.max() >= BASE:
-        inner = out >= BASE
-        size = 1 + inner.astype(np.int64)
-        ends = np.cumsum(size)
-        wide = np.empty(ends[-1], np.uint32)
-        wide[(ends - size)[~inner]] = out[~inner]
-        pair = rules[out[inner] - BASE]
-        wide[(ends - 2)[inner]] = pair[:, 0]
-        wide[(ends - 1)[inner]] = pair[:, 1]
-        out = wide
-    return out
+    flat, starts = spelled(rules)
+    inner = symbols >= BASE
+    rule = symbols[inner].astype(np.int64) - BASE
+    size = np.ones(len(symbols), np.int64)
+    size[inner] = starts[rule + 1] - starts[rule]
+    ends = np.cumsum(size)
+    # A plain symbol stands behind the rules' ids, a rule's symbol among them.
+    first = np.arange(len(symbols)) + len(flat)
+    first[inner] = starts[rule]
+    table = np.concatenate((flat, symbols.astype(np.uint32)))
+    return table[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)]
 
 
 def read_range(shard: dict, document: int, start: int = 0, length: int | None = None):
@@ -133,7 +143,24 @@ def read_range(shard: dict, document: int, start: int = 0, length: int | None =
         return np.empty(0, np.uint32)
     a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
     before = int(ends[a] - size[a])
-    return expand(own[a:b], rules)[start - before : stop - before]
+    return _expand_few(own[a:b], rules)[start - before : stop - before]
+
+
+def _expand_few(symbols, rules):
+    """As ``expand``, level by level, without spelling rules that are not used."""
+    import numpy as np
+
+    out = symbols
+    while len(out) and out.max() >= BASE:
+        inner = out >= BASE
+        ends = np.cumsum(1 + inner.astype(np.int64))
+        wide = np.empty(ends[-1], np.uint32)
+        wide[(ends - 1)[~inner]] = out[~inner]
+        pair = rules[out[inner] - BASE]
+        wide[(ends - 2)[inner]] = pair[:, 0]
+        wide[(ends - 1)[inner]] = pair[:, 1]
+        out = wide
+    return out
 
 
 def _shard_batches(path: str):

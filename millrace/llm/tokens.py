@@ -39,15 +39,20 @@ class Encoder:
     """
 
     _meeting = re.compile(r"\s\s")
+    #: Stretches that are nothing or a line break.
+    _bare = frozenset(("\0", "\0\n"))
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        import numpy as np
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # For single words of letters, which the splitting rule leaves whole.
-        self.words = Tokenizer.from_file(path)
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        names = self.tokenizer.get_vocab()
+        # Ids whose text starts with a space, and that of a line break, as byte-level names spell them.
+        self.opens = np.zeros(max(names.values()) + 1, bool)
+        self.opens[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+        self.line_break = names["\u010a"]
         self._forget()
 
     def _forget(self):
@@ -95,16 +100,41 @@ class Encoder:
         return (np.concatenate(out) if out else np.empty(0, np.uint32)), lengths
 
     def _learn(self, marked: list[str]):
-        words = [m for m in marked if m.isalpha()]
-        others = [m for m in marked if not m.isalpha()]
-        spaced = [m[1:] if m[:1] == "\0" else " " + m for m in others]
-        for names, texts, with_ in ((words, [" " + m for m in words], self.words), (others, spaced, self.tokenizer)):
+        """Give many stretches to the tokenizer as one text, at whose spaces or line breaks it cuts."""
+        import numpy as np
+
+        spaced = [m for m in marked if m[:1] != "\0"]
+        after_break = [m for m in marked if m[:1] == "\0" and m not in self._bare]
+        for names, between in ((spaced, " "), (after_break, "\n")):
             for at in range(0, len(names), 20_000):
-                found = [e.ids for e in with_.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)]
-                before = len(self.starts) - 1
-                self.flat.extend(chain.from_iterable(found))
-                self.starts.extend(accumulate(map(len, found[1:]), initial=self.starts[-1] + len(found[0])))
-                self.known.update(zip(names[at : at + 20_000], range(before, before + len(found))))
+                some = names[at : at + 20_000]
+                joined = between + between.join(some).replace("\0", "")
+                ids = np.empty(0, np.uint32)
+                if not self._meeting.search(joined):
+                    ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+                cut = np.flatnonzero(self.opens[ids] if between == " " else ids == self.line_break)
+                if len(cut) != len(some) or len(cut) and cut[0]:
+                    self._learn_singly(some)  # white space of other kinds in them
+                elif between == " ":
+                    self._add(some, ids, np.append(cut, len(ids)))
+                else:
+                    self._add(some, np.delete(ids, cut), np.append(cut, len(ids)) - np.arange(len(cut) + 1))
+        self._learn_singly([m for m in marked if m in self._bare])
+
+    def _learn_singly(self, marked: list[str]):
+        import numpy as np
+
+        if marked:
+            texts = [m[1:] if m[:1] == "\0" else " " + m for m in marked]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            self._add(marked, np.array(list(chain.from_iterable(found)), np.uint32), np.array([0, *accumulate(map(len, found))]))
+
+    def _add(self, names: list[str], ids, bounds):
+        """Remember the ids of stretches, which stand between the bounds."""
+        before = len(self.starts) - 1
+        self.flat.frombytes(ids.tobytes())
+        self.starts.frombytes((bounds[1:] - bounds[0] + self.starts[-1]).astype("int64").tobytes())
+        self.known.update(zip(names, range(before, before + len(names))))
 
 
 def slices(texts: list[str | None]):

@@ -10,7 +10,7 @@ from millrace.llm.queries import QUERIES
 from millrace.session import scratch_dir
 from tests.conftest import SF
 
-ODD = ["", None, "a  b", "a   b\n\n  c", " x", "x ", "\n x \n", "<|endoftext|> hi", "it's 's 12 3.4 !! --", "\x00y", "\x00", "\t x\ty",
+ODD = ["", None, "one\u00a0two\u2003", "\u00a0", "a\n\u00a0b\u00a0", "\u0120x \u010a", "a  b", "a   b\n\n  c", " x", "x ", "\n x \n", "<|endoftext|> hi", "it's 's 12 3.4 !! --", "\x00y", "\x00", "\t x\ty",
        "a\x1c b", "日本 語 éà", "x\r\n y", "one two " * 30_000, "a" * 5000]
 
 
@@ -56,6 +56,23 @@ def test_grammar_round_trip():
     assert len(repair.compress(np.zeros(1000, np.uint32), np.arange(1000) == 999)[1]) < 80
 
 
+def test_grammar_goes_to_its_end():
+    rng = random.Random(4)
+    one = [rng.randrange(50_000) for _ in range(300)]
+    ids = np.array(one * 3000, np.uint32)
+    last = np.arange(len(ids)) % 300 == 299
+    rules, symbols, ends = repair.compress(ids.copy(), last.copy())
+    assert len(symbols) == 3000 and ends.all() and (repair.expand(symbols, rules) == ids).all()
+    assert repair.expansions(rules).max() == 300
+    ids = np.array([rng.choice((1, 2, 3, 4)) for _ in range(20_000)], np.uint32)
+    last = np.arange(len(ids)) == len(ids) - 1
+    _, symbols, _ = repair.compress(ids, last)
+    pairs = {}
+    for a, b in zip(symbols.tolist(), symbols.tolist()[1:]):
+        pairs[a, b] = pairs.get((a, b), 0) + 1
+    assert max(pairs.values()) < repair.LEAST
+
+
 def test_random_access_and_odd_rows(spark, plain):
     rows = [(k, t, "x") for k, t in enumerate(ODD)] + [(None, "no id", "x"), (3, ODD[3], "y"), (3, "other", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string")
