@@ -26,7 +26,7 @@ LENGTH_STEPS, LENGTH_COST, LENGTH_BOUND = 8, 4, 64
 BOUND = BUCKETS * 5 // 4
 SLICE_BYTES = 1 << 20
 #: Text bytes of a stretch of neighbouring documents, and stretches at most (then they get longer).
-TASK_BYTES, MAX_TASKS = 16 << 20, 20_000
+TASK_BYTES, MAX_TASKS = 4 << 20, 100_000
 #: Null ids come first: they are ordered as the least number.
 NO_ID = -(1 << 63)
 
@@ -139,7 +139,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     n = min(MAX_TASKS, 1 + text_bytes(rows) // TASK_BYTES)
-    borders = rows.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n) if n > 1 else []
+    borders = rows.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.5 / n) if n > 1 else []
     rows = rows.select(
         _stretch(F.col("doc_id"), sorted(set(borders))).alias("stretch"), F.coalesce("doc_id", F.lit(NO_ID)).alias("place"),
         F.xxhash64("text").alias("k_text"), "doc_id", F.col("text").cast("binary").alias("raw"))
@@ -147,13 +147,14 @@ def neighbours(docs: DataFrame) -> DataFrame:
     least = rows.groupBy("stretch").agg(F.min("place").alias("place"))
     first = rows.join(F.broadcast(least), ["stretch", "place"]).groupBy("stretch", "place").agg(F.min("k_text").alias("k_text"))
     heads = rows.join(F.broadcast(first), ["stretch", "place", "k_text"]).dropDuplicates(["stretch"])
-    in_turn = first.select("stretch", F.lag("stretch").over(Window.orderBy("stretch")).alias("before"))
-    last = first.agg(F.max("stretch").alias("last"))
-    in_turn = in_turn.crossJoin(F.broadcast(last)).select(F.col("stretch").alias("own"), F.coalesce("before", "last").alias("before"))
+    turn = Window.orderBy("stretch")
+    last = F.max("stretch").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    in_turn = first.select(F.col("stretch").alias("own"), F.coalesce(F.lag("stretch").over(turn), last).alias("before"))
     heads = heads.join(F.broadcast(in_turn), heads["stretch"] == in_turn["own"]).select(
         F.col("before").alias("stretch"), F.lit(True).alias("ahead"), "place", "k_text", "doc_id", "raw")
     every = rows.select("stretch", F.lit(False).alias("ahead"), "place", "k_text", "doc_id", "raw").unionByName(heads)
-    dealt = every.repartition(n, "stretch").sortWithinPartitions("stretch", "ahead", "place", "k_text")
+    # A stretch is a task; none shares its task with another while some have none.
+    dealt = every.repartitionById(n, "stretch").sortWithinPartitions("stretch", "ahead", "place", "k_text")
     return dealt.select("stretch", "ahead", "doc_id", "raw")
 
 
