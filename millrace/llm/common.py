@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_dir
@@ -73,3 +73,30 @@ def slices(raws: list, size: int):
             first, held = k + 1, 0
     if first < len(raws):
         yield first, len(raws)
+
+
+def least_ids(rows: DataFrame, n: int, total: int) -> DataFrame:
+    """Of each group the ``n`` distinct ids with the least hashes, ``total`` rows at most: grp, doc_id, mark, h, n.
+
+    ``rows`` has grp, doc_id (a long) and mark (a long; of an id that stands there several times the least
+    one counts). Each task passes on no more than its own ``n`` of a group, each id once, so neither
+    repeated rows nor a hot group make the sample or its exchange larger.
+    """
+
+    def least(batches):
+        import pandas as pd
+        import pyarrow as pa
+
+        held = None
+        for batch in batches:
+            own = batch.to_pandas(types_mapper=pd.ArrowDtype)
+            held = own if held is None else pd.concat([held, own])
+            held = held.sort_values(["h", "doc_id", "mark"]).drop_duplicates(["grp", "doc_id"]).groupby("grp", dropna=False).head(n)
+        if held is not None:
+            yield pa.RecordBatch.from_pandas(held, preserve_index=False)
+
+    slim = rows.select(F.col("grp").cast("string").alias("grp"), F.col("doc_id").cast("long").alias("doc_id"), F.col("mark").cast("long").alias("mark"))
+    slim = slim.withColumn("h", F.xxhash64("doc_id"))
+    once = slim.mapInArrow(least, slim.schema).groupBy("grp", "doc_id", "h").agg(F.min("mark").alias("mark"))
+    ranked = once.withColumn("n", F.row_number().over(Window.partitionBy("grp").orderBy("h", "doc_id"))).where(F.col("n") <= n)
+    return ranked.orderBy("n", "grp").limit(total).select("grp", "doc_id", "mark", "h", "n")

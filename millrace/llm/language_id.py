@@ -8,10 +8,10 @@ batch is scored as its presence matrix times the landmarks' times the coefficien
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_remainder
+from millrace.llm.common import id_remainder, least_ids
 
 ORDERS = (1, 2, 3)
 CELL_BITS = 13
@@ -88,33 +88,38 @@ def _with_letters(docs: DataFrame, *more) -> DataFrame:
 def train(docs: DataFrame):
     """A model from a bounded sample of rows with a language whose id is not held out; else None.
 
-    Of each language the ``PER_LANGUAGE`` rows with the least hash of their ids; null ids and texts
-    without a letter teach nothing.
+    Of each language the ``PER_LANGUAGE`` ids with the least hashes; null ids and texts without a
+    letter teach nothing. An id counts once for a language, with the text of the least hash, however
+    often its rows are repeated; so at most ``TRAIN_ROWS`` rows, a kilobyte each, come to the driver.
     """
     import numpy as np
     import pyarrow as pa
 
     rows = _with_letters(
         docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder("doc_id", HELD_OUT_BY) != HELD_OUT)),
-        "lang", F.xxhash64("doc_id").alias("h"), "doc_id").where(F.col("raw").isNotNull())
+        "lang", "doc_id").where(F.col("raw").isNotNull()).select(
+        F.col("lang").alias("grp"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("raw").alias("mark"), "raw")
     # Ranked without the texts; the few that are chosen are fetched by their ids.
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    few = rows.select("lang", "h", "doc_id").withColumn("n", nth).where(F.col("n") <= PER_LANGUAGE)
-    few = few.orderBy("n", "lang").limit(TRAIN_ROWS).select("doc_id", "lang", "n")
-    chosen = rows.select("doc_id", "lang", "raw").join(F.broadcast(few), ["doc_id", "lang"]).select("lang", "n", "doc_id", "raw")
+    few = least_ids(rows, PER_LANGUAGE, TRAIN_ROWS)
+    chosen = rows.join(F.broadcast(few), ["grp", "doc_id", "mark"]).select("grp", "n", "doc_id", "raw")
 
     def packed(batches):
+        met = set()
         for batch in batches:
-            raws = batch.column("raw").to_pylist()
+            keys = list(zip(batch.column("grp").to_pylist(), batch.column("doc_id").to_pylist()))
+            new = [k for k, key in enumerate(keys) if not (key in met or met.add(key))]
+            raws = batch.column("raw").take(pa.array(new, pa.int64())).to_pylist()
             bits = [np.packbits(r > 0).tobytes() for a, b in _slices(raws) for r in presence(raws[a:b])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(bits, pa.binary())], names=["lang", "n", "doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [*[c.take(pa.array(new, pa.int64())) for c in batch.columns[:3]], pa.array(bits, pa.binary())], names=["grp", "n", "doc_id", "bits"])
 
     schema = chosen.drop("raw").schema.add("bits", "binary")
-    found = sorted(chosen.mapInArrow(packed, schema).collect(), key=lambda r: (r["lang"], r["n"], r["bits"]))
+    once = chosen.mapInArrow(packed, schema).dropDuplicates(["grp", "doc_id"])
+    found = sorted(once.collect(), key=lambda r: (r["grp"], r["n"], r["bits"]))
     if not found:
         return None
     matrix = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in found]).astype(np.float32)
-    return fit(matrix, [r["lang"] for r in found], [r["n"] <= LANDMARKS for r in found])
+    return fit(matrix, [r["grp"] for r in found], [r["n"] <= LANDMARKS for r in found])
 
 
 def predict(docs: DataFrame, model) -> DataFrame:

@@ -7,10 +7,10 @@ to ``CELLS`` weights. A score is a sparse dot product of these with the weights.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_remainder
+from millrace.llm.common import id_remainder, least_ids
 
 CELLS = 1 << 18
 #: Labelled rows learned from, at most: those with the least hashes of their ids.
@@ -80,32 +80,41 @@ class Ftrl:
 
 
 def _summed_batches(batches):
+    """The features of each id's row of the least hash, as far as a task can tell; an id once a task."""
     import pyarrow as pa
 
+    held: dict = {}
     for batch in batches:
-        rows = [summed(x.as_py()) for x in batch.column("raw")]
-        yield pa.RecordBatch.from_arrays([
-            batch.column("h"), batch.column("label"), pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
-            pa.array([v.astype("<f4").tobytes() for _, v in rows], pa.binary()),
-        ], names=["h", "label", "at", "value"])
+        ids, labels, hashes, marks = (batch.column(c).to_pylist() for c in ("doc_id", "label", "h", "k_text"))
+        for k, raw in enumerate(batch.column("raw")):
+            if ids[k] not in held or marks[k] < held[ids[k]][2]:
+                at, value = summed(raw.as_py())
+                held[ids[k]] = (labels[k], hashes[k], marks[k], at.astype("<i4").tobytes(), value.astype("<f4").tobytes())
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    columns = [pa.array([r[i] for r in held.values()], t) for i, t in enumerate(types)]
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), *columns], names=["doc_id", "label", "h", "k_text", "at", "value"])
 
 
 def train(docs: DataFrame, labels: DataFrame):
     """Weights from at most ``TRAIN_ROWS`` rows whose id is not held out; None without any.
 
-    Rows without a label of 0 or 1, and ids that are null, teach nothing.
+    Rows without a label of 0 or 1, and ids that are null, teach nothing. An id counts once, with its
+    least label and the text of the least hash, however often its rows are repeated in either table.
     """
     import numpy as np
 
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (id_remainder("doc_id", HELD_OUT) != 0))
-    known = known.select("doc_id", F.col("quality").cast("int").alias("label"), F.xxhash64("doc_id").alias("h"))
-    some = known.orderBy("h", "doc_id", "label").limit(TRAIN_ROWS)
+    some = least_ids(known.select(F.lit("").alias("grp"), "doc_id", F.col("quality").alias("mark")), TRAIN_ROWS, TRAIN_ROWS)
+    some = some.select("doc_id", F.col("mark").cast("int").alias("label"), "h")
     # The sample is bounded by TRAIN_ROWS, so it may be broadcast.
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("raw")).join(F.broadcast(some), "doc_id").select("h", "label", "raw")
-    rows = rows.mapInArrow(_summed_batches, "h long, label int, at binary, value binary").toArrow().to_pylist()
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("k_text"), F.col("text").cast("binary").alias("raw"))
+    rows = slim.join(F.broadcast(some), "doc_id").select("doc_id", "label", "h", "k_text", "raw").mapInArrow(
+        _summed_batches, "doc_id long, label int, h long, k_text long, at binary, value binary")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("k_text"))
+    rows = rows.withColumn("one", one).where("one = 1").select("h", "label", "doc_id", "at", "value").toArrow().to_pylist()
     if not rows:
         return None
-    rows.sort(key=lambda r: (r["h"], r["label"], len(r["at"])))
+    rows.sort(key=lambda r: (r["h"], r["doc_id"]))
     model = Ftrl()
     for _ in range(EPOCHS):
         for r in rows:

@@ -27,7 +27,8 @@ STEPS = 6
 TAIL = 1e-9
 #: Groups with fewer texts are pooled by language, and fewer still over all languages.
 MIN_GROUP = 120
-ALL = "\x00all"
+#: The pool of all languages; where it is too small as well, the whole table's estimate judges it.
+ALL, TABLE = "\x00all", "\x00table"
 
 
 def chi2_cdf(x: float, dims: int) -> float:
@@ -160,21 +161,28 @@ def estimate(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From vectors (lang, source, x0..): the group of each lang and source, and the estimates.
 
     A group is a language and source, or, where these have under ``MIN_GROUP`` texts, all such
-    sources of the language, or all such languages; still smaller groups have no estimate.
+    sources of the language, or all such languages. If those are too few as well, they are judged by
+    an estimate from all vectors of the table.
     """
     d = len(DIMS)
+    xs = [f"x{i}" for i in range(d)]
     n = vectors.groupBy("lang", "source").count()
     own = F.col("count") >= MIN_GROUP
     by_lang = n.withColumn("left_lang", F.sum(F.when(own, 0).otherwise(F.col("count"))).over(Window.partitionBy("lang")))
-    name = F.when(own, F.to_json(F.struct("lang", "source"))).when(
-        F.col("left_lang") >= MIN_GROUP, F.to_json(F.struct("lang", F.lit(ALL).alias("source")))
-    ).otherwise(ALL)
+    pooled = ~own & (F.col("left_lang") < MIN_GROUP)
+    by_lang = cut(by_lang.withColumn("own", own).withColumn("pooled", pooled), "mcd-sizes")
+    left = by_lang.where("pooled").agg(F.sum("count")).first()[0]
+    rest = ALL if left is None or left >= MIN_GROUP else TABLE
+    name = F.when(F.col("own"), F.to_json(F.struct("lang", "source"))).when(
+        ~F.col("pooled"), F.to_json(F.struct("lang", F.lit(ALL).alias("source")))).otherwise(rest)
     groups = cut(by_lang.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), name.alias("g")), "mcd-groups")
-    at = cut(_with_group(vectors, groups).select("g", *[f"x{i}" for i in range(d)]), "mcd-vectors")
+    at = _with_group(vectors, groups).select("g", *xs)
+    if rest == TABLE:
+        at = at.where(F.col("g") != TABLE).union(vectors.select(F.lit(TABLE).alias("g"), *xs))
+    at = cut(at, "mcd-vectors")
     # Start: medians, with spreads from the quartiles.
-    quartiles = at.groupBy("g").agg(F.count("*").alias("n"), *[
-        F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"p{i}") for i in range(d)
-    ]).where(F.col("n") >= MIN_GROUP)
+    quartiles = at.groupBy("g").agg(*[
+        F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"p{i}") for i in range(d)])
     start = quartiles.select("g", *[F.col(f"p{i}")[1].alias(f"m{i}") for i in range(d)], *[
         (1 / F.sqrt(((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349) ** 2 + SPREAD[DIMS[i]] ** 2)).alias(f"w{i}_{j}")
         if i == j else F.lit(0.0).alias(f"w{i}_{j}") for i, j in _pairs()
@@ -198,8 +206,8 @@ def _judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     """A struct ``c`` of the columns ``carry``, ``q`` (the counts), ``base_failed``, ``distance``, ``kept``.
 
     Null and empty texts have no words and fail the base rules. Null languages and sources are
-    groups of their own. Texts that pass the base rules enter the estimate; they are kept where
-    their group is too small for one. Repeated rows count as often as they stand there. Columns of
+    groups of their own. Texts that pass the base rules enter the estimate, and each of them has a
+    distance, if only from the estimate of the whole table. Repeated rows count as often as they stand there. Columns of
     ``docs`` other than text, lang, source and ``carry`` are not touched.
     """
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("c"), "text", "lang", "source")

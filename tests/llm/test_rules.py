@@ -62,9 +62,8 @@ def brute_kept(rows):
     spread = np.array(list(Q.SPREAD.values()))
     far = {}
     for g, ks in pooled.items():
-        if len(ks) < Q.MIN_GROUP:
-            continue
-        x = np.array([vec[k] for k in ks])
+        of = ks if len(ks) >= Q.MIN_GROUP else [k for k in vec if not base[k]]
+        x = np.array([vec[k] for k in of])
         low, mid, high = (np.sort(x, axis=0)[math.ceil(p * len(x)) - 1] for p in (0.25, 0.5, 0.75))
         mean, cov = mid, np.diag(((high - low) / 1.349) ** 2 + spread**2)
         for _ in range(Q.STEPS):
@@ -91,13 +90,26 @@ def test_verdicts_equal_numpy(spark):
     assert any(not r.kept and not r.base_failed for r in got)
 
 
+@pytest.mark.parametrize("n", [1, 2, 110, 400])
+def test_every_text_has_a_distance(spark, n):
+    """Few texts, or a few of other languages beside many, are judged by the estimate of all."""
+    some = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(n).collect()
+    rows = [(r.doc_id, r.text, "aa" if n == 400 and r.doc_id % 9 else r.lang, "one") for r in some]
+    want, far = brute_kept(rows)
+    got = Q.score(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id"]).collect()
+    assert all((r.distance is None) == r.base_failed or r.distance is not None for r in got)
+    assert {r.doc_id: r.kept for r in got} == want
+    assert all(math.isclose(r.distance, far[r.doc_id], rel_tol=1e-6, abs_tol=1e-9) for r in got if r.doc_id in far)
+
+
 def test_quality_rules_of_odd_rows(spark):
     rows = [(k % 7 if k % 7 else None, t, [None, "en"][k % 2], None, 1, "x") for k, t in enumerate(DIRTY * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept int, g string")
     kept = Q.quality_rules(docs)
     assert kept.columns == docs.columns
-    want = [t for _, t, *_ in rows if counts(t)[0] >= 10 and 100 * counts(t)[4] <= 20 * counts(t)[0]]
-    assert sorted(r.text for r in kept.collect()) == sorted(want)
+    want, far = brute_kept([(k, t, lang, source) for k, (_, t, lang, source, *_) in enumerate(rows)])
+    assert sorted(r.text for r in kept.collect()) == sorted(rows[k][1] for k in want if want[k])
+    assert len(far) == sum(counts(t)[0] >= 10 and 100 * counts(t)[4] <= 20 * counts(t)[0] for _, t, *_ in rows)
     assert Q.quality_rules(docs.limit(0)).count() == 0
 
 
