@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from millrace.functions.casts import coerce, col, date_kinds, sql_cast
 from millrace.functions.text import normalize_columns
 from millrace.operators.shaping import flatten
-from millrace.sources import storage
+from millrace.sources import records, storage
 
 # At most this many skipped lines go into one broadcast.
 HEAD_LINES_BROADCAST = 50_000
@@ -40,16 +40,52 @@ def read_csv(
     """CSV with a header. Declare ``schema`` to save the type-inference scan.
 
     Files whose header differs from the schema are an error. With ``multi_line`` values may hold
-    line breaks, and a file is not split.
+    line breaks; files are split all the same. Without it such values are an error.
     """
     if not path:
         raise ValueError("path is required")
-    reader = spark.read.options(**CSV, multiLine=multi_line, enforceSchema=False)
-    reader = reader.option("header", True).option("sep", sep or ",").option("encoding", encoding or "UTF-8")
+    sep, encoding = sep or ",", encoding or "UTF-8"
+    files = storage.glob_files(spark, path)
+    if _broken(spark, files, sep, encoding, multi_line):
+        return _whole_records(spark, files, sep, encoding, schema)
+    reader = spark.read.options(**CSV, enforceSchema=False)
+    reader = reader.option("header", True).option("sep", sep).option("encoding", encoding)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
+def _broken(spark: SparkSession, files: Sequence[str], sep: str, encoding: str, multi_line: bool) -> bool:
+    """Whether records hold line breaks; without ``multi_line`` that is an error, as they would come apart unseen."""
+    found = bool(files) and records.has_open_lines(spark, files, sep, encoding)
+    if found and not multi_line:
+        raise ValueError("values with line breaks in quotes (or quotes that are not closed): set multi_line")
+    return found
+
+
+def _heads(found: DataFrame, sep: str) -> dict[str, tuple[str, ...]]:
+    """Each distinct header, as text and as names."""
+    texts = [r["text"] for r in found.filter("head").select("text").distinct().collect()]
+    return {text: _column_names(next(csv.reader([text], delimiter=sep))) for text in sorted(texts)}
+
+
+def _whole_records(
+    spark: SparkSession, files: Sequence[str], sep: str, encoding: str, schema: T.StructType | str | None
+) -> DataFrame:
+    """Records with line breaks; the files have one header."""
+    found = records.csv_records(spark, files, sep, encoding)
+    heads = _heads(found, sep)
+    if len(heads) != 1:
+        raise ValueError(f"the headers differ: {sorted(heads)}")
+    names = next(iter(heads.values()))
+    rows = found.filter(~F.col("head")).select("text")
+    if schema is None:
+        return records.parse_strings(spark, rows, sep=sep, multiLine=True, **CSV).toDF(*names)
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if [n.lower() for n in names] != [f.name.lower() for f in declared.fields]:
+        raise ValueError(f"the header {list(names)} does not match the schema {declared.fieldNames()}")
+    return rows.select(F.from_csv("text", _ddl(declared), {"sep": sep, "multiLine": "true", **CSV}).alias("row")).select("row.*")
+
+
 def read_csv_files(
     spark: SparkSession,
     path: str,
@@ -83,9 +119,15 @@ def read_csv_files(
         raise ValueError(f"no columns to read in {path}")
 
     parts = []
+    broken = _broken(spark, files, sep, encoding, multi_line)
+    found = records.csv_records(spark, files, sep, encoding, skiprows) if broken else None
     for header, members in groups.items():
         raw = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        if skiprows:
+        if found is not None:
+            own = found.join(F.broadcast(spark.createDataFrame([(storage.uri(spark, f),) for f in members], "file string")), "file")
+            parsed = F.from_csv("text", _ddl(raw), {"sep": sep, "multiLine": "true", **CSV})
+            part = own.filter(~F.col("head")).select(parsed.alias("row")).select("row.*")
+        elif skiprows:
             # What is broadcast has a bounded number of lines; more files are read in several parts.
             size = max(HEAD_LINES_BROADCAST // (skiprows + 1), 1)
             part = reduce(
@@ -97,7 +139,7 @@ def read_csv_files(
             )
         else:
             part = (
-                spark.read.options(**CSV, multiLine=multi_line, header=True, sep=sep, encoding=encoding).schema(raw).csv(members)
+                spark.read.options(**CSV, header=True, sep=sep, encoding=encoding).schema(raw).csv(members)
             )
         if usecols:
             absent = [c for c in usecols if c not in header]
@@ -106,7 +148,7 @@ def read_csv_files(
             part = part.select(*[col(c) for c in header if c in usecols])
         parts.append(part)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    df = _null_values(df, na_values)
+    df = null_texts(df, na_values)
     declared = {**(dtype or {}), **date_kinds(parse_dates)}
     return _typed(df, declared, infer)
 
@@ -167,15 +209,19 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def _null_values(df: DataFrame, na_values) -> DataFrame:
-    """Cells that mean "missing" become NULL; ``na_values`` adds texts, for all columns or by column."""
+def null_texts(df: DataFrame, na_values) -> DataFrame:
+    """Text cells that mean "missing" become NULL; ``na_values`` adds texts, for all columns or by column."""
 
     def extra(name: str) -> list[str]:
         value = na_values.get(name, []) if isinstance(na_values, Mapping) else na_values or []
         return [str(v) for v in ([value] if isinstance(value, (str, int, float)) else value)]
 
     return df.select(
-        *[F.when(~col(c).isin(*MISSING_TEXTS, *extra(c)), col(c)).alias(c) for c in df.columns]
+        *[
+            F.when(~col(f.name).isin(*MISSING_TEXTS, *extra(f.name)), col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType) else col(f.name)
+            for f in df.schema.fields
+        ]
     )
 
 
@@ -221,8 +267,10 @@ def infer_kinds(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
 
 def read_csv_normalized(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3: types from the whole file, column names normalised."""
-    reader = spark.read.options(**CSV, multiLine=multi_line)
-    return normalize_columns(reader.csv(path, header=True, inferSchema=True, samplingRatio=1.0))
+    files = storage.glob_files(spark, path)
+    if _broken(spark, files, ",", "UTF-8", multi_line):
+        return normalize_columns(_whole_records(spark, files, ",", "UTF-8", None))
+    return normalize_columns(spark.read.options(**CSV).csv(path, header=True, inferSchema=True, samplingRatio=1.0))
 
 
 def read_json(

@@ -66,14 +66,25 @@ def _documents(spark: SparkSession, params: Mapping) -> DataFrame:
     return (reader.schema(params["schema"]) if params.get("schema") else reader).json(_landed(params))
 
 
+def _one_csv(spark: SparkSession, params: Mapping) -> DataFrame:
+    """Columns by name and typed by their cells, or as declared; texts that mean "missing" are NULL."""
+    if not params.get("path"):
+        raise ValueError("path is required")
+    options = {k: params[k] for k in ("sep", "encoding", "na_values", "multi_line") if params.get(k) is not None}
+    if not params.get("schema"):
+        return files.read_csv_files(spark, params["path"], **options)
+    na_values = options.pop("na_values", None)
+    return files.null_texts(files.read_csv(spark, params["path"], schema=params["schema"], **options), na_values)
+
+
 @register_adapter("csv_local")
 def csv_one(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
-    return files.read_csv(spark, params.get("path"), params.get("sep"), params.get("encoding"), params.get("schema"))
+    return _one_csv(spark, params)
 
 
 @register_adapter("csv_local_simple")
 def csv_many(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
-    options = ("sep", "encoding", "usecols", "dtype", "parse_dates", "na_values", "skiprows")
+    options = ("sep", "encoding", "usecols", "dtype", "parse_dates", "na_values", "skiprows", "multi_line")
     df = files.read_csv_files(spark, params["path"], **{k: params[k] for k in options if params.get(k) is not None})
     return transform(df, params)
 
@@ -131,7 +142,7 @@ def parquet_tree(spark: SparkSession, params: Mapping, as_of: datetime) -> DataF
 
 @register_adapter("csv")
 def csv_source(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
-    return files.read_csv(spark, params["path"], params.get("sep"), params.get("encoding"), params.get("schema"))
+    return _one_csv(spark, params)
 
 
 @register_adapter("json")
