@@ -67,6 +67,36 @@ def top_groups(grouped: DataFrame, k: int = 10) -> DataFrame:
     return grouped.orderBy(F.col("total").desc_nulls_last(), F.col("key").asc_nulls_last()).limit(k)
 
 
+# Characters of a key that a group is ranked by before its text is looked up.
+RANK_CHARS = 64
+# Groups whose texts are fetched by a broadcast of their digests, at most.
+MOST_FETCHED = 10_000
+
+
+def top_long_groups(df: DataFrame, key: str, measure: str | None = None, k: int = 10) -> DataFrame:
+    """A2, A3, O1 for keys of long text: what ``top_groups(totals(...))`` gives, but no text is exchanged to rank it.
+
+    Groups are formed by a 128-bit digest and the first characters of the key, ranked by total and
+    those characters with all ties, and only the keys of the groups that may be among the first ``k``
+    are fetched, in a second scan. More ties than ``MOST_FETCHED`` are grouped by their whole keys.
+    """
+    c = col(key)
+    digest = [F.xxhash64(c).alias("d1"), F.xxhash64(F.lit("second"), c).alias("d2"), F.substring(c, 1, RANK_CHARS).alias("start")]
+    total = F.sum(col(measure)) if measure else F.count("*")
+    grouped = df.groupBy(*digest).agg(total.alias("total"))
+    ranked = grouped.withColumn("_rank", F.rank().over(Window.orderBy(F.col("total").desc_nulls_last(), F.col("start").asc_nulls_last())))
+    wanted = ranked.filter(F.col("_rank") <= k).drop("_rank")
+    found = wanted.limit(MOST_FETCHED + 1).collect()
+    if len(found) > MOST_FETCHED:
+        return top_groups(totals(df, key, measure), k)
+    few = df.sparkSession.createDataFrame(found, wanted.schema)
+    texts = df.select(c.alias("key"), *digest).join(
+        F.broadcast(few.withColumnsRenamed({"d1": "e1", "d2": "e2", "start": "e3"})),
+        (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")) & F.col("start").eqNullSafe(F.col("e3")))
+    # Copies of a key are combined before their exchange.
+    return top_groups(texts.groupBy("d1", "d2", "start", "total").agg(F.first("key").alias("key")).select("key", "total"), k)
+
+
 def top_rows(df: DataFrame, column: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:
     """The ``n`` rows with the largest value of a column."""
     return df.orderBy(col(column).desc_nulls_last(), *[col(c).asc_nulls_last() for c in tie_break]).limit(n)

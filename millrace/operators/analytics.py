@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.casts import coerce_datetime, col
-from millrace.operators.aggregate import top_groups, totals
+from millrace.operators.aggregate import RANK_CHARS, top_groups, top_long_groups, totals
 from millrace.operators.project import drop_missing
 
 DATE_LIKE_SHARE = 0.7
@@ -33,11 +33,18 @@ def pick_axes(schema: T.StructType) -> tuple[str, str]:
 def summarize(df: DataFrame, k: int = 10) -> DataFrame:
     """B2: the top ``k`` groups of x: the sum of y if it is a number, else the row count."""
     x, y = pick_axes(df.schema)
-    if not _numeric(df.schema[y].dataType):
-        return top_groups(totals(df, x), k)
+    measure = y if _numeric(df.schema[y].dataType) else None
     if isinstance(df.schema[y].dataType, T.BooleanType):
         df = df.select(col(x), col(y).cast("int").alias(y)) if x != y else df.select(col(y).cast("int").alias(y))
-    return top_groups(totals(df, x, y), k)
+    if isinstance(df.schema[x].dataType, T.StringType) and _long(df, x):
+        return top_long_groups(df, x, measure, k)
+    return top_groups(totals(df, x, measure), k)
+
+
+def _long(df: DataFrame, x: str) -> bool:
+    """Whether some of the first values are long; it only decides how the same groups are found."""
+    first = df.select(F.octet_length(col(x)).alias("n")).limit(100).agg(F.max("n").alias("n")).first()["n"]
+    return first is not None and first > 2 * RANK_CHARS
 
 
 def summarize_all(tables: Mapping[str, DataFrame], k: int = 10) -> dict[str, DataFrame]:

@@ -39,11 +39,15 @@ def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
     """Aggregate: the bytes all keys of a frame take, one row of them after another."""
-    text = (T.StringType, T.BinaryType)
-    sizes = [
-        F.coalesce(F.octet_length(col(k)), F.lit(0)) + 8 if isinstance(df.schema[k].dataType, text) else F.lit(16)
-        for k in keys
-    ]
+    def size(k: str) -> Column:
+        dtype = df.schema[k].dataType
+        if isinstance(dtype, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(col(k)), F.lit(0)) + 8
+        if isinstance(dtype, (T.ArrayType, T.StructType)):  # about what their text takes
+            return F.coalesce(F.octet_length(F.to_json(F.struct(col(k)))), F.lit(0)) + 16
+        return F.lit(16)
+
+    sizes = [size(k) for k in keys]
     return F.coalesce(F.sum(reduce(lambda a, b: a + b, sizes).cast("bigint")), F.lit(0))
 
 
@@ -73,8 +77,26 @@ def merge_rows(
     """K5: update the columns of ``changes`` on a key match, insert the rest of them.
 
     ``changes`` has to be unique on the keys. Every matching table row is updated; columns the
-    changes lack keep their value (NULL in inserted rows). A NULL key matches nothing.
+    changes lack keep their value (NULL in inserted rows). A NULL key matches nothing. With few keys
+    the rows that none of them matches pass through as they lie; only matched rows are joined with
+    the columns of the changes, however wide either are.
     """
+    if counted_bytes is not None and counted_bytes <= BROADCAST_KEY_BYTES:
+        wanted = F.broadcast(_present_keys(changes, keys))
+        matched = table.join(wanted, list(keys), "left_semi").select(*[col(c) for c in table.columns])
+        same = table.join(wanted, list(keys), "left_anti").select(*[col(c) for c in table.columns])
+        # As many distinct keys at most as the changes have.
+        seen = F.broadcast(matched.select(*[col(k) for k in keys]).distinct())
+        inserted = changes.join(seen, list(keys), "left_anti").select(*[col(c) for c in changes.columns])
+        parts = [same, _updated(matched, changes, keys, "inner"), inserted]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*[col(c) for c in table.columns])
+    inserted = anti_join(changes, table, keys, counted_bytes)
+    updated = _updated(table, changes, keys, "left")
+    return updated.unionByName(inserted, allowMissingColumns=True).select(*[col(c) for c in table.columns])
+
+
+def _updated(table: DataFrame, changes: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Table rows with the columns of the changes of their key."""
     others = [c for c in changes.columns if c not in keys and c in table.columns]
     new = changes.dropna("any", subset=list(keys)).select(
         *[col(k) for k in keys],
@@ -82,14 +104,12 @@ def merge_rows(
         F.lit(True).alias("_hit"),
     )
     position = {c: i for i, c in enumerate(others)}
-    updated = table.join(new, list(keys), "left").select(
+    return table.join(new, list(keys), how).select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{position[c]}")).otherwise(col(c)).alias(c) if c in position else col(c)
             for c in table.columns
         ]
     )
-    inserted = anti_join(changes, table, keys, counted_bytes)
-    return updated.unionByName(inserted, allowMissingColumns=True).select(*[col(c) for c in table.columns])
 
 
 # Types whose ranges Parquet keeps exact statistics for.

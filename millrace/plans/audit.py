@@ -48,6 +48,9 @@ class TableAudit:
         self.digest = rules_digest(rules)
         self.kept = [b for b in wh.batches(table) if b not in batch.replaces] if scope == "table" else []
         self.scope = scope
+        # A batch of which some files are gone is another one, with counts of its own.
+        gone = wh.gone_files(table, batch.replaces)
+        self.known_as = {b: f"{b}~{_digest(*sorted(gone[b]))}" if b in gone else b for b in self.kept}
         self.new: list[tuple] = []
 
     def _records(self) -> dict[tuple[str, int], Row]:
@@ -59,7 +62,7 @@ class TableAudit:
 
     def _row_counts(self, batches: Sequence[str]) -> dict[str, Row]:
         """Row rules of some batches: one scan of the checked columns, one row per batch back."""
-        rows = self.wh.table(self.table, batches).withColumn("_batch", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+        rows = self.wh.table(self.table, batches, self.batch.replaces).withColumn("_batch", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
         counted = {r["_batch"]: r for r in rows.groupBy("_batch").agg(*quality.row_counts(rows, self.rules)).collect()}
         zero = {"_total": 0, **{f"_bad{i}": 0 for i, _ in enumerate(self.rules.rules)}}
         return {b: counted.get(b, zero) for b in batches}  # an empty batch has no row
@@ -73,20 +76,19 @@ class TableAudit:
         total = counts["_total"]
         self._note(self.name, counts, row_rules)
         # Totals stand under position -1, also where there are no row rules.
-        missing = [b for b in self.kept if any((b, i) not in known for i in (-1, *row_rules))]
+        missing = [b for b in self.kept if any((self.known_as[b], i) not in known for i in (-1, *row_rules))]
         found = self._row_counts(missing) if missing else {}
         for b in self.kept:
             if b in found:
-                self._note(b, found[b], row_rules)
-            of = (lambda i, b=b: found[b][f"_bad{i}"]) if b in found else (lambda i, b=b: known[b, i]["bad_rows"])
+                self._note(self.known_as[b], found[b], row_rules)
             for i in row_rules:
-                bad[i] += of(i)
-            total += found[b]["_total"] if b in found else known[b, -1]["total_rows"]
+                bad[i] += found[b][f"_bad{i}"] if b in found else known[self.known_as[b], i]["bad_rows"]
+            total += found[b]["_total"] if b in found else known[self.known_as[b], -1]["total_rows"]
         written = self.wh.read_batch(self.batch)
         for i, rule in enumerate(self.rules.rules):
             if rule.kind == "unique":
                 bad[i] = self._repeats(i, rule, written, known)
-                covers = covers_digest([*self.kept, self.name]) if self.scope == "table" else ""
+                covers = covers_digest([*self.known_as.values(), self.name]) if self.scope == "table" else ""
                 self.new.append((self.table, self.name, self.digest, i, bad[i], total, covers))
         make = Row("table_name", "rule", "bad_rows", "total_rows", "passed")
         ordered = [*row_rules, *[i for i in range(len(self.rules.rules)) if i not in row_rules]]
@@ -101,9 +103,9 @@ class TableAudit:
         """Rows beyond the first of each value: those of the table, and the batch's without a new value."""
         if not self.kept:
             return quality.repeats(written, self.rules, rule).first()["bad_rows"]
-        covers = covers_digest(self.kept)
+        covers = covers_digest(list(self.known_as.values()))
         before = next((r["bad_rows"] for (_, n), r in known.items() if n == i and r["covers"] == covers), None)
-        table = self.wh.table(self.table, self.kept)
+        table = self.wh.table(self.table, self.kept, self.batch.replaces)
         if before is None:  # batches went or came otherwise
             before = quality.repeats(table, self.rules, rule).first()["bad_rows"]
         return before + self.batch.counters["_total"] - new_values(written, table, self.rules, rule)

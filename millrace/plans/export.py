@@ -123,7 +123,7 @@ def export_table(wh: Warehouse, table: str, options: Mapping, batch: Batch | Non
     if part and len(wh.batches(table)) > 1:  # else the batch is the whole table
         changed = wh.read_batch(batch)
         if batch.replaces:
-            changed = changed.unionByName(wh.table(table, batch.replaces))
+            changed = changed.unionByName(wh.entries(table, batch.replaces))
         return export_touched(frame(), frame(changed), directory, partition_by, clustered)
     return export_frame(frame(), directory, partition_by, bool(options.get("overwrite", True)), clustered)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -110,7 +111,7 @@ def prepare_upsert(
     """L3: update on a key match, else insert; NULL keys never match.
 
     Without keys it is a replace. Several rows for one key are an error unless ``order_by`` says
-    which one counts (the first in that order), in the first load too. Only the batches of the
+    which one counts (the first in that order), in the first load too. Only the files of the
     table that hold a key of the batch are written anew.
     """
     if not keys:
@@ -137,10 +138,10 @@ def prepare_upsert(
         if not touched:  # no key of the batch is known
             batch = wh.write(name, _filled(changes, table.schema), tag=tag, metrics=metrics)
         elif set(changes.columns) <= set(keys):  # nothing to update
-            new = anti_join(changes, wh.table(name, touched), keys, stats["key_bytes"])
+            new = anti_join(changes, wh.entries(name, touched), keys, stats["key_bytes"])
             batch = wh.write(name, _filled(new, table.schema), tag=tag, metrics=metrics)
         else:
-            merged = merge_rows(wh.table(name, touched), changes, keys, stats["key_bytes"])
+            merged = merge_rows(wh.entries(name, touched), changes, keys, stats["key_bytes"])
             batch = wh.write(name, merged, replace=touched, tag=tag, metrics=metrics)
     batch.counters["rows_batch"] = stats["total"]
     return batch
@@ -157,9 +158,9 @@ def _filled(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _touched(wh: Warehouse, name: str, changes: DataFrame, keys: Sequence[str], stats: Mapping) -> list[str]:
-    """The table's batches that hold a key of the changes: a scan of the key columns in their range.
+    """The table's files (``batch/file``, or ``batch`` for all that it has left) that hold a key of the changes: a scan of the key columns in their range.
 
-    Keys of many bytes are not broadcast but exchanged; the batches found are the same.
+    Keys of many bytes are not broadcast but exchanged; the files found are the same.
     """
     wanted = changes.select(*[col(k) for k in keys]).dropna("any", subset=list(keys))
     if stats["key_bytes"] <= joins.BROADCAST_KEY_BYTES:
@@ -168,9 +169,14 @@ def _touched(wh: Warehouse, name: str, changes: DataFrame, keys: Sequence[str],
     held = table.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias("_file")).join(
         wanted, list(keys), "left_semi"
     )
-    # One row per batch comes back.
-    found = held.select(F.element_at(F.split("_file", "/"), -2).alias("batch")).distinct().collect()
-    return sorted(row["batch"] for row in found)
+    # One row per file comes back, of files that the driver has listed.
+    parts = F.split("_file", "/")
+    found = held.select(F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1)).alias("entry")).distinct().collect()
+    files: dict[str, set[str]] = {}
+    for row in found:
+        batch, _, file = unquote(row["entry"]).partition("/")
+        files.setdefault(batch, set()).add(file)
+    return sorted(e for batch, some in files.items() for e in wh.entry_names(name, batch, some))
 
 
 def _need_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:

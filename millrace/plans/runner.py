@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import InheritableThread
 
 from millrace.functions.times import utc_now
 from millrace.operators import quality
@@ -193,7 +197,10 @@ def run_sources(
     """Independent sources; an error is recorded and the others go on.
 
     Sources of different tables may run side by side, so that small ones do not wait for each
-    other on a large cluster; those of one table run in their order.
+    other on a large cluster; those of one table run in their order. Each has a pool of the fair
+    scheduler (``spark.scheduler.mode``, which ``build_session`` sets), so a large one does not starve
+    the others, and a tag, by which its jobs are cancelled once it passes its ``time_limit_seconds``;
+    that is recorded like any error.
     """
     started = utc_now()
     specs = [SourceSpec.from_dict(s) for s in sources]
@@ -202,7 +209,13 @@ def run_sources(
         by_table.setdefault(spec.table, []).append(spec)
 
     def in_order(members: list[SourceSpec]) -> list[SourceResult]:
-        return [_attempt(warehouse, spec, dq, as_of or started) for spec in members]
+        done = []
+        for spec in members:
+            with _isolated(warehouse.spark, spec) as limit:
+                done.append(_attempt(warehouse, spec, dq, as_of or started))
+            if limit.passed and not done[-1].ok:
+                done[-1].error = f"cancelled after {spec.time_limit_seconds} s: {done[-1].error}"
+        return done
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
         done = {id(r.source): r for part in pool.map(in_order, by_table.values()) for r in part}
@@ -211,6 +224,40 @@ def run_sources(
     return _record(warehouse, "all", started, status, len(specs), results)
 
 
+class _Limit:
+    """Cancels the jobs of a tag, those that start later too, from a moment on."""
+
+    def __init__(self, spark: SparkSession, tag: str, seconds: float | None):
+        self.spark, self.tag, self.seconds = spark, tag, seconds
+        self.passed, self.over = False, threading.Event()
+
+    def watch(self) -> None:
+        wait = self.seconds
+        while not self.over.wait(wait):
+            self.passed, wait = True, 0.2
+            self.spark.sparkContext.cancelJobsWithTag(self.tag)
+
+
+@contextmanager
+def _isolated(spark: SparkSession, source: SourceSpec):
+    """A pool and a tag for the jobs that this thread starts."""
+    sc, tag = spark.sparkContext, f"millrace-{uuid.uuid4().hex}"
+    limit = _Limit(spark, tag, source.time_limit_seconds)
+    watcher = InheritableThread(target=limit.watch, daemon=True) if source.time_limit_seconds else None
+    sc.setLocalProperty("spark.scheduler.pool", f"millrace-{source.name}")
+    sc.addJobTag(tag)
+    try:
+        if watcher:
+            watcher.start()
+        yield limit
+    finally:
+        limit.over.set()
+        if watcher:
+            watcher.join()
+        sc.removeJobTag(tag)
+        sc.setLocalProperty("spark.scheduler.pool", None)
+
+
 def _record(
     wh: Warehouse, group: str, started: datetime, status: str, n_sources: int, results: list[SourceResult]
 ) -> RunResult:

@@ -10,7 +10,7 @@ from millrace.plans.load import MODES
 
 _SHARED = {
     "name", "type", "table", "target_table", "mode", "load_mode", "params", "incremental", "export_parquet",
-    "post", "key_columns", "since_field", "since_value", "every_minutes", "order_by", "dedupe_batch", "dq_scope",
+    "post", "key_columns", "since_field", "since_value", "every_minutes", "order_by", "dedupe_batch", "dq_scope", "time_limit_seconds",
 }
 
 
@@ -36,6 +36,7 @@ class SourceSpec:
     since_value: str | None = None
     every_minutes: int | None = None
     dq_scope: str = "table"  # table | batch
+    time_limit_seconds: float | None = None
 
     @classmethod
     def from_dict(cls, d: Mapping, defaults: Mapping | None = None) -> "SourceSpec":
@@ -69,6 +70,7 @@ class SourceSpec:
             since_value=d.get("since_value"),
             every_minutes=d.get("every_minutes"),
             dq_scope=d.get("dq_scope", "table"),
+            time_limit_seconds=d.get("time_limit_seconds"),
         )
 
 

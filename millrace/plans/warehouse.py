@@ -2,7 +2,7 @@
 
 ``<root>/<table>/b<number>`` holds the files of one load. A batch counts once it has a
 ``_PUBLISHED`` file, which names the batches it takes the place of: none for an append, all for a
-replace, those it rewrote for an upsert. So a load is written first, audited, then made visible in
+replace, for an upsert those it rewrote, or single files of them (``batch/file``). So a load is written first, audited, then made visible in
 one step; a failed or refused load leaves nothing visible, and a repeated one that names its batch
 is recognised. One writer per table is assumed.
 """
@@ -68,18 +68,55 @@ class Warehouse:
         """Names of all tables with a published batch."""
         return sorted({m.split("/")[0] for m in storage.glob_sizes(self.spark, f"{self.root}/*/*/{MARKER}")})
 
-    def table(self, name: str, batches: Sequence[str] | None = None) -> DataFrame:
-        """A table, or some of its batches."""
-        chosen = self.batches(name) if batches is None else batches
+    def table(self, name: str, batches: Sequence[str] | None = None, without: Sequence[str] = ()) -> DataFrame:
+        """A table, or some of its batches, ``without`` what a batch that is not yet published replaces."""
+        chosen = self.batches(name) if batches is None else [b for b in batches if b not in without]
         if not chosen:
             raise ValueError(f"table {name} does not exist")
-        return self._read([f"{self.root}/{name}/{b}" for b in chosen])
+        gone, paths = self.gone_files(name, without), []
+        for b in chosen:
+            folder = f"{self.root}/{name}/{b}"
+            left = [f for f in storage.glob_files(self.spark, folder) if f.rsplit("/", 1)[1] not in gone[b]] if b in gone else [folder]
+            paths += left
+        first = f"{self.root}/{name}/{chosen[0]}"
+        if not paths:
+            return self.spark.createDataFrame([], self._schema(first))
+        return self._read(paths, first)
+
+    def gone_files(self, name: str, without: Sequence[str] = ()) -> dict[str, set[str]]:
+        """Of batches that are only replaced in part, the files that are."""
+        found: dict[str, set[str]] = {}
+        for entry in {*self._published(name)[1], *without}:
+            batch, _, file = entry.partition("/")
+            if file:
+                found.setdefault(batch, set()).add(file)
+        return found
 
-    def _read(self, paths: Sequence[str]) -> DataFrame:
+    def entry_names(self, name: str, batch: str, files: set[str]) -> list[str]:
+        """Files of a batch as ``batch/file``, or the batch if these are all that it has left."""
+        gone = self.gone_files(name).get(batch, set())
+        own = {f.rsplit("/", 1)[1] for f in storage.glob_files(self.spark, f"{self.root}/{name}/{batch}")} - gone
+        return [f"{batch}/{f}" for f in files] if own - files else [batch]
+
+    def entries(self, name: str, entries: Sequence[str]) -> DataFrame:
+        """The rows of batches or files, also of those that others have just taken the place of."""
+        gone, paths = self.gone_files(name), []
+        for entry in entries:
+            path = f"{self.root}/{name}/{entry}"
+            if entry in gone:  # a batch that had lost files before
+                paths += [f for f in storage.glob_files(self.spark, path) if f.rsplit("/", 1)[1] not in gone[entry]]
+            else:
+                paths.append(path)
+        return self._read(paths, f"{self.root}/{name}/{entries[0].split('/')[0]}")
+
+    def _schema(self, path: str) -> T.StructType:
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self._schemas[path]
+
+    def _read(self, paths: Sequence[str], like: str | None = None) -> DataFrame:
         """All batches of a table have the schema of its first one."""
-        if paths[0] not in self._schemas:
-            self._schemas[paths[0]] = self.spark.read.parquet(paths[0]).schema
-        return self.spark.read.schema(self._schemas[paths[0]]).parquet(*paths)
+        return self.spark.read.schema(self._schema(like or paths[0])).parquet(*paths)
 
     def view(self, name: str) -> None:
         self.table(name).createOrReplaceTempView(name)
@@ -148,10 +185,15 @@ class Warehouse:
         return self.publish(self.write(name, self.table(name).hint("rebalance"), replace=True))
 
     def vacuum(self, name: str) -> int:
-        """Remove the batches others took the place of, oldest first; no reader may still use them."""
+        """Remove the batches and files others took the place of, oldest first; no reader may still use them."""
         published, gone = self._published(name)
         old = [b for b in published if b in gone]
         marks = self._marks(name)
+        # Files go before the batches whose markers name them.
+        for batch, files in self.gone_files(name).items():
+            if batch not in old:
+                for file in files:
+                    storage.delete_tree(self.spark, f"{self.root}/{name}/{batch}/{file}")
         for batch in old:
             stream, _, number = batch.partition("-")[2].rpartition("_")
             if stream and number.isdigit() and int(number) > marks.get(stream, -1):

@@ -21,13 +21,16 @@ PLAN_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
+# What only a new context takes: jobs of sources that run side by side share the cores.
+START_CONF = {"spark.scheduler.mode": "FAIR"}
+
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or get) a session; ``conf`` keys use ``__`` in place of dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTIC_CONF, **PLAN_CONF}.items():
+    for key, value in {**SEMANTIC_CONF, **PLAN_CONF, **START_CONF}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,48 @@ def explode_pages(payloads: DataFrame, chain: Sequence[str | int]) -> DataFrame:
     return payloads.select(F.explode(rows).alias("record"))
 
 
+def numbered_pages(
+    payloads: DataFrame, page: Sequence[str | int], pages: Sequence[str | int], sets: Sequence[str] = ()
+) -> DataFrame:
+    """``sets``, ``page`` and ``pages`` (how many the page says there are) of every landed page, and the payload.
+
+    ``sets`` are columns beside ``payload`` that tell page sets apart, e.g. their folder or indicator.
+    """
+    number = lambda chain: F.try_variant_get("payload", json_path(chain), "bigint")
+    return payloads.select(*sets, number(page).alias("page"), number(pages).alias("pages"), "payload")
+
+
+def missing_pages(numbered: DataFrame, sets: Sequence[str] = ()) -> DataFrame:
+    """``sets`` and ``page`` of every page that a landed one promises and none is; NULL sets are one set."""
+    promised = numbered.groupBy(*sets).agg(F.max("pages").alias("pages")).filter("pages >= 1")
+    promised = promised.select(*sets, F.explode(F.sequence(F.lit(1).cast("bigint"), "pages")).alias("page"))
+    landed = numbered.select(*[F.col(c).alias(f"_{c}") for c in sets], F.col("page").alias("_page")).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in sets], F.col("page") == F.col("_page"))
+    return promised.join(landed, same, "left_anti")
+
+
+def complete_pages(
+    payloads: DataFrame, page: Sequence[str | int], pages: Sequence[str | int], sets: Sequence[str] = (), on_gap: str = "error"
+) -> DataFrame:
+    """Each page of each set once, whichever copy of it; a missing page is an error unless ``on_gap`` is ``ignore``.
+
+    Pages without a number are kept as they are. Copies go by a digest of set and number, so of the
+    pages only those of a number that landed twice are compared.
+    """
+    numbered = numbered_pages(payloads, page, pages, sets)
+    if on_gap == "error":
+        gaps = missing_pages(numbered, sets).limit(5).collect()
+        if gaps:
+            raise ValueError(f"landed pages are not complete; missing are {[r.asDict() for r in gaps]}")
+    counted = numbered.filter("page IS NOT NULL").groupBy(*sets, "page").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = counted.select(*[F.col(c).alias(f"_{c}") for c in [*sets, "page"]])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*sets, "page"]])
+    text = numbered.withColumn("_text", F.to_json("payload"))
+    once = text.join(again, same, "left_semi").groupBy(*sets, "page").agg(F.min("_text").alias("_text"))
+    once = once.select(*sets, F.parse_json("_text").alias("payload"))
+    return numbered.join(again, same, "left_anti").select(*sets, "payload").unionByName(once)
+
+
 def _ddl(dtype: T.DataType) -> str:
     """A type as text that Spark reads back, whatever its fields are called."""
     if isinstance(dtype, T.StructType):

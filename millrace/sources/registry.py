@@ -153,8 +153,11 @@ def json_source(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFr
 
 @register_adapter("api")
 def api_source(spark: SparkSession, params: Mapping, as_of: datetime) -> DataFrame:
-    """All landed pages as one record set."""
+    """All landed pages as one record set; with ``pages`` each once, and none may be missing."""
     docs = payload.read_payloads(spark, _landed(params), bool(params.get("per_line")))
+    if params.get("pages"):
+        # Where a page says its number and how many there are: {page: [0, page], pages: [0, pages]}.
+        docs = payload.complete_pages(docs, params["pages"]["page"], params["pages"]["pages"], on_gap=params.get("on_gap", "error"))
     chain = params["records_path"].split(".") if params.get("records_path") else []
     if chain:
         records = payload.explode_pages(docs, chain)

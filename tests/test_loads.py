@@ -281,7 +281,7 @@ def test_merge_is_idempotent(spark):
 
 def test_upsert_rewrites_only_the_batches_it_touches(spark, wh):
     for start in (0, 100, 200):
-        load.load(wh, "t", spark.range(start, start + 100).withColumn("v", F.lit("old")), "append")
+        load.load(wh, "t", spark.range(start, start + 100).withColumn("v", F.lit("old")).coalesce(1), "append")
     first, second, third = wh.batches("t")
     changes = spark.createDataFrame([(150, "new"), (151, "new"), (999, "new")], "id bigint, v string")
     batch = load.load(wh, "t", changes, "upsert", keys=["id"])

@@ -65,7 +65,7 @@ def test_first_upsert(spark, wh):
 @pytest.mark.parametrize("limit", [0, 1 << 40])
 def test_upsert_rewrites_the_same_batches(spark, wh, monkeypatch, limit):
     for k in range(3):
-        load.load(wh, "t", spark.range(10 * k, 10 * k + 10).select("id", F.lit(0).alias("v")), "append")
+        load.load(wh, "t", spark.range(10 * k, 10 * k + 10).select("id", F.lit(0).alias("v")).coalesce(1), "append")
     before = set(wh.batches("t"))
     monkeypatch.setattr(joins, "BROADCAST_KEY_BYTES", limit)
     load.load(wh, "t", spark.createDataFrame([(12, 1), (13, 1)], "id bigint, v int"), "upsert", keys=["id"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import normalize_columns
@@ -10,7 +11,7 @@ from millrace.operators.aggregate import partition_counts
 from millrace.operators.shaping import indicator_records
 from millrace.plans.export import export_csv, export_frame
 from millrace.session import scratch_dir
-from millrace.sources import files, payload, windows
+from millrace.sources import files, payload, storage, windows
 from workload import AS_OF, query, table, ts_text
 
 PAGE_ROWS = 50  # records per landed page
@@ -253,3 +254,71 @@ def csv_quoted_text(spark, sf):
     export_csv(table(spark, sf, "documents").select("doc_id", "text", "lang"), path)
     back = files.read_csv(spark, path, schema=schema, multi_line=True)
     return back.select("doc_id", F.md5("text").alias("text_md5"), "lang")
+
+
+@query("csv_multiline_split", """
+SELECT doc_id, md5(text) AS text_md5, lang, length(text) AS n_chars FROM documents
+""")
+def csv_multiline_split(spark, sf):
+    """Texts with line breaks and quotes as CSV, read back from files that are split within their records."""
+    path = f"{scratch_dir(spark, 'csv')}/documents"
+    d = table(spark, sf, "documents").select("doc_id", F.regexp_replace("text", "the ", 'the "').alias("text"), "lang")
+    d.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    sizes = storage.glob_sizes(spark, f"{path}/*.csv")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    # Several splits of a file, however small the table is; a large one keeps splits of a useful size.
+    spark.conf.set(name, str(max(sum(sizes.values()) // 128, 1 << 16)))
+    try:
+        back = files.read_csv_files(spark, f"{path}/*.csv", dtype={"doc_id": "int", "text": "str", "lang": "str"}, multi_line=True)
+    finally:
+        spark.conf.set(name, before)
+    text = F.regexp_replace("text", 'the "', "the ")
+    return back.select("doc_id", F.md5(text.cast("binary")).alias("text_md5"), "lang", F.length(text).cast("bigint").alias("n_chars"))
+
+
+SQL_PAGES = """
+pages AS (SELECT event_id, event_type, value,
+                 (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 50 + 1 AS page,
+                 (count(*) OVER (PARTITION BY event_type) - 1) // 50 + 1 AS pages FROM events)
+"""
+
+
+def event_type_pages(spark, sf):
+    """Payloads ``[{page, pages}, rows]`` of each event type, as one text per page."""
+    e = table(spark, sf, "events").select("event_id", "event_type", "value")
+    numbered = e.withColumn("n", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")))
+    size = e.groupBy("event_type").agg(F.ceil(F.count("*") / PAGE_ROWS).cast("bigint").alias("pages"))
+    pages = numbered.withColumn("page", F.floor((F.col("n") - 1) / PAGE_ROWS) + 1).groupBy("event_type", "page").agg(
+        F.collect_list(F.struct("event_id", "value")).alias("rows")).join(size, "event_type")
+    return pages.select("event_type", "page", F.format_string("[%s,%s]", F.to_json(F.struct("page", "pages")), F.to_json("rows")).alias("value"))
+
+
+@query("paged_payload_gaps", f"""
+WITH {SQL_PAGES}
+SELECT DISTINCT event_type, CAST(page AS BIGINT) AS page FROM pages WHERE page % 7 = 3
+""")
+def paged_payload_gaps(spark, sf):
+    """Pages that others of their set promise and that have not landed; some landed twice."""
+    root = f"{scratch_dir(spark, 'json')}/pages"
+    pages = event_type_pages(spark, sf)
+    landed = pages.filter("page % 7 <> 3")
+    landed.unionByName(landed.filter("page % 5 = 0")).select("event_type", "value").write.partitionBy("event_type").text(root)
+    docs = payload.read_payloads(spark, root, per_line=True)
+    docs = docs.withColumn("event_type", F.regexp_extract("file", "event_type=([^/]*)", 1))
+    return payload.missing_pages(payload.numbered_pages(docs, [0, "page"], [0, "pages"], ["event_type"]), ["event_type"])
+
+
+@query("paged_payload_once", f"""
+WITH {SQL_PAGES}
+SELECT event_type, event_id, value FROM pages WHERE page % 7 <> 3
+""")
+def paged_payload_once(spark, sf):
+    """The records of pages that landed once or twice, each once."""
+    pages = event_type_pages(spark, sf).filter("page % 7 <> 3")
+    root = f"{scratch_dir(spark, 'json')}/pages"
+    pages.unionByName(pages.filter("page % 5 = 0")).select("event_type", "value").write.partitionBy("event_type").text(root)
+    docs = payload.read_payloads(spark, root, per_line=True).withColumn("event_type", F.regexp_extract("file", "event_type=([^/]*)", 1))
+    once = payload.complete_pages(docs, [0, "page"], [0, "pages"], ["event_type"], on_gap="ignore")
+    rows = F.try_variant_get("payload", "$[1]", "array<struct<event_id: bigint, value: double>>")
+    return once.select("event_type", F.inline(rows))
