@@ -37,12 +37,6 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def staging_table_name(file_name: str) -> str:
-    """Table name for an imported file: ``stg_`` and the normalised stem."""
-    stem = re.sub(r"\.[^.]*$", "", file_name.split("#", 1)[0].rsplit("/", 1)[-1])
-    return f"stg_{normal_name(stem) or 'stg_table'}"
-
-
 def normal_text(c: Column) -> Column:
     """P9 as a column function."""
     return F.btrim(F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9_]+", "_"), "_+", "_"), F.lit("_"))

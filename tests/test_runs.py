@@ -123,7 +123,7 @@ def test_error_ends_a_group_but_not_an_independent_run(spark, wh, tmp_path):
 
 def test_rules_of_an_upsert_see_the_whole_table(spark, wh, tmp_path):
     for i, part in enumerate((spark.range(0, 10), spark.range(10, 20))):
-        wh.publish(wh.write("t", part.withColumn("v", F.lit(1.0 if i else -1.0))))
+        wh.publish(wh.write("t", part.withColumn("v", F.lit(1.0 if i else -1.0)).coalesce(1)))
     spark.range(15, 16).withColumn("v", F.lit(2.0)).write.parquet(str(tmp_path / "in"))
     source = {"type": "parquet", "target_table": "t", "load_mode": "upsert", "key_columns": ["id"], "path": str(tmp_path / "in")}
     dq = {"rules": {"t": {"checks": [{"range": {"column": "v", "min": 0}}, {"unique": ["id"]}]}}}
