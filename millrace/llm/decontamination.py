@@ -21,6 +21,8 @@ from itertools import repeat
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import cut
+
 #: A passage contaminates when its edit distance is at most this share of the item's words.
 DISTANCE = 0.2
 #: Shorter items are matched word for word; by themselves they are no evidence for ``decontaminate``.
@@ -409,8 +411,10 @@ def annotate(docs: DataFrame, benchmark: DataFrame, to: str = "contamination", l
     """
     names = [c for c in docs.columns if c != to]
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumn(to, F.array().cast("array<struct<distance:int,item_id:bigint>>"))
-    for items in blocks(benchmark):
+    for k, items in enumerate(blocks(benchmark)):
         items = [(i, raw) for i, raw in items if len(words(raw)) >= least]
+        if k:  # a stage has one Python operator, with the index of one block
+            rows = cut(rows, "decontamination")
         rows = rows.mapInArrow(_search_batches(items, names.index("text")), rows.schema)
     return rows
 

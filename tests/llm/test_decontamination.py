@@ -5,7 +5,7 @@ import pytest
 
 from millrace.llm import decontamination as D
 from millrace.llm.queries import QUERIES
-from tests.conftest import SF
+from tests.conftest import SF, plan
 
 
 def brute(docs, items):
@@ -98,6 +98,8 @@ def test_odd_rows(spark, monkeypatch, block):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, None), (2, ""), (4, "one two three four five"), (5, "the")], key=lambda r: r[0])
     hits = [r.hits for r in D.annotate(docs, bench, "hits").where("doc_id = 3").collect()]
     assert [[(h.distance, h.item_id) for h in x] for x in hits] == [[(0, 7), (0, 8)]] * 3
+    # However many blocks there are, a stage has one Python operator.
+    assert plan(D.annotate(docs, bench, "hits")).count("MapInArrow") == 1
     assert D.decontaminate(docs, bench.limit(0)).count() == 8 and D.decontaminate(docs.limit(0), bench).count() == 0
 
 
