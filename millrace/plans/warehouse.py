@@ -9,6 +9,7 @@ is recognised. One writer per table is assumed.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -204,3 +205,17 @@ class Warehouse:
                 marks[stream] = int(number)
             storage.delete_tree(self.spark, f"{self.root}/{name}/{batch}")
         return len(old)
+
+    def sweep(self, older_hours: float = 24) -> int:
+        """Remove what crashed loads left: staged batches, and batches never published, untouched for some hours."""
+        before, swept = (time.time() - 3600 * older_hours) * 1000, 0
+        for name in storage.list_dirs(self.spark, self.root):
+            if name.startswith("_marks_"):
+                continue
+            published = set() if name.startswith("_stage_") else set(self._published(name)[0])
+            for batch in set(storage.list_dirs(self.spark, f"{self.root}/{name}")) - published:
+                path = f"{self.root}/{name}/{batch}"
+                if storage.last_change(self.spark, path) <= before:
+                    storage.delete_tree(self.spark, path)
+                    swept += 1
+        return swept

@@ -75,6 +75,12 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def last_change(spark: SparkSession, path: str) -> int:
+    """When a folder, or something directly in it, changed last, in milliseconds."""
+    fs, jpath = _open(spark, path)
+    return max([fs.getFileStatus(jpath).getModificationTime(), *(s.getModificationTime() for s in fs.listStatus(jpath))])
+
+
 def switch(spark: SparkSession, new: str, place: str) -> None:
     """Put a folder in the place of another, which goes once the new one is there."""
     fs, source = _open(spark, new)

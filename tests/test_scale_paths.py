@@ -128,3 +128,14 @@ def test_a_large_source_neither_starves_nor_outlives_its_limit(spark, wh, tmp_pa
     assert threading.active_count() < 50
     again = runner.run_sources(wh, [{**large, "derive": [], "time_limit_seconds": 600}])
     assert again.status == "ok" and wh.table("l").count() == 64
+
+
+def test_sweep_removes_what_crashed_loads_left(spark, wh):
+    load.load(wh, "t", spark.range(3))
+    wh.write("t", spark.range(5), tag="q_1")
+    wh.stage("t", spark.range(7))
+    assert wh.sweep(1) == 0
+    time.sleep(1.1)
+    assert wh.sweep(0) == 2 and wh.table("t").count() == 3 and wh.sweep(0) == 0
+    load.load(wh, "t", spark.range(2), "append")
+    assert wh.table("t").count() == 5
