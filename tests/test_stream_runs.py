@@ -145,3 +145,27 @@ def test_touched_partitions_of_a_query_and_of_an_upsert(spark, wh, tmp_path):
         whole = export.query_frame(wh, options["export_sql"])
         assert rows(spark.read.parquet(out).select("id", "v", "p")) == rows(whole.select("id", "v", "p"))
     assert not (tmp_path / "out" / "p=__HIVE_DEFAULT_PARTITION__").exists()
+
+
+def test_stream_and_tidy_commands(spark, wh, tmp_path, capsys):
+    from millrace.__main__ import main
+
+    land(spark, tmp_path, [(1, "a", 1.0)])
+    (tmp_path / "s.yml").write_text(f"""
+defaults: {{mode: append, db_path: x}}
+groups:
+  daily:
+    - {{name: s, type: parquet, table: t, params: {{path: {tmp_path}/in, schema: "{SCHEMA}"}}}}
+""")
+    place = ["--warehouse", wh.root, "--config", str(tmp_path / "s.yml")]
+    for i in range(2):
+        assert main(["stream", *place, "--checkpoint", str(tmp_path / "cp"), "--once"]) == 0
+        land(spark, tmp_path, [(2 + i, "a", 1.0)])
+    assert rows(wh.table("t").select("id")) == [(1,), (2,)] and len(recorded(wh)) == 2
+    assert main(["tidy", *place, "--most-batches", "1"]) == 0
+    assert len(wh.batches("t")) == 1 and wh.table("t").count() == 2
+    assert "t: 2 batches removed" in capsys.readouterr().out
+    assert main(["stream", *place, "--checkpoint", str(tmp_path / "cp"), "--once"]) == 0
+    assert wh.table("t").count() == 3 and len(recorded(wh)) == 3
+    with pytest.raises(SystemExit):
+        main(["stream", *place])
