@@ -43,19 +43,25 @@ def compress(ids, last):
         # A pair that spans documents is none.
         free = ~last[:-1]
         slot = (symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - HASH_BITS)
+        slot = slot.astype(np.intp)
         slot[~free] = 1 << HASH_BITS
         # Only pairs that share a slot with many others can be frequent; the fullest slots are looked into.
         full = np.bincount(slot, minlength=(1 << HASH_BITS) + 1)[:-1]
         enough = LEAST if every else max(LEAST, int(np.partition(full, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
         often = np.flatnonzero(np.append(full >= enough, False)[slot])
+        own = slot[often]
         seen = (symbols[often].astype(np.uint64) << np.uint64(32)) | symbols[often + 1]
         pairs, places = np.unique(seen, return_counts=True)
         order = np.argsort(-places, kind="stable")
-        firsts, seconds, chosen = set(), set(), []
-        for k in order[places[order] >= LEAST][: 4 * ROUND_RULES].tolist():
-            a, b = int(pairs[k]) >> 32, int(pairs[k]) & 0xFFFFFFFF
-            if a in seconds or b in firsts or a == b and a in firsts | seconds:
+        firsts, seconds, slots, chosen = set(), set(), set(), []
+        order = order[places[order] >= LEAST][: 4 * ROUND_RULES]
+        hashed = (pairs[order] >> np.uint64(32)).astype(np.uint32) * np.uint32(0x9E3779B1) + pairs[order].astype(np.uint32) * np.uint32(0x85EBCA77)
+        for k, pair, h in zip(order.tolist(), pairs[order].tolist(), (hashed >> np.uint32(32 - HASH_BITS)).tolist()):
+            a, b = pair >> 32, pair & 0xFFFFFFFF
+            # Of pairs that share a slot one is taken, the others in later rounds.
+            if h in slots or a in seconds or b in firsts or a == b and a in firsts | seconds:
                 continue
+            slots.add(h)
             firsts.add(a)
             seconds.add(b)
             chosen.append(k)
@@ -67,8 +73,12 @@ def compress(ids, last):
         if not chosen:
             break
         wanted = pairs[np.sort(chosen)]
-        at = np.searchsorted(wanted, seen)
-        hit = wanted[np.minimum(at, len(wanted) - 1)] == seen
+        hashed = (wanted >> np.uint64(32)).astype(np.uint32) * np.uint32(0x9E3779B1) + wanted.astype(np.uint32) * np.uint32(0x85EBCA77)
+        rule_of = np.full((1 << HASH_BITS) + 1, len(wanted), np.intp)
+        rule_of[hashed >> np.uint32(32 - HASH_BITS)] = np.arange(len(wanted))
+        at = rule_of[own]
+        hit = np.append(wanted, 0)[at] == seen
+        hit &= at < len(wanted)
         where, rule = often[hit], at[hit]
         # Only a symbol repeated overlaps itself: of a run of places every second one counts.
         same = (wanted[rule] >> np.uint64(32)) == (wanted[rule] & np.uint64(0xFFFFFFFF))
