@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -15,6 +16,10 @@ from millrace.plans.warehouse import Batch, Warehouse
 from millrace.sources import storage
 
 
+# Sources side by side share the session's views; a query is bound to them when it is made.
+_VIEWS = threading.Lock()
+
+
 def export_frame(
     df: DataFrame, directory: str, partition_by: Sequence[str] = (), overwrite: bool = True, clustered: bool = False
 ) -> str:
@@ -90,10 +95,11 @@ def spark_text_types(sql: str) -> str:
 
 def query_frame(wh: Warehouse, sql: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """A query over the warehouse tables it names; ``tables`` stand in for some of them."""
-    for name in wh.tables():
-        if re.search(rf"(?i)\b{re.escape(name)}\b", sql):
-            (tables or {}).get(name, wh.table(name)).createOrReplaceTempView(name)
-    return wh.spark.sql(spark_text_types(sql))
+    with _VIEWS:
+        for name in wh.tables():
+            if re.search(rf"(?i)\b{re.escape(name)}\b", sql):
+                (tables or {}).get(name, wh.table(name)).createOrReplaceTempView(name)
+        return wh.spark.sql(spark_text_types(sql))
 
 
 def export_query(
