@@ -29,7 +29,7 @@ def _piece_batches(path: str, size: int):
 
         enc = tokens.encoder(path)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in tokens.slices(texts):
                 ids, counts = enc.encode(texts[a:b])
                 rows = ([], [], [], [], [])

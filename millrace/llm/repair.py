@@ -16,6 +16,8 @@ from millrace.session import scratch_dir
 
 #: Nonterminals are numbered from here; token ids lie below.
 BASE = 1 << 16
+#: Symbols lie below this bit, which marks the last one of a document while a shard is compressed.
+LAST = 1 << 31
 SHARD_IDS = 1 << 20
 #: New rules of a round at most, and the least number of places of a pair that becomes one.
 ROUND_RULES = 2048
@@ -29,37 +31,52 @@ SHARD = (
 )
 
 
+def _slots(firsts, seconds):
+    """The hash slot of each pair of symbols, and the one after all others where the first ends its document."""
+    import numpy as np
+
+    slot = firsts * np.uint32(0x9E3779B1)
+    slot += (seconds & (LAST - 1)) * np.uint32(0x85EBCA77)
+    slot >>= np.uint32(32 - HASH_BITS)
+    slot[firsts >= LAST] = 1 << HASH_BITS
+    return slot.astype(np.intp)
+
+
 def compress(ids, last):
     """Rules (pairs of symbols, uint32) and the symbols left; ``last`` marks the end of documents.
 
     Each round takes frequent pairs no two of which can overlap: no symbol is the first of one and
     the second of another, and a symbol repeated pairs from the left. So all places are replaced at
-    once. Rounds go on until no pair has ``LEAST`` places.
+    once. Rounds go on until no pair has ``LEAST`` places. Slots and what they hold are kept from
+    round to round, and counted anew only beside what was replaced.
     """
     import numpy as np
 
-    symbols, rules, every = ids.astype(np.uint32), [], False
+    n_slots, rules, n_rules, every = 1 << HASH_BITS, [], 0, False
+    # A pair that spans documents is none.
+    symbols = ids.astype(np.uint32)
+    symbols[last] |= LAST
+    slot = np.append(_slots(symbols[:-1], symbols[1:]), n_slots)[: len(symbols)]
+    held = np.bincount(slot, minlength=n_slots + 1)
     while len(symbols) > 1:
-        # A pair that spans documents is none.
-        free = ~last[:-1]
-        slot = (symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - HASH_BITS)
-        slot = slot.astype(np.intp)
-        slot[~free] = 1 << HASH_BITS
         # Only pairs that share a slot with many others can be frequent; the fullest slots are looked into.
-        full = np.bincount(slot, minlength=(1 << HASH_BITS) + 1)[:-1]
-        enough = LEAST if every else max(LEAST, int(np.partition(full, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
-        often = np.flatnonzero(np.append(full >= enough, False)[slot])
+        full = held[:-1][held[:-1] >= LEAST]
+        enough = LEAST if every or len(full) < 2 * ROUND_RULES else int(np.partition(full, -2 * ROUND_RULES)[-2 * ROUND_RULES])
+        looked = held >= enough
+        looked[n_slots] = False
+        often = np.flatnonzero(looked[slot])
         own = slot[often]
-        seen = (symbols[often].astype(np.uint64) << np.uint64(32)) | symbols[often + 1]
+        seen = symbols[often].astype(np.uint64) << np.uint64(32)
+        seen |= symbols[often + 1] & (LAST - 1)
         pairs, places = np.unique(seen, return_counts=True)
         order = np.argsort(-places, kind="stable")
         firsts, seconds, slots, chosen = set(), set(), set(), []
         order = order[places[order] >= LEAST][: 4 * ROUND_RULES]
-        hashed = (pairs[order] >> np.uint64(32)).astype(np.uint32) * np.uint32(0x9E3779B1) + pairs[order].astype(np.uint32) * np.uint32(0x85EBCA77)
-        for k, pair, h in zip(order.tolist(), pairs[order].tolist(), (hashed >> np.uint32(32 - HASH_BITS)).tolist()):
-            a, b = pair >> 32, pair & 0xFFFFFFFF
+        pairs = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        hashed = _slots(pairs[order, 0], pairs[order, 1])
+        for k, (a, b), h in zip(order.tolist(), pairs[order].tolist(), hashed.tolist()):
             # Of pairs that share a slot one is taken, the others in later rounds.
-            if h in slots or a in seconds or b in firsts or a == b and a in firsts | seconds:
+            if h in slots or a in seconds or b in firsts or a == b and a in firsts:
                 continue
             slots.add(h)
             firsts.add(a)
@@ -73,48 +90,83 @@ def compress(ids, last):
         if not chosen:
             break
         wanted = pairs[np.sort(chosen)]
-        hashed = (wanted >> np.uint64(32)).astype(np.uint32) * np.uint32(0x9E3779B1) + wanted.astype(np.uint32) * np.uint32(0x85EBCA77)
-        rule_of = np.full((1 << HASH_BITS) + 1, len(wanted), np.intp)
-        rule_of[hashed >> np.uint32(32 - HASH_BITS)] = np.arange(len(wanted))
+        rule_of = np.full(n_slots + 1, len(wanted), np.intp)
+        rule_of[_slots(wanted[:, 0], wanted[:, 1])] = np.arange(len(wanted))
         at = rule_of[own]
-        hit = np.append(wanted, 0)[at] == seen
-        hit &= at < len(wanted)
+        hit = np.flatnonzero(np.append(wanted[:, 0].astype(np.uint64) << np.uint64(32) | wanted[:, 1], ~np.uint64(0))[at] == seen)
         where, rule = often[hit], at[hit]
         # Only a symbol repeated overlaps itself: of a run of places every second one counts.
-        same = (wanted[rule] >> np.uint64(32)) == (wanted[rule] & np.uint64(0xFFFFFFFF))
+        same = wanted[:, 0] == wanted[:, 1]
         if same.any():
+            same = same[rule]
             new = np.concatenate(([True], ~((np.diff(where) == 1) & same[1:] & same[:-1] & (rule[1:] == rule[:-1]))))
             first = np.maximum.accumulate(np.where(new, np.arange(len(where)), 0))
             keep = ~same | ((np.arange(len(where)) - first) % 2 == 0)
             where, rule = where[keep], rule[keep]
-        symbols[where] = BASE + sum(map(len, rules)) + rule
-        gone = np.ones(len(symbols), bool)
-        gone[where + 1] = False
-        last[where] |= last[where + 1]
-        symbols, last = symbols[gone], last[gone]
-        rules.append(np.stack([wanted >> np.uint64(32), wanted & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-    return (np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)), symbols, last
+        symbols[where] = (BASE + n_rules + rule).astype(np.uint32) | (symbols[where + 1] & LAST)
+        stay = np.ones(len(symbols), bool)
+        stay[where + 1] = False
+        lost = slot[where + 1]
+        symbols, slot = symbols[stay], slot[stay]
+        # A new symbol changes its own pair and the one before it.
+        where -= np.arange(len(where))
+        moved = np.zeros(len(symbols), bool)
+        moved[where] = True
+        moved[np.maximum(where - 1, 0)] = True
+        moved = np.flatnonzero(moved[:-1])
+        fresh = _slots(symbols[moved], symbols[moved + 1])
+        held -= np.bincount(np.concatenate((lost, slot[moved], slot[-1:])), minlength=n_slots + 1)
+        held += np.bincount(np.append(fresh, n_slots), minlength=n_slots + 1)
+        slot[moved], slot[-1] = fresh, n_slots
+        rules.append(wanted)
+        n_rules += len(wanted)
+    return (np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)), symbols & (LAST - 1), symbols >= LAST
 
 
 def expansions(rules):
     """Expansion length of each rule, in order; a rule uses earlier ones only."""
     import numpy as np
 
-    size = np.ones(len(rules), np.int64)
+    size = [1] * len(rules)
     for k, (a, b) in enumerate(rules.tolist()):
         size[k] = (size[a - BASE] if a >= BASE else 1) + (size[b - BASE] if b >= BASE else 1)
-    return size
+    return np.array(size, np.int64)
+
+
+def _ranges(starts, sizes):
+    """The numbers of all ranges in a row."""
+    import numpy as np
+
+    ends = np.cumsum(sizes)
+    numbers = np.arange(ends[-1] if len(ends) else 0)
+    numbers += np.repeat(starts - (ends - sizes), sizes)
+    return numbers
 
 
 def spelled(rules):
     """The ids of all rules in a row, and where those of each start; a rule's places bound what it takes."""
     import numpy as np
 
-    parts: list = []
-    for a, b in rules.tolist():
-        parts.append(np.concatenate([parts[x - BASE] if x >= BASE else np.array([x], np.uint32) for x in (a, b)]))
-    starts = np.concatenate(([0], np.cumsum([len(x) for x in parts], dtype=np.int64)))
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint32)), starts
+    size = expansions(rules)
+    starts = np.concatenate(([0], np.cumsum(size)))
+    flat = np.empty(starts[-1], np.uint32)
+    left, right = rules[:, 0].astype(np.int64), rules[:, 1].astype(np.int64)
+    first = np.where(left < BASE, 1, size[np.maximum(left - BASE, 0)]) if len(rules) else size
+    for symbol, to in ((left, starts[:-1]), (right, starts[:-1] + first)):
+        flat[to[symbol < BASE]] = symbol[symbol < BASE]
+    # A rule is spelled once those it uses are, which come in earlier rounds.
+    depth = [0] * len(rules)
+    for k, (a, b) in enumerate(rules.tolist()):
+        if a >= BASE or b >= BASE:
+            depth[k] = 1 + max(depth[x - BASE] if x >= BASE else 0 for x in (a, b))
+    depth = np.array(depth, np.int64)
+    for level in range(1, int(depth.max(initial=0)) + 1):
+        own = depth == level
+        for symbol, to in ((left, starts[:-1]), (right, starts[:-1] + first)):
+            inner = np.flatnonzero(own & (symbol >= BASE))
+            used = symbol[inner] - BASE
+            flat[_ranges(to[inner], size[used])] = flat[_ranges(starts[used], size[used])]
+    return flat, starts
 
 
 def expand(symbols, rules):
@@ -122,16 +174,14 @@ def expand(symbols, rules):
     import numpy as np
 
     flat, starts = spelled(rules)
-    inner = symbols >= BASE
+    inner = np.flatnonzero(symbols >= BASE)
     rule = symbols[inner].astype(np.int64) - BASE
     size = np.ones(len(symbols), np.int64)
     size[inner] = starts[rule + 1] - starts[rule]
-    ends = np.cumsum(size)
     # A plain symbol stands behind the rules' ids, a rule's symbol among them.
-    first = np.arange(len(symbols)) + len(flat)
+    first = np.arange(len(flat), len(flat) + len(symbols))
     first[inner] = starts[rule]
-    table = np.concatenate((flat, symbols.astype(np.uint32)))
-    return table[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)]
+    return np.concatenate((flat, symbols.astype(np.uint32)))[_ranges(first, size)]
 
 
 def read_range(shard: dict, document: int, start: int = 0, length: int | None = None):
@@ -197,7 +247,7 @@ def _shard_batches(path: str):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in tokens.slices(texts):
                 ids, lengths = enc.encode(texts[a:b])
                 held.append(ids)

@@ -31,6 +31,27 @@ def test_encoder_equals_the_tokenizer(spark, plain):
     assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_encoder_gives_the_tokenizer_each_stretch_once(plain):
+    rng = random.Random(8)
+    ends = ["a", "Z", "7", "é", "ß", "ÿ", "×", "÷", "²", "ª", "日", "Ж", "ʼ", "'s", "'", ".", "*", "\u00a0", "\u00d7x", "\0", "<|endoftext|>"]
+    between = [" ", " ", " ", "\n", "\t", "", "  ", "\n ", " \n", "\x1c", "\u2003"]
+    begin, marks = ["", "w", "it's", " "], ["", *tokens.MARKS, "..", ".,"]
+    texts = ["".join(rng.choice(begin) + rng.choice(ends) + rng.choice(marks) + rng.choice(between[: 4 if k % 2 else None])
+                     for _ in range(rng.randrange(8))) for k in range(3000)]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    ids, n = encoder.encode(texts)
+    want = [plain(t) for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    # A stretch that a mark closes is known by what stands before the mark.
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    given, learn = [], encoder._learn
+    encoder._learn = lambda names: (given.extend(names), learn(names))
+    for text in ("one word, word. word", "one word! word; two, word\ntwo. 7? 7", "one word: 7"):
+        ids, n = encoder.encode([text])
+        assert ids.tolist() == plain(text)
+    assert sorted(given) == sorted(["\0one", "word", "two", "\0two", "\0\n", "7"])
+
+
 def test_op1_equals_plain_encoding(spark, plain):
     docs = sorted(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     want, start = [], 0
@@ -73,6 +94,21 @@ def test_grammar_goes_to_its_end():
     assert max(pairs.values()) < repair.LEAST
 
 
+def test_slots_are_kept_from_round_to_round(monkeypatch):
+    """All slots are counted once, whatever the number of rounds; later only those beside what was replaced."""
+    seen, slots = [], repair._slots
+    monkeypatch.setattr(repair, "_slots", lambda a, b: (seen.append(len(a)), slots(a, b))[1])
+    rng = random.Random(6)
+    words = [[rng.randrange(50_000) for _ in range(rng.randrange(2, 9))] for _ in range(40)]
+    ids = np.array([i for _ in range(20_000) for i in rng.choice(words)] + list(range(100_000)), np.uint32) % 60_000
+    last = np.arange(len(ids)) % 500 == 499
+    last[-1] = True
+    rules, symbols, _ = repair.compress(ids, last)
+    assert (repair.expand(symbols, rules) == ids).all()
+    # Beside each symbol taken away two slots change; pairs that are candidates are hashed as well.
+    assert len(seen) > 10 and sum(n >= len(symbols) for n in seen) <= 2 and sum(seen) < len(ids) + 3 * (len(ids) - len(symbols)) + 20_000
+
+
 def test_random_access_and_odd_rows(spark, plain):
     rows = [(k, t, "x") for k, t in enumerate(ODD)] + [(None, "no id", "x"), (3, ODD[3], "y"), (3, "other", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start string")
