@@ -39,7 +39,7 @@ def _slots(firsts, seconds):
     slot += (seconds & (LAST - 1)) * np.uint32(0x85EBCA77)
     slot >>= np.uint32(32 - HASH_BITS)
     slot[firsts >= LAST] = 1 << HASH_BITS
-    return slot.astype(np.intp)
+    return slot.astype(np.int32)
 
 
 def compress(ids, last):
@@ -56,7 +56,7 @@ def compress(ids, last):
     # A pair that spans documents is none.
     symbols = ids.astype(np.uint32)
     symbols[last] |= LAST
-    slot = np.append(_slots(symbols[:-1], symbols[1:]), n_slots)[: len(symbols)]
+    slot = np.append(_slots(symbols[:-1], symbols[1:]), np.int32(n_slots))[: len(symbols)]
     held = np.bincount(slot, minlength=n_slots + 1)
     while len(symbols) > 1:
         # Only pairs that share a slot with many others can be frequent; the fullest slots are looked into.
@@ -116,7 +116,7 @@ def compress(ids, last):
         moved = np.flatnonzero(moved[:-1])
         fresh = _slots(symbols[moved], symbols[moved + 1])
         held -= np.bincount(np.concatenate((lost, slot[moved], slot[-1:])), minlength=n_slots + 1)
-        held += np.bincount(np.append(fresh, n_slots), minlength=n_slots + 1)
+        held += np.bincount(np.append(fresh, np.int32(n_slots)), minlength=n_slots + 1)
         slot[moved], slot[-1] = fresh, n_slots
         rules.append(wanted)
         n_rules += len(wanted)
@@ -283,9 +283,9 @@ def _decode_batches(batches):
     for batch in batches:
         for row in batch.to_pylist():
             rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-            ids = expand(np.frombuffer(row["symbols"], "<u4"), rules).astype("<u4")
+            ids = expand(np.frombuffer(row["symbols"], "<u4"), rules).astype("<u4", copy=False)
             ends = np.cumsum(row["doc_tokens"])
-            raw = ids.tobytes()
+            raw = ids.data.cast("B")
             sums = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), row["doc_tokens"])]
             n = len(sums)
             yield pa.RecordBatch.from_arrays([

@@ -153,12 +153,13 @@ class Encoder:
         """Give many stretches to the tokenizer as one text, at whose spaces or line breaks it cuts."""
         import numpy as np
 
-        white = [m for m in marked if not m or m == "\0" or self._white.search(m)]
-        if white:
+        white = []
+        if "" in marked or "\0" in marked or self._white.search("".join(marked)):
+            white = [m for m in marked if not m or m == "\0" or self._white.search(m)]
             apart = set(white)
             marked = [m for m in marked if m not in apart]
-        spaced = [m for m in marked if m[0] != "\0"]
         after_break = [m for m in marked if m[0] == "\0"]
+        spaced = [m for m in marked if m[0] != "\0"]
         for names, between in ((spaced, " "), (after_break, "\n")):
             for at in range(0, len(names), 20_000):
                 some = names[at : at + 20_000]
