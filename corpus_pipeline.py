@@ -35,7 +35,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)[0]
+    return packing.pack_documents(docs, **packing.SPARING)[0]
 
 
 STAGES = [

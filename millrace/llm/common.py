@@ -75,6 +75,26 @@ def slices(raws: list, size: int):
         yield first, len(raws)
 
 
+def tidied(run):
+    """``run`` over a task's batches; afterwards the memory it no longer needs goes back to the system.
+
+    A worker waits for its next task, perhaps of another stage, beside an executor that needs the room.
+    """
+
+    def task(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return task
+
+
 def least_ids(rows: DataFrame, n: int, total: int) -> DataFrame:
     """Of each group the ``n`` distinct ids with the least hashes, ``total`` rows at most: grp, doc_id, mark, h, n.
 

@@ -21,7 +21,7 @@ from itertools import repeat
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import cut, tidied
 
 #: A passage contaminates when its edit distance is at most this share of the item's words.
 DISTANCE = 0.2
@@ -415,7 +415,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, to: str = "contamination", l
         items = [(i, raw) for i, raw in items if len(words(raw)) >= least]
         if k:  # a stage has one Python operator, with the index of one block
             rows = cut(rows, "decontamination")
-        rows = rows.mapInArrow(_search_batches(items, names.index("text")), rows.schema)
+        rows = rows.mapInArrow(tidied(_search_batches(items, names.index("text"))), rows.schema)
     return rows
 
 

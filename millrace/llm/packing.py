@@ -13,24 +13,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import tokens
-from millrace.llm.common import cut
+from millrace.llm.common import cut, tidied
 
 SIZE = 1024
 ID_BYTES = 4
+#: For the last stage of a pipeline, in executors whose heap has grown to its limit: fewer stretches that a
+#: worker remembers, and fewer bytes of texts that it works on at a time. That takes more CPU.
+SPARING = {"remembered": 400_000, "at_a_time": 2_000_000}
 #: Pieces of one length that are ranked by one task at a time, on average.
 RANK_ROWS = 200_000
 PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary"
 
 
-def _piece_batches(path: str, size: int):
+def _piece_batches(path: str, size: int, remembered: int = tokens.REMEMBERED, at_a_time: int = tokens.SLICE_BYTES):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        enc = tokens.encoder(path)
+        enc = tokens.encoder(path, remembered)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in tokens.slices(texts):
+            for a, b in tokens.slices(texts, at_a_time):
                 ids, counts = enc.encode(texts[a:b])
                 rows = ([], [], [], [], [])
                 at = 0
@@ -50,10 +53,10 @@ def _piece_batches(path: str, size: int):
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
-    """Documents as ids with the end id, cut every ``size`` ids; ids are little-endian 32-bit."""
-    run = _piece_batches(tokenizer or tokens.default_tokenizer(), size)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, **memory: int) -> DataFrame:
+    """Documents as ids with the end id, cut every ``size`` ids; ids are little-endian 32-bit. ``memory``: see ``SPARING``."""
+    run = _piece_batches(tokenizer or tokens.default_tokenizer(), size, **memory)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), PIECES)
 
 
 def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -146,9 +149,9 @@ def pack(found: DataFrame, size: int = SIZE) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, **memory: int) -> tuple[DataFrame, DataFrame]:
     """Places (see ``pack``) and the written pieces with their ids, which share doc_id, start and crc."""
-    found = cut(pieces(docs, tokenizer, size), "pieces")
+    found = cut(pieces(docs, tokenizer, size, **memory), "pieces")
     return pack(found, size), found
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, cut
+from millrace.llm.common import components, cut, tidied
 
 BITS = 64
 BUDGET = 4
@@ -62,7 +62,7 @@ def _fingerprint_batches(batches):
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, a hash of the text, and fp (the 64 bits as a long) of every row."""
     slim = docs.select("doc_id", F.xxhash64("text").alias("k_text"), F.col("text").cast("binary").alias("raw"))
-    return slim.mapInArrow(_fingerprint_batches, slim.drop("raw").schema.add("fp", "long"))
+    return slim.mapInArrow(tidied(_fingerprint_batches), slim.drop("raw").schema.add("fp", "long"))
 
 
 def _blocks() -> list[tuple[int, int]]:
@@ -219,7 +219,7 @@ def near_links(fps: DataFrame) -> DataFrame:
     # The group's number only tells neighbours apart; its order within a task is that of the sort.
     rows = rows.withColumn("grp", F.xxhash64(*key))
     dealt = rows.repartition("grp").sortWithinPartitions("grp", "side", F.col("value") < 0, "value")
-    return dealt.select("grp", "side", F.col("width").cast("long"), "fp", "value").mapInArrow(_join_subtries, "a long, b long").distinct()
+    return dealt.select("grp", "side", F.col("width").cast("long"), "fp", "value").mapInArrow(tidied(_join_subtries), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

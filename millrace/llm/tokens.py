@@ -7,7 +7,7 @@ import re
 from array import array
 from itertools import accumulate, chain, repeat
 
-#: Distinct stretches a worker remembers; beyond, it starts anew.
+#: Distinct stretches a worker remembers unless told otherwise; beyond, it starts anew.
 REMEMBERED = 1_500_000
 #: Texts of about this many bytes are worked on at a time.
 SLICE_BYTES = 4_000_000
@@ -25,9 +25,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, remembered: int = REMEMBERED) -> "Encoder":
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].remembered = remembered
     return _ENCODERS[path]
 
 
@@ -49,7 +50,7 @@ class Encoder:
         import numpy as np
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.remembered = Tokenizer.from_file(path), REMEMBERED
         names = self.tokenizer.get_vocab()
         # Ids whose text starts with a space, and that of a line break, as byte-level names spell them.
         self.opens = np.zeros(max(names.values()) + 1, bool)
@@ -70,7 +71,7 @@ class Encoder:
         import pyarrow as pa
 
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self._forget()
         at, mark, bounds = self._stretches(texts)
         starts, flat = np.frombuffer(self.starts, np.int64), np.frombuffer(self.flat, np.uint32)
@@ -196,14 +197,14 @@ class Encoder:
         self.known.update(zip(names, range(before, before + len(names))))
 
 
-def slices(texts):
-    """Ranges of an Arrow array of texts of about ``SLICE_BYTES``."""
+def slices(texts, at_a_time: int = SLICE_BYTES):
+    """Ranges of an Arrow array of texts of about ``at_a_time`` bytes."""
     import pyarrow.compute as pc
 
     first = size = 0
     for k, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
         size += n
-        if size >= SLICE_BYTES:
+        if size >= at_a_time:
             yield first, k + 1
             first, size = k + 1, 0
     if first < len(texts):
